@@ -1,0 +1 @@
+"""Reserved: every capability of this library is a batch job, so there is no stream operator."""
