@@ -61,9 +61,9 @@ def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
     changes = classify_keys(existing, incoming, keys)
     result = incoming
     if existing is not None:
-        # the semi join on the partition column prunes untouched folders at run time
-        days = incoming.select(partition).distinct()
-        touched = existing.join(days, [partition], "left_semi")
+        # at most one value per calendar day (a run has one): literals prune the untouched folders
+        days = [row[0] for row in incoming.select(partition).distinct().collect()]
+        touched = existing.where(F.col(partition).isin(days))
         result = overwrite_by_key(touched, incoming, keys)
     from ..session import checkpoint
     changes = checkpoint(changes)
