@@ -57,11 +57,12 @@ def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     spread = F.coalesce(F.col(_HOT), F.lit(False)) | ~keyed
     salted = _mark(left, hot, keys).withColumn(
         _SALT, F.when(spread, _row_salt(left, salts)).otherwise(F.lit(0).cast("bigint"))).drop(_HOT)
-    copies = F.when(F.coalesce(F.col(_HOT), F.lit(False)), F.sequence(F.lit(0), F.lit(salts - 1))
-                    ).otherwise(F.array(F.lit(0)))
+    number = lambda n: F.lit(n).cast("bigint")
+    copies = F.when(F.coalesce(F.col(_HOT), F.lit(False)), F.sequence(number(0), number(salts - 1))
+                    ).otherwise(F.array(number(0)))
     # inner joins and the right side of the others never use a NULL key
     spread_right = _mark(right.where(keyed), hot, keys).withColumn(
-        _SALT, F.explode(copies).cast("bigint")).drop(_HOT)
+        _SALT, F.explode(copies)).drop(_HOT)
     joined = salted.join(spread_right, keys + [_SALT], how)
     extra = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
     return joined.select(*[F.col(f"`{c}`") for c in left.columns + extra])

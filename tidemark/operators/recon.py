@@ -116,9 +116,9 @@ def failed_list(recon: DataFrame, day: dt.date, columns: Sequence[str] = ("sourc
     return recon.where(F.col(day_column) == F.lit(day)).where(failed).select(*columns)
 
 
-def recent(recon: DataFrame, n: int | None = None, order: Sequence[str | Column] = (F.desc("load_ts"),)) -> DataFrame:
-    """Rows from newest to oldest; the sort is spread over range partitions."""
-    rows = recon.orderBy(*order)
+def recent(recon: DataFrame, n: int | None = None, order: Sequence[str | Column] | None = None) -> DataFrame:
+    """Rows from newest to oldest load; the sort is spread over range partitions."""
+    rows = recon.orderBy(*(order or [F.desc("load_ts")]))
     return rows if n is None else rows.limit(n)
 
 
