@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.05
 SALTS = 64
 
-_SALT, _HOT, _N = "__salt", "__hot", "__n"
+_SALT, _SALT_RIGHT, _HOT, _N = "__salt", "__salt_right", "__hot", "__n"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
@@ -38,34 +38,58 @@ def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(flags, list(keys), "left")
 
 
+def _spread(df: DataFrame, hot: DataFrame, keys: Sequence[str], salts: int, salt: str) -> DataFrame:
+    """Rows of hot keys over ``salts`` buckets, all others in bucket 0; NULL keys are spread too."""
+    apart = F.coalesce(F.col(_HOT), F.lit(False)) | ~_keyed(keys)
+    bucket = F.when(apart, _row_salt(df, salts)).otherwise(F.lit(0).cast("bigint"))
+    return _mark(df, hot, keys).withColumn(salt, bucket).drop(_HOT)
+
+
+def _copy(df: DataFrame, hot: DataFrame, keys: Sequence[str], salts: int, salt: str) -> DataFrame:
+    """Rows of hot keys once per bucket, all others in bucket 0."""
+    number = lambda n: F.lit(n).cast("bigint")
+    buckets = F.when(F.coalesce(F.col(_HOT), F.lit(False)), F.sequence(number(0), number(salts - 1))
+                     ).otherwise(F.array(number(0)))
+    return _mark(df, hot, keys).withColumn(salt, F.explode(buckets)).drop(_HOT)
+
+
+def _keyed(keys: Sequence[str]) -> Column:
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    return present
+
+
 def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-              hot_share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+              hot_share: float = HOT_SHARE, salts: int = SALTS, split_right: bool = False) -> DataFrame:
     """Inner, left, left semi or left anti join on equal ``keys`` with hot left keys salted.
 
     The result equals the plain join. Columns are those of ``left`` (keys in place), then the
-    others of ``right``. Rows with a NULL key match nothing and are spread as well.
+    others of ``right``. Rows with a NULL key match nothing and are spread as well. Semi and anti
+    joins reduce the right side to its distinct keys. ``split_right`` also salts the keys that are
+    hot on the right side of an inner or left join; without it the right side should be a lookup.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
-    keyed = F.lit(True)
-    for key in keys:
-        keyed = keyed & F.col(key).isNotNull()
+    right = right.where(_keyed(keys))
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
-    hot = hot_keys(left.where(keyed), keys, hot_share)
-    spread = F.coalesce(F.col(_HOT), F.lit(False)) | ~keyed
-    salted = _mark(left, hot, keys).withColumn(
-        _SALT, F.when(spread, _row_salt(left, salts)).otherwise(F.lit(0).cast("bigint"))).drop(_HOT)
-    number = lambda n: F.lit(n).cast("bigint")
-    copies = F.when(F.coalesce(F.col(_HOT), F.lit(False)), F.sequence(number(0), number(salts - 1))
-                    ).otherwise(F.array(number(0)))
-    # inner joins and the right side of the others never use a NULL key
-    spread_right = _mark(right.where(keyed), hot, keys).withColumn(
-        _SALT, F.explode(copies)).drop(_HOT)
-    joined = salted.join(spread_right, keys + [_SALT], how)
     extra = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
-    return joined.select(*[F.col(f"`{c}`") for c in left.columns + extra])
+    columns = [F.col(f"`{c}`") for c in left.columns + extra]
+    hot = hot_keys(left.where(_keyed(keys)), keys, hot_share)
+    if split_right and how == "left":
+        # a copied left row must not come out unmatched once per copy: matches and the rest apart
+        matched = equi_join(left, right, keys, "inner", hot_share, salts, split_right=True)
+        rest = equi_join(left, right, keys, "left_anti", hot_share, salts)
+        return matched.unionByName(rest, allowMissingColumns=True)
+    near, far = _spread(left, hot, keys, salts, _SALT), _copy(right, hot, keys, salts, _SALT)
+    on = keys + [_SALT]
+    if split_right and how == "inner":
+        hot_right = hot_keys(right, keys, hot_share)
+        near, far = _copy(near, hot_right, keys, salts, _SALT_RIGHT), _spread(far, hot_right, keys, salts, _SALT_RIGHT)
+        on = on + [_SALT_RIGHT]
+    return near.join(far, on, how).select(*columns)
 
 
 def keyed_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

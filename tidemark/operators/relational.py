@@ -37,10 +37,13 @@ def split_on_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
 
 
 def join_left(left: DataFrame, right: DataFrame, condition: str | None = None,
-              on: Sequence[str] | None = None) -> DataFrame:
-    """All left rows with their matches: by SQL condition, or by equal keys with hot keys salted."""
+              on: Sequence[str] | None = None, split_right: bool = False) -> DataFrame:
+    """All left rows with their matches: by SQL condition, or by equal keys with hot keys salted.
+
+    A condition leaves skew to adaptive execution, which splits the left side of a left join.
+    """
     if on is not None:
-        return equi_join(left, right, on, "left")
+        return equi_join(left, right, on, "left", split_right=split_right)
     return left.join(right, F.expr(condition), "left")
 
 
@@ -52,10 +55,10 @@ def join_chain(df: DataFrame, links: Sequence[tuple[DataFrame, str]]) -> DataFra
 
 
 def join_inner(left: DataFrame, right: DataFrame, condition: str | None = None,
-               on: Sequence[str] | None = None) -> DataFrame:
-    """Matching rows only."""
+               on: Sequence[str] | None = None, split_right: bool = True) -> DataFrame:
+    """Matching rows only; by equal ``on`` keys, hot keys of both sides are salted."""
     if on is not None:
-        return equi_join(left, right, on, "inner")
+        return equi_join(left, right, on, "inner", split_right=split_right)
     return left.join(right, F.expr(condition), "inner")
 
 

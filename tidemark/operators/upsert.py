@@ -3,9 +3,12 @@
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 RESULT_KEYS = ("metric_id", "partition_dt")
 
 
@@ -57,7 +60,9 @@ def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
     """
     if incoming.isEmpty():
         return None
-    existing = _read_if_present(spark, path, partition, incoming)
+    existing = read_partitioned(spark, path, partition, incoming)
+    if existing is not None:
+        existing = existing.select(*incoming.columns)
     changes = classify_keys(existing, incoming, keys)
     result = incoming
     if existing is not None:
@@ -65,24 +70,25 @@ def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
         days = [row[0] for row in incoming.select(partition).distinct().collect()]
         touched = existing.where(F.col(partition).isin(days))
         result = overwrite_by_key(touched, incoming, keys)
-    from ..session import checkpoint
     changes = checkpoint(changes)
-    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # one set of evenly sized files per partition, however the keys were joined
+    (result.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
     return changes
 
 
-def _read_if_present(spark: SparkSession, path: str, partition: str, like: DataFrame) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+def read_partitioned(spark: SparkSession, path: str, partition: str, like: DataFrame) -> DataFrame | None:
+    """The table at ``path``, or None when there is none yet.
+
+    A partition folder name carries no type: it is taken from ``like``.
+    """
     try:
         table = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    # a partition folder name carries no type: take it from the incoming rows
-    day = F.col(partition).cast(like.schema[partition].dataType)
-    return table.withColumn(partition, day).select(*like.columns)
+    return table.withColumn(partition, F.col(partition).cast(like.schema[partition].dataType))
 
 
 def rollback(df: DataFrame, new_keys: DataFrame, now: dt.datetime, hours: int = 1,

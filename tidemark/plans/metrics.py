@@ -9,6 +9,7 @@ never pass through the driver.
 import datetime as dt
 import re
 import threading
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -122,15 +123,23 @@ def time_limit(spark: SparkSession, seconds: float | None):
     if not seconds:
         yield
         return
-    tag = f"tidemark-{threading.get_ident()}-{id(object())}"
-    spark.addTag(tag)
-    timer = threading.Timer(seconds, spark.interruptTag, [tag])
-    timer.start()
+    context, tag, done = spark.sparkContext, f"tidemark-{uuid.uuid4().hex}", threading.Event()
+
+    def watch() -> None:
+        late = not done.wait(seconds)
+        while late:  # again and again: a job may start after the limit
+            context.cancelJobsWithTag(tag)
+            late = not done.wait(0.5)
+
+    context.addJobTag(tag)
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
     try:
         yield
     finally:
-        timer.cancel()
-        spark.removeTag(tag)
+        done.set()
+        watcher.join()
+        context.removeJobTag(tag)
 
 
 def build_records(values: DataFrame, defs: DataFrame, partition_dt: dt.date, executed_at: dt.datetime,
@@ -241,7 +250,11 @@ def _one_by_one(spark: SparkSession, queries: Mapping[str, DataFrame], fail, tim
 
 
 def _first_line(error: Exception) -> str:
-    return (str(error).strip() or type(error).__name__).splitlines()[0]
+    """First line of the innermost message: a failed job wraps the reason in several layers."""
+    text, layer = str(error), getattr(error, "java_exception", None)
+    while layer is not None:
+        text, layer = layer.getMessage() or text, layer.getCause()
+    return (text.strip() or type(error).__name__).splitlines()[0]
 
 
 def by_target(records: DataFrame, targets: Iterable[str]) -> dict[str, DataFrame]:
