@@ -119,7 +119,7 @@ def test_metrics_of_one_slice_share_one_scan(spark, tmp_path):
     table = spark.read.parquet(path)
     sql = "SELECT {} AS metric_output, {{currently}} AS business_data_date FROM `p.d.staff` WHERE partition_dt = {{currently}}"
     with M.table_views(spark, {"p.d.staff": table}):
-        queries = {k: M.run_metric(spark, {"sql": sql.format(e)}, [DAY, DAY]) for k, e in
+        queries = {k: M.raw_values(M.bound_query(spark, sql.format(e), [DAY, DAY])) for k, e in
                    {"n": "count(*)", "f": "count_if(gender = 'F')", "top": "count(id)"}.items()}
     plan = M.evaluate(spark, queries)._jdf.queryExecution().optimizedPlan().toString()
     scans = {line.split("Relation")[1] for line in plan.splitlines() if "Relation [" in line}

@@ -26,12 +26,14 @@ def rule_regex(c: Column, pattern: str) -> Column:
 
 def rule_range(c: Column, low=None, high=None) -> Column:
     """TRUE inside the inclusive bounds; None leaves a side open."""
-    inside = F.lit(True)
-    if low is not None:
-        inside = inside & (c >= F.lit(low))
-    if high is not None:
-        inside = inside & (c <= F.lit(high))
-    return F.when(c.isNotNull(), inside)
+    if low is None and high is None:
+        return F.when(c.isNotNull(), F.lit(True))
+    # plain comparisons are NULL for a NULL value, and compile far tighter than a CASE
+    if high is None:
+        return c >= F.lit(low)
+    if low is None:
+        return c <= F.lit(high)
+    return (c >= F.lit(low)) & (c <= F.lit(high))
 
 
 def rule_expr(sql: str, column: str) -> Column:

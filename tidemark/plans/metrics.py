@@ -14,17 +14,17 @@ from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import MetricError
-from ..functions.dates import business_date
+from ..functions.dates import strict_date
 from ..functions.numbers import denominator_status, numeric_warning, to_metric_decimal
 from ..operators.partitions import bind_dates, bind_positional
 from ..schemas import DEFINITION_SCHEMA, NUMERIC_RESULTS, RESULT_SCHEMA, TEXT_RESULTS
 from ..session import checkpoint
-from .columns import DATE, NUMERIC, ColumnMap
+from .columns import NUMERIC, ColumnMap
 
 QUERY_TIMEOUT_SECONDS = 180
 _SPOT = re.compile(r"'?\{(currently|partition_info|run_date)\}'?")
@@ -61,60 +61,73 @@ def bound_query(spark: SparkSession, sql: str, dates: Sequence[dt.date]) -> Data
     return spark.sql(text, args={f"d{i}": day for i, day in enumerate(dates)} or None)
 
 
-def metric_row(result: DataFrame, columns: ColumnMap | None = None) -> DataFrame:
-    """First row of a metric's result as typed values with ``error`` and ``warning`` texts."""
+def raw_values(result: DataFrame, columns: ColumnMap | None = None) -> DataFrame:
+    """First row of a metric's result, every value as text, NULL where the SQL does not return it.
+
+    Text keeps every number exact and gives all metrics one row type. The projection is SQL text:
+    a run builds it once per metric.
+    """
     columns = columns or ColumnMap()
-    types = {f.name: f.dataType for f in result.schema}
-    values: list[Column] = []
-    warnings: list[Column] = []
-    for name in columns.names:
-        raw, kind = columns.value(result, name), columns.kinds.get(name)
-        if kind == NUMERIC:
-            values.append(to_metric_decimal(raw).alias(name))
-            warnings.append(numeric_warning(name, raw))
-        elif kind == DATE:
-            found = types.get(columns.column(name), T.StringType())
-            values.append(business_date(raw, found).alias(name))
-        else:
-            values.append(raw.cast("string").alias(name))
-    for name in TEXT_RESULTS:
-        if name not in columns.names:
-            values.append((F.col(name).cast("string") if name in result.columns
-                           else F.lit(None).cast("string")).alias(name))
-    status = denominator_status(columns.value(result, "denominator_value"))
-    given = columns.value(result, "business_data_date")
-    date_type = types.get(columns.column("business_data_date"), T.StringType())
+    returned = {f.name: f.dataType for f in result.schema}
+    names = {name: columns.column(name) for name in columns.names}
+    names |= {name: name for name in TEXT_RESULTS if name not in names}
+
+    def text(column: str) -> str:
+        if column not in returned:
+            return "CAST(NULL AS STRING)"
+        quoted = "`" + column.replace("`", "``") + "`"
+        if isinstance(returned[column], (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return f"date_format({quoted}, 'yyyy-MM-dd')"
+        return f"CAST({quoted} AS STRING)"
+
+    return result.limit(1).selectExpr(*[f"{text(column)} AS `{name}`" for name, column in names.items()])
+
+
+def checked_values(raw: DataFrame, columns: ColumnMap | None = None) -> DataFrame:
+    """Text values as typed ones, with the ``error`` of a bad denominator or date and a ``warning``."""
+    columns = columns or ColumnMap()
+    numeric = [n for n, kind in columns.kinds.items() if kind == NUMERIC and n in columns.names]
+    given = F.col("business_data_date")
+    status = denominator_status(F.col("denominator_value")) if "denominator_value" in raw.columns else F.lit("SKIP")
     error = (
         F.when(status == "ZERO", ZERO_DENOMINATOR)
         .when(status == "NEGATIVE", NEGATIVE_DENOMINATOR)
         .when(given.isNull(), NO_BUSINESS_DATE)
-        .when(business_date(given, date_type).isNull(), F.concat(
-            F.lit("Invalid business_data_date: '"), given.cast("string"), F.lit("'. Expected YYYY-MM-DD format.")))
+        .when(strict_date(given).isNull(), F.concat(
+            F.lit("Invalid business_data_date: '"), given, F.lit("'. Expected YYYY-MM-DD format.")))
     )
+    warnings = [numeric_warning(n, F.col(n)) for n in numeric]
     warnings.append(F.when(status == "TINY", "denominator_value: very small"))
-    return result.limit(1).select(*values, error.alias("error"),
-                                  F.nullif(F.concat_ws("; ", *warnings), F.lit("")).alias("warning"))
+    return raw.select(
+        *[to_metric_decimal(F.col(c)).alias(c) if c in numeric else F.col(f"`{c}`") for c in raw.columns],
+        error.alias("error"), F.nullif(F.concat_ws("; ", *warnings), F.lit("")).alias("warning"))
 
 
 def run_metric(spark: SparkSession, definition: Mapping, dates: Sequence[dt.date] = (),
                columns: ColumnMap | None = None) -> DataFrame:
     """The checked values of one metric (lazy); an empty result gives no row."""
+    return checked_values(_raw_metric(spark, definition, dates, columns), columns)
+
+
+def _raw_metric(spark: SparkSession, definition: Mapping, dates: Sequence[dt.date],
+                columns: ColumnMap | None = None) -> DataFrame:
     result = bound_query(spark, definition["sql"], dates)
     (columns or ColumnMap()).check(result)
-    return metric_row(result, columns)
+    return raw_values(result, columns)
 
 
-def evaluate(spark: SparkSession, rows: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per named metric from one plan; a metric without a result row has NULL values."""
-    if not rows:
+def evaluate(spark: SparkSession, raws: Mapping[str, DataFrame]) -> DataFrame:
+    """``key``, ``empty`` and the raw values of each named metric, from one plan.
+
+    A metric without a result row has NULL values.
+    """
+    if not raws:
         raise MetricError("no metric to evaluate")
-    parts, fields = {}, None
-    for key, df in rows.items():
-        fields = fields or df.columns
-        parts[key] = df.select(F.struct(*fields)).scalar()
-    packed = F.array(*[F.struct(F.lit(key).alias("key"), part.alias("v")) for key, part in parts.items()])
-    one = spark.range(1).select(F.explode(packed).alias("m"))
-    return one.select("m.key", F.col("m.v").isNull().alias("empty"), "m.v.*")
+    keys, names = list(raws), next(iter(raws.values())).columns
+    packed = "struct(" + ", ".join(f"`{n}`" for n in names) + ") AS v"
+    one = spark.range(1).select(*[raw.selectExpr(packed).scalar().alias(f"m{i}") for i, raw in enumerate(raws.values())])
+    rows = one.selectExpr("posexplode(array(" + ", ".join(f"m{i}" for i in range(len(keys))) + ")) AS (pos, v)")
+    return rows.select(F.get(F.lit(keys), F.col("pos")).alias("key"), F.col("v").isNull().alias("empty"), "v.*")
 
 
 @contextmanager
@@ -198,8 +211,7 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
                 fail(key, unbound)
                 continue
             try:
-                queries[key] = run_metric(spark, record, [s.bound_date for s in spots], columns)
-                queries[key].schema
+                queries[key] = _raw_metric(spark, record, [s.bound_date for s in spots], columns)
             except (PySparkException, MetricError) as error:
                 fail(key, _first_line(error))
 
@@ -218,7 +230,7 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
         text = F.when(F.col("empty"), NO_BUSINESS_DATE).otherwise(F.col("error"))
         if strict:
             text = F.coalesce(text, F.when(F.col("warning").contains("not a DECIMAL"), F.col("warning")))
-        checked = values.withColumn("error", text)
+        checked = checked_values(values, columns).withColumn("error", text)
         failed = checked.where("error IS NOT NULL").select(F.col("key").alias("metric_id"), F.col("error").alias("error_message"))
         if fail_fast:
             first = failed.first()

@@ -57,7 +57,7 @@ def table_of(entity_uri: str) -> str:
 
 def expand_bindings(spec: Mapping) -> list[Check]:
     """Every (binding, rule) pair with its filter and parameters resolved."""
-    filters = {"NONE": {"filter_sql_expr": "true"}, **spec.get("row_filters", {})}
+    filters = {**spec.get("row_filters", {}), "NONE": {"filter_sql_expr": "true"}}
     checks = []
     for binding_id, binding in spec["rule_bindings"].items():
         name = binding.get("row_filter_id") or "NONE"
@@ -132,55 +132,53 @@ def table_summary(spark: SparkSession, checks: list[Check], tables: Mapping[str,
                   as_of: dt.date) -> DataFrame:
     """Counts of all checks of one table.
 
-    Row counts per filter, NULL counts per filter and column, passes and failures per row rule and
-    the table flags are conditional aggregates of one scan. Only uniqueness, integrity and free
-    statements add plans, as scalar subqueries of the same row.
+    Row counts per filter, NULL counts per filter and column, failures per row rule and the table
+    flags are conditional aggregates of one scan; what follows from them is not counted again. Only
+    uniqueness, integrity and free statements add plans, as scalar subqueries of the same row.
     """
     df = tables[checks[0].table]
+    filters: dict[str, int] = {}
+    columns: dict[str, int] = {}
     aggregates: dict[str, Column] = {}
-    rows_name: dict[str, str] = {}
-    nulls_name: dict[tuple[str, str], str] = {}
+    own: dict[int, DataFrame] = {}
+    packed = []
     for i, check in enumerate(checks):
-        meets = F.expr(_dated(check.filter_sql, as_of))
-        if check.filter_sql not in rows_name:
-            rows_name[check.filter_sql] = f"rows_{i}"
-            aggregates[f"rows_{i}"] = F.count_if(meets)
-        place = (check.filter_sql, check.column)
-        if place not in nulls_name:
-            nulls_name[place] = f"nulls_{i}"
-            aggregates[f"nulls_{i}"] = F.count_if(meets & F.col(f"`{check.column}`").isNull())
-        if check.rule_type in ROW_RULES:
+        f = filters.setdefault(check.filter_sql, len(filters))
+        c = columns.setdefault(check.column, len(columns))
+        rows, nulls = f"rows_{f}", f"nulls_{f}_{c}"
+        if rows not in aggregates:
+            aggregates[rows] = F.expr(f"count_if({_dated(check.filter_sql, as_of)})")
+        if nulls not in aggregates:
+            aggregates[nulls] = F.expr(f"count_if(({_dated(check.filter_sql, as_of)}) AND `{check.column}` IS NULL)")
+        ok, bad = f"{rows} - n_{i}", f"n_{i}"
+        if check.rule_type == "NOT_NULL":
+            ok, bad = f"{rows} - {nulls}", nulls
+        elif check.rule_type in ROW_RULES:
             passes = _row_pass(check, as_of)
-            aggregates[f"ok_{i}"] = F.count_if(meets & passes)
-            aggregates[f"bad_{i}"] = F.count_if(meets & ~passes)
+            within = lambda c: c if check.filter_name == "NONE" else F.expr(_dated(check.filter_sql, as_of)) & c
+            aggregates[f"n_{i}"] = F.count_if(within(~passes))
+            if check.rule_type == "CUSTOM_SQL_EXPR":
+                aggregates[f"ok_{i}"] = F.count_if(within(passes))
+                ok = f"ok_{i}"
+            else:  # undecided exactly where the column is NULL
+                ok = f"{rows} - {nulls} - n_{i}"
         elif (flag := _table_flag(check, as_of)) is not None:
             aggregates[f"n_{i}"] = flag.cast("bigint")
+        else:
+            own[i] = _own_plan(check, spark, tables, as_of)
+        packed.append(f"struct({rows} AS rows, {ok} AS ok, {bad} AS bad, {nulls} AS nulls)")
     counted = df.agg(*[column.alias(name) for name, column in aggregates.items()])
-    own = {i: plan for i, check in enumerate(checks)
-           if (plan := _own_plan(check, spark, tables, as_of)) is not None}
     if own:
         counted = counted.select("*", *[plan.scalar().alias(f"n_{i}") for i, plan in own.items()])
-    summaries = []
-    for i, check in enumerate(checks):
-        rows = F.col(rows_name[check.filter_sql])
-        if check.rule_type in ROW_RULES:
-            ok, bad = F.col(f"ok_{i}"), F.col(f"bad_{i}")
-        else:
-            bad, ok = statement_counts(F.col(f"n_{i}"), rows)
-        summaries.append(F.struct(
-            F.lit(check.binding).alias("rule_binding_id"), F.lit(check.rule).alias("rule_id"),
-            F.lit(check.table).alias("table_id"), F.lit(check.column).alias("column_id"),
-            F.lit(check.dimension).alias("dimension"), rows.alias("rows_validated"),
-            ok.alias("success_count"), bad.alias("failed_count"),
-            F.col(nulls_name[(check.filter_sql, check.column)]).alias("null_count"),
-            F.lit(_metadata(check)).alias("metadata_json_string"),
-        ))
-    return counted.select(F.inline(F.array(*summaries)))
-
-
-def statement_counts(n: Column, rows: Column) -> tuple[Column, Column]:
-    """Failed and successful counts of a rule that reports only its failures."""
-    return n, rows - n
+    rows = counted.selectExpr("posexplode(array(" + ", ".join(packed) + ")) AS (pos, s)")
+    known = spark.createDataFrame(
+        [(i, c.binding, c.rule, c.table, c.column, c.dimension, _metadata(c)) for i, c in enumerate(checks)],
+        "pos int, rule_binding_id string, rule_id string, table_id string, column_id string, dimension string, metadata_json_string string")
+    # one row per check on both sides
+    return rows.join(known, "pos").select(
+        "rule_binding_id", "rule_id", "table_id", "column_id", "dimension", F.col("s.rows").alias("rows_validated"),
+        F.col("s.ok").alias("success_count"), F.col("s.bad").alias("failed_count"), F.col("s.nulls").alias("null_count"),
+        "metadata_json_string")
 
 
 def percent(part: Column, whole: Column) -> Column:
