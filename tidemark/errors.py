@@ -1,4 +1,10 @@
-"""Errors the library raises."""
+"""Errors the library raises, and the ones a Spark job may raise."""
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+# a job that fails on the JVM side may arrive under either type
+JOB_ERRORS = (PySparkException, Py4JJavaError)
 
 
 class TidemarkError(Exception):

@@ -13,12 +13,11 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import MetricError
+from ..errors import JOB_ERRORS, MetricError
 from ..functions.dates import strict_date
 from ..functions.numbers import denominator_status, numeric_warning, to_metric_decimal
 from ..operators.partitions import bind_dates, bind_positional
@@ -212,7 +211,7 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
                 continue
             try:
                 queries[key] = _raw_metric(spark, record, [s.bound_date for s in spots], columns)
-            except (PySparkException, MetricError) as error:
+            except (*JOB_ERRORS, MetricError) as error:
                 fail(key, _first_line(error))
 
     values = None
@@ -220,8 +219,8 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
         try:
             with time_limit(spark, timeout and timeout * len(queries)):
                 values = checkpoint(evaluate(spark, queries))
-        except Exception as error:  # a job of the shared plan failed: find whose
-            if len(queries) == 1 and not isinstance(error, PySparkException):
+        except JOB_ERRORS as error:  # a job of the shared plan failed: find whose
+            if len(queries) == 1:
                 fail(next(iter(queries)), _first_line(error))
             else:
                 values = _one_by_one(spark, queries, fail, timeout)
@@ -253,7 +252,7 @@ def _one_by_one(spark: SparkSession, queries: Mapping[str, DataFrame], fail, tim
         try:
             with time_limit(spark, timeout):
                 done.append(checkpoint(evaluate(spark, {key: query})))
-        except Exception as error:
+        except JOB_ERRORS as error:
             fail(key, _first_line(error))
     values = None
     for part in done:

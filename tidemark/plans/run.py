@@ -5,10 +5,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import JOB_ERRORS
 from ..operators import partitions as P
 from ..operators import recon as R
 from ..operators import upsert as U
@@ -89,7 +89,7 @@ def _write(spark: SparkSession, results: DataFrame, targets: Mapping[str, str])
             changes = U.overwrite_partitions(spark, path, fitted)
             if changes is not None:
                 changed.append(changes.withColumn("target_table", F.lit(target)))
-        except PySparkException as error:
+        except JOB_ERRORS as error:
             failures.append(rows.select("metric_id", F.lit(str(error)).alias("error_message")))
     unrouted = results.where(~F.col("target_table").isin(list(targets)))
     failures.append(unrouted.select("metric_id", F.concat(

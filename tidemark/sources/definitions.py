@@ -2,12 +2,11 @@
 
 import re
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import SourceError
+from ..errors import JOB_ERRORS, SourceError
 from ..schemas import DEFINITION_SCHEMA
 
 _PATH = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?P<bucket>[^/]*)/(?P<object>.+)$")
@@ -25,7 +24,7 @@ def check_path(spark: SparkSession, path: str, require_scheme: bool = True) -> s
         raise SourceError(f"{path!r} names no bucket")
     try:
         spark.read.text(path).limit(1).count()
-    except PySparkException as error:
+    except JOB_ERRORS as error:
         raise SourceError(f"cannot read {path!r}: {error}") from error
     return path
 

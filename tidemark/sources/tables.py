@@ -3,10 +3,11 @@
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import JOB_ERRORS
+
 
 def read_partition(source: DataFrame | str, day: dt.date | None, column: str = "partition_dt",
                    spark: SparkSession | None = None) -> DataFrame:
@@ -45,6 +46,6 @@ def write_targets(df: DataFrame, routes: Mapping[str, str], partition_by: Sequen
         try:
             write(rows, place, partition_by)
             written.append(target)
-        except PySparkException as error:
+        except JOB_ERRORS as error:
             failed[target] = str(error)
     return written, failed
