@@ -2,7 +2,8 @@
 
 A snapshot has one row per business key and partition date. ``one_per_key`` makes that true with an
 aggregate, so joins and windows by key afterwards never meet more rows of a key than there are
-partition dates, however often the key occurs in the input.
+partition dates, however often the key occurs in the input. That bound is what lets a window by key
+stay one task per key.
 """
 
 import datetime as dt
@@ -38,16 +39,22 @@ def _change(old: str = "old", new: str = "new") -> Column:
 
 
 def classify_changes(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
-                     ignore: Sequence[str] = ("partition_dt",)) -> DataFrame:
-    """Class of every key of two snapshots: new, updated, unchanged or omitted."""
+                     ignore: Sequence[str] = ("partition_dt",), order: Sequence[str] = ()) -> DataFrame:
+    """Class of every key of two snapshots: new, updated, unchanged or omitted.
+
+    Here and below, a key that repeats in a snapshot counts with its last row by ``order``. The
+    aggregate that picks it also partitions both sides for the join.
+    """
+    prev, cur = one_per_key(prev, keys, order), one_per_key(cur, keys, order)
     tracked = _tracked(cur, keys, ignore)
     both = _values(prev, keys, tracked, "old").join(_values(cur, keys, tracked, "new"), list(keys), "full")
     return both.select(*keys, _change().alias("change"))
 
 
 def classify_snapshots(snapshots: DataFrame, keys: Sequence[str], day: str = "partition_dt",
-                       ignore: Sequence[str] = ()) -> DataFrame:
+                       ignore: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
     """The same for each partition date against the one before it; all keys of the first are new."""
+    snapshots = one_per_key(snapshots, [*keys, day], order)
     tracked = _tracked(snapshots, [*keys, day], ignore)
     rows = _values(snapshots, [*keys, day], tracked, "new")
     # at most one row per calendar date
@@ -62,8 +69,9 @@ def classify_snapshots(snapshots: DataFrame, keys: Sequence[str], day: str = "pa
 
 
 def column_diffs(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
-                 ignore: Sequence[str] = ("partition_dt",)) -> DataFrame:
+                 ignore: Sequence[str] = ("partition_dt",), order: Sequence[str] = ()) -> DataFrame:
     """One row per key and column that changed, with both values as text."""
+    prev, cur = one_per_key(prev, keys, order), one_per_key(cur, keys, order)
     tracked = _tracked(cur, keys, ignore)
     both = _values(prev, keys, tracked, "old").join(_values(cur, keys, tracked, "new"), list(keys))
     old, new = (lambda c: F.col(f"old.`{c}`")), (lambda c: F.col(f"new.`{c}`"))
@@ -77,7 +85,7 @@ def column_diffs(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
 
 def apply_scd2(latest: DataFrame, incoming: DataFrame, keys: Sequence[str], mode: str = "full",
                ignore: Sequence[str] = (), day: str = "partition_dt",
-               history_day: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+               history_day: dt.date | None = None, order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Load one snapshot: the new latest rows, and the versions it moves to history.
 
     Every incoming row is in the new latest. The old version of an updated key goes to history. A
@@ -87,6 +95,7 @@ def apply_scd2(latest: DataFrame, incoming: DataFrame, keys: Sequence[str], mode
     """
     if mode not in ("full", "delta"):
         raise ValueError(f"mode must be 'full' or 'delta', not {mode!r}")
+    latest, incoming = one_per_key(latest, keys, order), one_per_key(incoming, keys, order)
     tracked = _tracked(incoming, keys, [day, *ignore])
     pack = lambda df, name: df.select(*keys, F.struct(*incoming.columns).alias(name))
     both = pack(latest, "o").join(pack(incoming, "n"), list(keys), "full")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import partition_calendar, reference_date, strict_date
 from ..operators import partitions as P
 from ..operators import validate as V
+from ..plans.metrics import bound_query, table_views
 from .base import AS_OF, DEFS_SQL, RUN_DATE, derived_defs, query, table
 
 
@@ -210,6 +211,17 @@ def _(spark, sf):
     return P.missing_partitions(refs, P.latest_partition(info))
 
 
+@query("pt08_partition_info", f"SELECT count(*) AS n FROM ({_SHIPMENTS})")
+def _(spark, sf):
+    return spark.range(1).select(F.lit(P.validate_partition_info(_shipments(spark, sf))).cast("bigint").alias("n"))
+
+
+@query("pt09_current_date", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_shipdate = DATE '1998-06-01'")
+def _(spark, sf):
+    with table_views(spark, {"w.retail.lineitem": table(spark, sf, "lineitem")}):
+        return bound_query(spark, "SELECT l_orderkey, l_linenumber FROM `w.retail.lineitem` WHERE l_shipdate = '{currently}'", [RUN_DATE])
+
+
 def _known_dates(spark, sf):
     """Latest dates of the tables the derived definitions name."""
     o = table(spark, sf, "orders")

@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..sources import (append, load_csv_typed, row_hash, schema_from_ddl, stamp_audit, export_csv, write_targets)
+from ..sources import (append, export_csv, load_csv_folder, load_csv_typed, row_hash, schema_from_ddl, stamp_audit,
+                       write_targets)
 from .base import query, scratch, table
 
 
@@ -46,6 +47,19 @@ def _(spark, sf):
     return rows.select("doc_id", "lang", "n_chars", F.md5(F.regexp_replace("text", r"^[ \t\r\n]+|[ \t\r\n]+$", "")).alias("text_hash"))
 
 
+@query("io08_csv_folder",
+       "SELECT 'w-bld-77.w_bld.parties' AS table_name, CAST(c_custkey AS BIGINT) AS id, c_name AS name FROM customer UNION ALL SELECT 'w-bld-77.w_bld.parties', s_suppkey, s_name FROM supplier "
+       "UNION ALL SELECT 'w-bld-77.w_bld.parts', p_partkey, p_name FROM part")
+def _(spark, sf):
+    folder = scratch(spark, "folder")
+    for name, key, label in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("part", "p_partkey", "p_name"), ("nation", "n_nationkey", "n_name")):
+        export_csv(table(spark, sf, name).select(F.col(key).alias("id"), F.col(label).alias("name")), f"{folder}/{name}.csv")
+    parties, parts = "w-<env>-<project_code>.w_<env>.parties", "w-<env>-<project_code>.w_<env>.parts"
+    tables, _ = load_csv_folder(spark, folder, {"customer.csv": parties, "supplier.csv": parties, "part.csv": parts}, "bld", {"w": "77"})
+    one, two = [df.select(F.lit(name).alias("table_name"), "id", "name") for name, df in tables.items()]
+    return one.unionByName(two)
+
+
 @query("io09_export",
        "SELECT event_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || strftime(ts, '%Y-%m-%d') || '|' || (value > 50) || '|' || coalesce(nullif(event_type, 'click'), '') AS line FROM events "
        "UNION ALL SELECT 'event_id|ts|day|high|event_type' WHERE (SELECT count(*) FROM events) > 0")

@@ -108,15 +108,20 @@ def load_csv_folder(spark: SparkSession, folder: str, mapping: Mapping[str, str]
                     allowed: Sequence[str] = ALLOWED_ENVS) -> tuple[dict[str, DataFrame], DataFrame]:
     """Typed rows per target table for the mapped files of a folder, and a report of all files.
 
-    The report has ``file_name`` and ``table_name``; a file without a mapping has none and is
-    skipped. Files that name the same table are unioned.
+    A name is a file ``x.csv`` or a folder ``x.csv`` of part files. The report has ``file_name`` and
+    ``table_name``; a name without a mapping has none and is skipped. Names of one table are unioned.
     """
     lookup = spark.createDataFrame(
         [(name, resolve_table(template, env, project_codes, allowed)) for name, template in mapping.items()],
         "file_name string, table_name string")
     # only the listing is read here: the content column is pruned
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-             .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
+    parts = F.split("path", "/")
+    parent, last = F.element_at(parts, -2), F.element_at(parts, -1)
+    in_folder = parent.endswith(".csv")  # part files of one named folder
+    files = listed.select(
+        F.when(in_folder, parent).otherwise(last).alias("file_name"),
+        F.when(in_folder, F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")).otherwise(F.col("path")).alias("path")).distinct()
     report = files.join(lookup, "file_name", "left")
     tables: dict[str, DataFrame] = {}
     for row in report.where("table_name IS NOT NULL").orderBy("file_name").collect():
