@@ -32,12 +32,17 @@ def distinct_refs(defs: DataFrame) -> DataFrame:
     return table_refs(defs).select("project", "dataset", "table_name").distinct()
 
 
+def source_columns() -> list:
+    """``source_dataset`` and ``source_table_name`` of a definition's SQL, UNKNOWN without a reference."""
+    ref = F.btrim(F.regexp_extract("sql", TABLE_REF, 0), F.lit("`"))
+    part = lambda i: F.regexp_extract(ref, r"^([^.]+)\.([^.]+)\.(.+)$", i)
+    known = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("UNKNOWN"))
+    return [known(part(2)).alias("source_dataset"), known(part(3)).alias("source_table_name")]
+
+
 def source_table(defs: DataFrame) -> DataFrame:
     """Dataset and table of the first reference of each metric, else UNKNOWN."""
-    first = F.regexp_extract("sql", TABLE_REF, 0)
-    ref = defs.select("metric_id", F.btrim(first, F.lit("`")).alias("ref")).select("metric_id", *_split("ref"))
-    known = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("UNKNOWN")).alias(f"source_{c}")
-    return ref.select("metric_id", known("dataset"), known("table_name"))
+    return defs.select("metric_id", *source_columns())
 
 
 def _valid(info: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_error, format_error
 from ..schemas import RECON_SCHEMA
-from .partitions import source_table
+from .partitions import source_columns
 
 # Constants and texts of reconciliation rows.
 MODULE_ID, MODULE_TYPE = "103", "Metrics"
@@ -69,8 +69,7 @@ def recon_rows(outcomes: DataFrame, run_date: str, env: str, partition_dt: dt.da
                     ).otherwise(F.concat(F.lit("Error: "), clean_error(F.col("error_message"))))
     target = F.split(F.trim("target_table"), r"\.")
     part = lambda i: F.coalesce(F.nullif(F.get(target, i), F.lit("")), F.lit("UNKNOWN"))
-    names = outcomes.join(source_table(outcomes), "metric_id")
-    return _layout(names, _common(run_date, env, partition_dt, loaded_at, module_id, module_type) | {
+    return _layout(outcomes.select("*", *source_columns()), _common(run_date, env, partition_dt, loaded_at, module_id, module_type) | {
         "source_databs_nm": F.col("source_dataset"), "source_table_nm": F.col("source_table_name"),
         "target_databs_nm": part(1), "target_table_nm": part(2),
         "source_vl": F.lit("0"), "target_vl": F.when(ok, "0").otherwise("1"),

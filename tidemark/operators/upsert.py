@@ -58,7 +58,9 @@ def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
     partitions are written whole beside the table and swapped in when the job commits, so a task or
     executor that fails before that leaves the table as it was.
     """
-    if incoming.isEmpty():
+    # at most one value per calendar day (a run has one)
+    days = [row[0] for row in incoming.select(partition).distinct().collect()]
+    if not days:
         return None
     existing = read_partitioned(spark, path, partition, incoming)
     if existing is not None:
@@ -66,8 +68,7 @@ def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
     changes = classify_keys(existing, incoming, keys)
     result = incoming
     if existing is not None:
-        # at most one value per calendar day (a run has one): literals prune the untouched folders
-        days = [row[0] for row in incoming.select(partition).distinct().collect()]
+        # literals prune the untouched folders
         touched = existing.where(F.col(partition).isin(days))
         result = overwrite_by_key(touched, incoming, keys)
     changes = checkpoint(changes)

@@ -11,6 +11,7 @@ import re
 import threading
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -26,6 +27,7 @@ from ..session import checkpoint
 from .columns import NUMERIC, ColumnMap
 
 QUERY_TIMEOUT_SECONDS = 180
+ANALYSIS_THREADS = 8
 _SPOT = re.compile(r"'?\{(currently|partition_info|run_date)\}'?")
 
 # Messages of the denominator and date checks.
@@ -201,18 +203,24 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
         if fail_fast:
             raise MetricError(f"Metric '{metric_id}': {text}")
 
+    def build(record: Mapping) -> DataFrame | str:
+        spots = bound.get(record["metric_id"], [])
+        unbound = next((s.error for s in spots if s.error), None)
+        if unbound:
+            return unbound
+        try:
+            return _raw_metric(spark, record, [s.bound_date for s in spots], columns)
+        except (*JOB_ERRORS, MetricError) as error:
+            return _first_line(error)
+
     queries: dict[str, DataFrame] = {}
-    with table_views(spark, tables or {}):
-        for record in records:
-            key, spots = record["metric_id"], bound.get(record["metric_id"], [])
-            unbound = next((s.error for s in spots if s.error), None)
-            if unbound:
-                fail(key, unbound)
-                continue
-            try:
-                queries[key] = _raw_metric(spark, record, [s.bound_date for s in spots], columns)
-            except (*JOB_ERRORS, MetricError) as error:
-                fail(key, _first_line(error))
+    # analysis only, no job: the driver resolves several definitions at a time
+    with table_views(spark, tables or {}), ThreadPoolExecutor(ANALYSIS_THREADS) as pool:
+        for record, built in zip(records, pool.map(build, records)):
+            if isinstance(built, str):
+                fail(record["metric_id"], built)
+            else:
+                queries[record["metric_id"]] = built
 
     values = None
     if queries:
