@@ -50,19 +50,20 @@ def overwrite_by_key(existing: DataFrame | None, incoming: DataFrame,
     return delete_by_key(existing, incoming, keys).unionByName(incoming.select(*existing.columns))
 
 
-def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
+def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame,
                          keys: Sequence[str] = RESULT_KEYS, partition: str = "partition_dt") -> DataFrame | None:
-    """Overwrite by key in a partitioned parquet table and rewrite only the touched partitions.
+    """Overwrite by key in a partitioned table and rewrite only the touched partitions.
 
-    Returns the overwritten/new split per key, or None when there was nothing to write. The new
-    partitions are written whole beside the table and swapped in when the job commits, so a task or
-    executor that fails before that leaves the table as it was.
+    ``place`` is a parquet folder (it holds a slash) or a catalog table. Returns the overwritten/new
+    split per key, or None when there was nothing to write. The new partitions are written whole
+    beside the table and swapped in when the job commits, so a task or executor that fails before
+    that leaves the table as it was. ``incoming`` is read several times: materialise an expensive one.
     """
     # at most one value per calendar day (a run has one)
     days = [row[0] for row in incoming.select(partition).distinct().collect()]
     if not days:
         return None
-    existing = read_partitioned(spark, path, partition, incoming)
+    existing = read_partitioned(spark, place, partition, incoming)
     if existing is not None:
         existing = existing.select(*incoming.columns)
     changes = classify_keys(existing, incoming, keys)
@@ -73,22 +74,36 @@ def overwrite_partitions(spark: SparkSession, path: str, incoming: DataFrame,
         result = overwrite_by_key(touched, incoming, keys)
     changes = checkpoint(changes)
     # one set of evenly sized files per partition, however the keys were joined
-    (result.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
+    writer = (result.hint("rebalance", partition).write.mode("overwrite").format("parquet")
+              .option("partitionOverwriteMode", "dynamic"))
+    if "/" in place:
+        writer.partitionBy(partition).save(place)
+    elif existing is None:
+        writer.partitionBy(partition).saveAsTable(place)
+    else:
+        # by position: the partition column comes last in a table
+        order = spark.table(place).columns
+        (result.select(*order).hint("rebalance", partition).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").insertInto(place))
     return changes
 
 
-def read_partitioned(spark: SparkSession, path: str, partition: str, like: DataFrame) -> DataFrame | None:
-    """The table at ``path``, or None when there is none yet.
+def read_partitioned(spark: SparkSession, place: str, partition: str, like: DataFrame) -> DataFrame | None:
+    """The table at ``place``, or None when there is none yet.
 
     A partition folder name carries no type: it is taken from ``like``.
     """
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+    if "/" not in place:
+        if not spark.catalog.tableExists(place):
             return None
-        raise
+        table = spark.table(place)
+    else:
+        try:
+            table = spark.read.parquet(place)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
     return table.withColumn(partition, F.col(partition).cast(like.schema[partition].dataType))
 
 

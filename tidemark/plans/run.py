@@ -41,8 +41,8 @@ def run_definitions(spark: SparkSession, defs_path: str, partition_info: DataFra
                     timeout: float | None = QUERY_TIMEOUT_SECONDS) -> RunReport:
     """Run the definitions of ``dependencies`` and write results and reconciliation rows.
 
-    ``tables`` gives the source tables by ``project.dataset.table``, ``targets`` the parquet folder
-    of each target table. A failing metric or target does not stop the others. When the run itself
+    ``tables`` gives the source tables by ``project.dataset.table``, ``targets`` the place of each
+    target table (a parquet folder or a catalog table). A failing metric or target does not stop the others. When the run itself
     fails after the definitions are read, a failure row per requested metric is written and the
     error is raised again.
     """
