@@ -150,6 +150,7 @@ def definitions(tmp_path, *more):
     sql = "SELECT count(*) AS metric_output, {currently} AS business_data_date FROM `p.d.staff` WHERE partition_dt = {partition_info}"
     defs = [{**base, "metric_id": "A", "metric_name": "First", "sql": sql}, {**base, "metric_id": "B", "metric_name": "Second", "sql": "SELECT 1 AS metric_output"},
             {**base, "metric_id": "C", "metric_name": "Third", "sql": sql, "target_table": "p.d.nowhere"},
+            {**base, "metric_id": "E", "metric_name": "Fifth", "sql": sql.replace("p.d.staff", "p.d.unlisted")},
             {**base, "metric_id": "D", "metric_name": "Other", "sql": sql, "dependency": "weekly"}, *more]
     path = tmp_path / "defs.json"
     path.write_text(json.dumps(defs))
@@ -168,13 +169,17 @@ def test_whole_run(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.metric_id, r.metric_output, str(r.partition_dt)) for r in out] == [("A", 1, "2024-01-15")]
     recon = spark.read.parquet(str(tmp_path / "recon"))
-    assert recon.columns == RECON_COLUMNS and recon.count() == 6
+    assert recon.columns == RECON_COLUMNS and recon.count() == 8
     status = {r.source_system_id: (r.rcncln_exact_pass_in, r.excldd_reason_tx) for r in second.recon.collect()}
     assert status["A"] == ("Passed", "Metric data was successfully written.")
     assert status["B"][1].startswith("Metric data was failed written. [SQL_EXECUTION_ERROR] SQL query execution failed: business_data_date is required")
     assert status["C"][1].endswith("no place is given for target table p.d.nowhere") and "[BIGQUERY_WRITE_ERROR]" in status["C"][1]
+    assert status["E"] == ("Failed", "Failed to create recon record: [RECON_CREATION_ERROR] Recon record creation failed: Recon record creation failed: "
+                                     "no partition date for p.d.unlisted")
+    fallback = second.recon.where("source_system_id = 'E'").first()
+    assert (fallback.source_vl, fallback.source_table_nm, fallback.target_table_nm, fallback.source_column_nm) == ("1", "UNKNOWN", "UNKNOWN", "NA")
     stats = {r.target_table: r.asDict() for r in second.stats.collect()}
-    assert stats["p.d.out"] == {"target_table": "p.d.out", "processed": 2, "written": 1, "failed": 1, "overwritten": 1, "new": 0}
+    assert stats["p.d.out"] == {"target_table": "p.d.out", "processed": 3, "written": 1, "failed": 2, "overwritten": 1, "new": 0}
 
 
 def test_run_refuses_bad_input(spark, tmp_path):
@@ -184,5 +189,18 @@ def test_run_refuses_bad_input(spark, tmp_path):
     for run_date, dependencies in (("2024-15-01", "daily"), ("2024-01-15", "missing"), ("2024-01-15", " , ")):
         with pytest.raises(DefinitionError):
             run_definitions(spark, path, run_date=run_date, dependencies=dependencies, **args)
-    with pytest.raises(DefinitionError, match="Record 4"):
+    with pytest.raises(DefinitionError, match="Record 5"):
         run_definitions(spark, definitions(tmp_path, {"metric_id": "A"}), run_date="2024-01-15", dependencies="daily", **args)
+
+
+def test_failed_run_leaves_failure_rows(spark, tmp_path, monkeypatch):
+    from tidemark.plans import run as module
+    info = spark.createDataFrame([("p.d", "staff", "2024-01-10")], "project_dataset string, table_name string, partition_dt string")
+    def broken(*args, **kwargs):
+        raise RuntimeError("cluster\nlost")
+    monkeypatch.setattr(module, "run_metrics", broken)
+    with pytest.raises(RuntimeError):
+        run_definitions(spark, definitions(tmp_path), info, "2024-01-15", "daily", {}, {}, str(tmp_path / "recon"), "bld", executed_at=NOW)
+    rows = spark.read.parquet(str(tmp_path / "recon")).collect()
+    assert {r.source_system_id for r in rows} == {"A", "B", "C", "E"} and {r.rcncln_exact_pass_in for r in rows} == {"Failed"}
+    assert rows[0].excldd_reason_tx.endswith("[PIPELINE_EXECUTION_ERROR] Pipeline failed: cluster lost")

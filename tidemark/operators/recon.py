@@ -82,16 +82,16 @@ def recon_rows(outcomes: DataFrame, run_date: str, env: str, partition_dt: dt.da
     })
 
 
-def failure_rows(defs: DataFrame, message: str, run_date: str, env: str, partition_dt: dt.date,
+def failure_rows(defs: DataFrame, message: str | Column, run_date: str, env: str, partition_dt: dt.date,
                  loaded_at: dt.datetime, run_category: str | None = None,
                  module_id: str = MODULE_ID, module_type: str = MODULE_TYPE) -> DataFrame:
-    """Rows for metrics whose own row could not be built.
+    """Rows for metrics whose own row could not be built; ``message`` is a text or a column of ``defs``.
 
     With ``run_category`` the whole run failed and the text says so.
     """
-    if run_category:
-        message = f"[{run_category}] Pipeline failed: {message}"
-    reason = F.concat(F.lit(FALLBACK_TEXT), format_error(F.lit(message), F.lit("RECON_CREATION_ERROR")))
+    text = message if isinstance(message, Column) else F.lit(message)
+    start = f"[{run_category}] Pipeline failed: " if run_category else "Recon record creation failed: "
+    reason = F.concat(F.lit(FALLBACK_TEXT), format_error(F.concat(F.lit(start), text), F.lit("RECON_CREATION_ERROR")))
     unknown = F.lit("UNKNOWN")
     return _layout(defs, _common(run_date, env, partition_dt, loaded_at, module_id, module_type) | {
         "source_databs_nm": unknown, "source_table_nm": unknown,

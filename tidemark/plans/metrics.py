@@ -180,6 +180,9 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
                 timeout: float | None = QUERY_TIMEOUT_SECONDS) -> tuple[DataFrame, DataFrame]:
     """Run all definitions; give the result rows (with ``target_table``) and the failures.
 
+    A failure has ``metric_id``, ``error_message`` and ``stage``: bind (a placeholder has no date), run
+    (the SQL failed) or check (a value failed).
+
     A definition that does not bind or analyse fails alone. The others run as one plan; if that
     fails, each runs on its own to find the culprit. Values are checkpointed, so nothing is computed
     twice downstream. ``strict`` fails a metric whose number has no decimal form. ``fail_fast``
@@ -196,27 +199,28 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
     for row in bind(defs, run_date, latest).orderBy("metric_id", "ordinal").collect():
         bound.setdefault(row.metric_id, []).append(row)
 
-    failures: dict[str, str] = {}
+    failures: dict[str, tuple[str, str]] = {}
 
-    def fail(metric_id: str, text: str) -> None:
-        failures[metric_id] = text
+    def fail(metric_id: str, text: str, stage: str = "run") -> None:
+        failures[metric_id] = (text, stage)
         if fail_fast:
             raise MetricError(f"Metric '{metric_id}': {text}")
 
     def build(record: Mapping) -> DataFrame | str:
         spots = bound.get(record["metric_id"], [])
-        unbound = next((s.error for s in spots if s.error), None)
-        if unbound:
-            return unbound
         try:
             return _raw_metric(spark, record, [s.bound_date for s in spots], columns)
         except (*JOB_ERRORS, MetricError) as error:
             return _first_line(error)
 
+    unbound = {key: error for key, spots in bound.items() if (error := next((s.error for s in spots if s.error), None))}
+    for key, error in unbound.items():
+        fail(key, error, "bind")
+    ready = [r for r in records if r["metric_id"] not in unbound]
     queries: dict[str, DataFrame] = {}
     # analysis only, no job: the driver resolves several definitions at a time
     with table_views(spark, tables or {}), ThreadPoolExecutor(ANALYSIS_THREADS) as pool:
-        for record, built in zip(records, pool.map(build, records)):
+        for record, built in zip(ready, pool.map(build, ready)):
             if isinstance(built, str):
                 fail(record["metric_id"], built)
             else:
@@ -238,14 +242,15 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
         if strict:
             text = F.coalesce(text, F.when(F.col("warning").contains("not a DECIMAL"), F.col("warning")))
         checked = checked_values(values, columns).withColumn("error", text)
-        failed = checked.where("error IS NOT NULL").select(F.col("key").alias("metric_id"), F.col("error").alias("error_message"))
+        failed = checked.where("error IS NOT NULL").select(F.col("key").alias("metric_id"), F.col("error").alias("error_message"), F.lit("check").alias("stage"))
         if fail_fast:
             first = failed.first()
             if first is not None:
                 raise MetricError(f"Metric '{first.metric_id}': {first.error_message}")
         good = build_records(checked.where("error IS NULL"), spark.createDataFrame(records, DEFINITION_SCHEMA),
                              partition_dt or run_date, executed_at or dt.datetime.now(dt.timezone.utc), columns)
-    early = spark.createDataFrame(list(failures.items()), "metric_id string, error_message string")
+    early = spark.createDataFrame([(key, *reason) for key, reason in failures.items()],
+                                  "metric_id string, error_message string, stage string")
     failed = early if failed is None else failed.unionByName(early)
     if good is None:
         schema = T.StructType([T.StructField("target_table", T.StringType())] + RESULT_SCHEMA.fields)

@@ -61,7 +61,7 @@ def run_definitions(spark: SparkSession, defs_path: str, partition_info: DataFra
                                         columns, positional, strict, timeout=timeout)
         written, changes, unwritten = _write(spark, results, targets)
         outcomes = checkpoint(R.classify(chosen, written, failures, unwritten))
-        recon = checkpoint(R.recon_rows(outcomes, run_date, env, partition_dt, executed_at))
+        recon = checkpoint(_reconcile(outcomes, failures, run_date, env, partition_dt, executed_at))
     except Exception as error:
         rows = R.failure_rows(chosen, str(error), run_date, env, partition_dt, executed_at, "PIPELINE_EXECUTION_ERROR")
         append(rows, recon_target)
@@ -78,6 +78,15 @@ def _latest(info: DataFrame, defs: DataFrame, day: dt.date, lookback_days: int |
     return P.latest_partitions(info, both, day if lookback_days is not None else None, lookback_days)
 
 
+def _reconcile(outcomes: DataFrame, failures: DataFrame, run_date: str, env: str, partition_dt: dt.date,
+               executed_at: dt.datetime) -> DataFrame:
+    """One row per metric; a metric without dates has no resolved source, so it gets a failure row."""
+    unbound = failures.where("stage = 'bind'").select("metric_id")
+    rows = R.recon_rows(outcomes.join(unbound, "metric_id", "left_anti"), run_date, env, partition_dt, executed_at)
+    broken = outcomes.join(unbound, "metric_id", "left_semi")
+    return rows.unionByName(R.failure_rows(broken, F.col("error_message"), run_date, env, partition_dt, executed_at))
+
+
 def _write(spark: SparkSession, results: DataFrame, targets: Mapping[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written ids with their target, their key changes, and an error per id that was not written."""
     failures, changed = [], []
