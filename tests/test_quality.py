@@ -109,3 +109,31 @@ def test_value_and_row_expectations(spark):
     assert (short.missing, short.extra, short.status) == (1, 1, "FAIL")
     with pytest.raises(DefinitionError):
         E.expect_number(names, "about 3")
+
+
+YAML = """
+row_filters:
+  NONE:
+    filter_sql_expr: "True"
+  ACTIVE:
+    filter_sql_expr: >
+      status = 'ACTIVE'
+rules:
+  NOT_BLANK: {rule_type: NOT_BLANK, dimension: completeness}
+  DAYS: {rule_type: RANGE, dimension: validity, params: {min: 0.5, max: null}}
+rule_bindings:
+  NAME: {entity_uri: "bigquery://projects/p/datasets/d/tables/staff", column_id: name, row_filter_id: NONE, rule_ids: [NOT_BLANK]}
+  DAYS: {entity_uri: "bigquery://projects/p/datasets/d/tables/staff", column_id: days, row_filter_id: ACTIVE, rule_ids: [DAYS, NOT_BLANK]}
+"""
+
+
+def test_specification_file(spark, tmp_path):
+    pytest.importorskip("yaml")
+    path = tmp_path / "rules.yml"
+    path.write_text(YAML)
+    summary = Q.run_dq(spark, Q.read_spec(spark, str(path)), {"p.d.staff": staff(spark)}, DAY)
+    got = {(r.rule_binding_id, r.rule_id): (r.rows_validated, r.success_count, r.failed_count, r.null_count) for r in summary.collect()}
+    assert got == {("NAME", "NOT_BLANK"): (4, 1, 2, 1), ("DAYS", "DAYS"): (3, 1, 1, 1), ("DAYS", "NOT_BLANK"): (3, 2, 0, 1)}
+    json_path = tmp_path / "rules.json"
+    json_path.write_text('{"rules": {}, "rule_bindings": {}}')
+    assert Q.read_spec(spark, str(json_path)) == {"rules": {}, "rule_bindings": {}}

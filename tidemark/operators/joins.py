@@ -68,6 +68,7 @@ def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     others of ``right``. Rows with a NULL key match nothing and are spread as well. Semi and anti
     joins reduce the right side to its distinct keys. ``split_right`` also salts the keys that are
     hot on the right side of an inner or left join; without it the right side should be a lookup.
+    The key columns of a side are read once more to find its hot keys: materialise an expensive side.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")

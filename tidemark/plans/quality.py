@@ -49,6 +49,20 @@ class Check:
     params: Mapping
 
 
+def read_spec(spark: SparkSession, path: str) -> dict:
+    """A specification from a JSON file, or from a YAML file where a YAML reader is installed."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    try:
+        return json.loads(text)
+    except ValueError:
+        pass
+    try:
+        import yaml
+    except ImportError as error:
+        raise DefinitionError(f"{path!r} is not JSON, and no YAML reader is installed") from error
+    return yaml.safe_load(text)
+
+
 def table_of(entity_uri: str) -> str:
     """``project.dataset.table`` of an entity URI; any other text is the table name itself."""
     found = _URI.search(entity_uri)
