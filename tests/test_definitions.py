@@ -149,3 +149,6 @@ def test_lookback_bounds_all_tables(spark):
     found = P.latest_partitions(dated, refs, dt.date(2024, 1, 20), 30)
     assert {(r.project_dataset, r.table_name) for r in found.collect()} == {("p.d", "src"), ("d", "other")}
     assert ("d", "src") in {tuple(r) for r in P.missing_partitions(refs, found).collect()}
+    # text dates, some of them no dates, give the same
+    as_text = P.latest_partitions(info(spark), refs, dt.date(2024, 1, 20), 30)
+    assert sorted(tuple(r) for r in as_text.collect()) == sorted(tuple(r) for r in found.collect())

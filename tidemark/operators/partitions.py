@@ -65,6 +65,7 @@ def latest_partitions(info: DataFrame, refs: DataFrame, as_of: dt.date | None =
     count; the date bound reaches the scan. A maximum per key does what ranking the rows would do,
     and hot keys are reduced before the shuffle.
     """
+    info = _valid(info)
     if as_of is not None and lookback_days is not None:
         info = info.where(F.col("partition_dt") >= F.lit(as_of - dt.timedelta(days=lookback_days)))
     latest = latest_partition(info)
