@@ -37,8 +37,8 @@ def test_export_reads_back(spark, tmp_path):
                                "id long, day date, flag boolean, note string, tags array<string>, text string")
     export_csv(df, str(tmp_path / "out"), sep="|")
     lines = {line for f in (tmp_path / "out").glob("*.csv") for line in f.read_text().splitlines()}
-    assert lines == {"id|day|flag|note|tags|text", '1|2024-01-05|true||"["a"]"|"x|y ""q"""'.replace('"["a"]"', '"[""a""]"'), '2||false||| '.rstrip(" ") + " "} or \
-        '1|2024-01-05|true||"[""a""]"|"x|y ""q"""' in lines
+    assert "id|day|flag|note|tags|text" in lines and '1|2024-01-05|true||"[""a""]"|"x|y ""q"""' in lines
+    assert any(line.startswith("2||false||") for line in lines)
 
 
 MAPPING = """# comment

@@ -4,12 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions import denominator_status, numeric_warning, ratio_percent, strict_date, to_metric_decimal
+from ..functions import denominator_status, numeric_warning, ratio_percent, to_metric_decimal
 from ..functions.dates import business_date
 from ..operators import partitions as P
 from ..operators.aggregates import Measure, measure
 from ..plans import metrics as M
-from ..plans.columns import NUMERIC, ColumnMap
+from ..plans.columns import ColumnMap
 from .base import query, table
 
 _MOMENT = dt.datetime(2001, 8, 2)
