@@ -5,13 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import packing, quality_rules, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Ids whose labels no operator learns from: crc32 of the id as text, modulo 5, is 0.
+HELD_OUT = "crc32(cast(doc_id AS string)) % 5 = 0"
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -27,3 +31,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query("op9_power_of_two_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document."""
+    import public_tokenizers
+
+    pieces = packing.decompose(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "bucket")
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; cutoffs per language from labelled rows outside the test fold."""
+    found = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~F.expr(HELD_OUT))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
