@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,16 @@ def spans(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ends - lengths, ends
 
 
+def shingle_hashes(words: list[bytes], width: int, seed: int) -> np.ndarray:
+    """XXH64 of every run of ``width`` words joined by spaces; of all words when there are fewer."""
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    if len(words) <= width:
+        return np.array([digest(joined, seed)] if words else [], np.uint64)
+    starts, ends = spans(words)
+    last = len(words) - width + 1
+    return np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts[:last].tolist(), ends[width - 1:].tolist())), np.uint64, last)
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     """A key that tells rows apart which repeat an id with another text."""
     return F.xxhash64(df[id_col].isNull(), df[id_col], df[text_col].isNull(), df[text_col])

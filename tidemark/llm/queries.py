@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, simhash
+from . import classifier, decontaminate, packing, quality_rules, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,30 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~F.expr(HELD_OUT))
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document from labels outside the test fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.fit(docs, table(spark, sf_dir, "labels"), ~F.expr(HELD_OUT))
+    scored = classifier.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score",
+                         (F.col("score") >= classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
+def _shingles_sql(name: str, source: str, key: str) -> str:
+    """Distinct 5-word shingles per row, as two named subqueries."""
+    return (f"{name}_words AS (SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+'), x -> x <> '') AS w FROM {source}), "
+            f"{name}_shingles AS (SELECT DISTINCT {key}, s FROM (SELECT {key}, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) AS s FROM {name}_words))")
+
+
+@query("op5_benchmark_contamination", f"""
+    WITH {_shingles_sql('d', 'documents', 'doc_id')}, {_shingles_sql('b', 'benchmark', 'item_id')},
+    sizes AS (SELECT item_id, count(*) AS n FROM b_shingles GROUP BY item_id)
+    SELECT doc_id, item_id, count(*) / n AS containment FROM d_shingles JOIN b_shingles USING (s) JOIN sizes USING (item_id)
+    GROUP BY doc_id, item_id, n HAVING count(*) / n >= CAST(0.8 AS DOUBLE)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item it holds."""
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "containment")

@@ -18,12 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import materialise, small_batches, spans, texts
+from .common import materialise, shingle_hashes, small_batches, texts
 from .components import components
 
 SEED = 42
@@ -44,14 +43,8 @@ def simhash(text: bytes, words_per_shingle: int = 3) -> int:
     words = text.lower().split()
     if not words:
         return 0
-    joined = b" ".join(words)
-    if len(words) <= words_per_shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
-    starts, ends = spans(words)
-    last = len(words) - words_per_shingle + 1
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in
-                          zip(starts[:last].tolist(), ends[words_per_shingle - 1:].tolist())), np.uint64, last)
+    hashes = shingle_hashes(words, words_per_shingle, SEED)
+    last = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, last, 1 << 16):
         part = hashes[at:at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
