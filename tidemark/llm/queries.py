@@ -63,8 +63,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shingles_sql(name: str, source: str, key: str) -> str:
     """Distinct 5-word shingles per row, as two named subqueries."""
-    return (f"{name}_words AS (SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+'), x -> x <> '') AS w FROM {source}), "
-            f"{name}_shingles AS (SELECT DISTINCT {key}, s FROM (SELECT {key}, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) AS s FROM {name}_words))")
+    return (f"{name}_words AS (SELECT {key}, [x FOR x IN regexp_split_to_array(lower(text), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') IF x <> ''] AS w FROM {source}), "
+            f"{name}_shingles AS (SELECT DISTINCT {key}, s FROM (SELECT {key}, unnest([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) AS s FROM {name}_words))")
 
 
 @query("op5_benchmark_contamination", f"""
