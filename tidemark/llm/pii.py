@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 CONTEXT_CHARS = 48
 CONTEXT_GAIN = 0.4
 THRESHOLD = 0.5
-_STEP = 256  # matches whose lengths are summed at once
+_STEP = 64  # matches whose lengths are summed at once
 
 Check = Callable[[Column], Column]
 
