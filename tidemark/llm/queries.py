@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, decontaminate, licenses, line_spread, packing, pii, quality_rules, simhash
-from .common import table
+from . import archives, chat, classifier, decontaminate, licenses, line_spread, packing, pii, quality_rules, simhash
+from .common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -162,3 +162,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = read.groupBy("id").agg(F.first("turns", ignorenulls=True).alias("turns"), loss.alias("loss"), F.sum("chars").alias("formatted_chars"))
     return own.select(F.col("id").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines(F.col("turns")), 256).alias("turns_sha256"),
                       F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op6_warc_round_trip")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page read back from the archives it was written to."""
+    path = scratch(spark, "warc")
+    archives.write_pages(table(spark, sf_dir, "pages"), path)
+    return archives.read_pages(spark, path)
