@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.errors import SourceError
 from tidemark.operators import upsert as U
 
 SCHEMA = "metric_id string, value int, partition_dt string"
@@ -36,6 +38,56 @@ def test_overwrite_touches_only_its_partitions(spark, place, tmp_path):
     assert U.overwrite_partitions(spark, place, second.limit(0)) is None
 
 
+def test_null_partition_is_refused_and_stored_ones_stay(spark, place):
+    first = spark.createDataFrame(FIRST + [("n", 5, None), ("m", 6, None)], SCHEMA)
+    if "/" in place:
+        first.write.partitionBy("partition_dt").parquet(place)
+    else:
+        first.write.partitionBy("partition_dt").saveAsTable(place)
+    with pytest.raises(SourceError, match="1 rows have no"):
+        U.overwrite_partitions(spark, place, spark.createDataFrame([("n", 7, None), ("a", 7, "2024-01-01")], SCHEMA))
+    U.overwrite_partitions(spark, place, spark.createDataFrame(SECOND, SCHEMA))
+    assert sorted(stored_any(spark, place, first), key=str) == sorted(AFTER + [("n", 5, None), ("m", 6, None)], key=str)
+
+
+def stored_any(spark, place, like):
+    return [(r.metric_id, r.value, r.partition_dt) for r in U.read_partitioned(spark, place, "partition_dt", like).collect()]
+
+
+def test_partitions_that_look_like_numbers_stay_texts(spark, place):
+    first = spark.createDataFrame([("a", 1, "01"), ("b", 1, "01"), ("a", 1, "1")], SCHEMA)
+    U.overwrite_partitions(spark, place, first)
+    U.overwrite_partitions(spark, place, spark.createDataFrame([("a", 2, "01")], SCHEMA), day="01")
+    assert stored(spark, place, first) == [("a", 1, "1"), ("a", 2, "01"), ("b", 1, "01")]
+
+
+def test_stored_columns_stay(spark, place):
+    full = spark.createDataFrame([("a", 1, "x", "d1"), ("b", 1, "y", "d1")], "metric_id string, value int, note string, partition_dt string")
+    U.overwrite_partitions(spark, place, full)
+    U.overwrite_partitions(spark, place, full.where("metric_id = 'a'").drop("note"))
+    rows = U.read_partitioned(spark, place, "partition_dt", full).select("metric_id", "value", "note").collect()
+    assert sorted(map(tuple, rows)) == [("a", 1, None), ("b", 1, "y")]
+    with pytest.raises(SourceError, match="extra"):
+        U.overwrite_partitions(spark, place, full.withColumn("extra", F.lit(1)))
+
+
+def test_null_keys_replace_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1, "d"), ("a", 1, "d")], SCHEMA)
+    after = U.overwrite_by_key(rows, spark.createDataFrame([(None, 2, "d")], SCHEMA))
+    assert sorted(map(tuple, after.collect()), key=str) == sorted([(None, 2, "d"), ("a", 1, "d")], key=str)
+
+
+def test_every_scan_is_limited_to_the_run(spark, tmp_path, capsys):
+    place = str(tmp_path / "out")
+    U.overwrite_partitions(spark, place, spark.createDataFrame(FIRST, SCHEMA))
+    incoming = spark.createDataFrame([("a", 2, "2024-01-01")], SCHEMA)
+    touched = U.read_partitioned(spark, place, "partition_dt", incoming).where(F.col("partition_dt").between("2024-01-01", "2024-01-01"))
+    for df in (U.classify_keys(touched, incoming), U.overwrite_by_key(touched, incoming)):
+        df.explain()
+        scans = [line for line in capsys.readouterr().out.splitlines() if "FileScan" in line]
+        assert scans and all("partition_dt" in line.split("PartitionFilters:")[1].split("PushedFilters")[0] and ">=" in line for line in scans)
+
+
 def test_absent_table_holds_nothing(spark):
     incoming = spark.createDataFrame(SECOND, SCHEMA)
     assert U.existing_keys(None, incoming).isEmpty() and U.overwrite_by_key(None, incoming).count() == 3

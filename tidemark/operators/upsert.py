@@ -2,11 +2,15 @@
 
 import datetime as dt
 from collections.abc import Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..errors import SourceError
 from ..session import checkpoint
 
 RESULT_KEYS = ("metric_id", "partition_dt")
@@ -16,6 +20,11 @@ def _keys_of(incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     return incoming.select(*keys).distinct()
 
 
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys; NULL equals NULL."""
+    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def existing_keys(existing: DataFrame | None, incoming: DataFrame,
                   keys: Sequence[str] = RESULT_KEYS) -> DataFrame:
     """Keys of ``incoming`` that the table already holds; a table that does not exist holds none."""
@@ -23,7 +32,8 @@ def existing_keys(existing: DataFrame | None, incoming: DataFrame,
     if existing is None:
         return wanted.limit(0)
     # the side that is kept is distinct, so no key is hot in it
-    return wanted.join(existing.select(*keys).distinct(), list(keys), "left_semi")
+    known = existing.select(*keys).distinct()
+    return wanted.join(known, _same(wanted, known, keys), "left_semi")
 
 
 def classify_keys(existing: DataFrame | None, incoming: DataFrame,
@@ -32,50 +42,65 @@ def classify_keys(existing: DataFrame | None, incoming: DataFrame,
     wanted = _keys_of(incoming, keys)
     if existing is None:
         return wanted.withColumn("change", F.lit("new"))
-    known = existing.select(*keys).distinct().withColumn("known", F.lit(True))
-    change = F.when(F.col("known"), "overwritten").otherwise("new")
-    return wanted.join(known, list(keys), "left").select(*keys, change.alias("change"))
+    known = existing.select(*keys).distinct().withColumn("__known", F.lit(True))
+    change = F.when(F.col("__known"), "overwritten").otherwise("new")
+    return wanted.join(known, _same(wanted, known, keys), "left").select(*[wanted[k] for k in keys], change.alias("change"))
 
 
 def delete_by_key(existing: DataFrame, doomed: DataFrame, keys: Sequence[str] = RESULT_KEYS) -> DataFrame:
-    """Rows of the table whose key is not in ``doomed``."""
-    return existing.join(_keys_of(doomed, keys), list(keys), "left_anti")
+    """Rows of the table whose key is not in ``doomed``; a NULL key is a key like any other."""
+    gone = _keys_of(doomed, keys)
+    return existing.join(gone, _same(existing, gone, keys), "left_anti")
 
 
 def overwrite_by_key(existing: DataFrame | None, incoming: DataFrame,
                      keys: Sequence[str] = RESULT_KEYS) -> DataFrame:
-    """The table after the rows with an incoming key are replaced by the incoming rows."""
+    """The table after the rows with an incoming key are replaced by the incoming rows.
+
+    The table keeps all its columns: those the incoming rows lack are NULL in the new rows. A column
+    the table does not have is an error.
+    """
     if existing is None:
         return incoming
-    return delete_by_key(existing, incoming, keys).unionByName(incoming.select(*existing.columns))
+    unknown = [c for c in incoming.columns if c not in existing.columns]
+    if unknown:
+        raise SourceError(f"the table has no columns {unknown}")
+    kept = delete_by_key(existing, incoming, keys)
+    return kept.unionByName(incoming, allowMissingColumns=True).select(*existing.columns)
 
 
-def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame,
-                         keys: Sequence[str] = RESULT_KEYS, partition: str = "partition_dt") -> DataFrame | None:
+def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame, keys: Sequence[str] = RESULT_KEYS,
+                         partition: str = "partition_dt", day: object = None) -> DataFrame | None:
     """Overwrite by key in a partitioned table and rewrite only the touched partitions.
 
-    ``place`` is a parquet folder (it holds a slash) or a catalog table. Returns the overwritten/new
-    split per key, or None when there was nothing to write. The new partitions are written whole
-    beside the table and swapped in when the job commits, so a task or executor that fails before
+    ``place`` is a parquet folder (it holds a slash) or a catalog table. ``day`` names the one partition
+    of a run; without it the range of the incoming partitions is found first. Every scan of the table is
+    limited to that range, and only partitions with incoming rows are rewritten. Returns the
+    overwritten/new split per key, or None when there was nothing to write. The new partitions are written
+    whole beside the table and swapped in when the job commits, so a task or executor that fails before
     that leaves the table as it was. ``incoming`` is read several times: materialise an expensive one.
+    A NULL partition is refused, for its rows could not be told from others of the NULL partition.
     """
-    # at most one value per calendar day (a run has one)
-    days = [row[0] for row in incoming.select(partition).distinct().collect()]
-    if not days:
+    seen = incoming.agg(F.count(F.lit(1)).alias("rows"), F.count(partition).alias("dated"), F.min(partition).alias("low"),
+                        F.max(partition).alias("high")).first()
+    if not seen.rows:
         return None
+    if seen.dated < seen.rows:
+        raise SourceError(f"{seen.rows - seen.dated} rows have no {partition}")
+    if day is not None and (seen.low != day or seen.high != day):
+        raise SourceError(f"{partition} is {seen.low!r} to {seen.high!r}, not {day!r}")
     existing = read_partitioned(spark, place, partition, incoming)
+    touched = None
     if existing is not None:
-        existing = existing.select(*incoming.columns)
-    changes = classify_keys(existing, incoming, keys)
-    result = incoming
-    if existing is not None:
-        # literals prune the untouched folders
-        touched = existing.where(F.col(partition).isin(days))
-        result = overwrite_by_key(touched, incoming, keys)
-    changes = checkpoint(changes)
+        # literals prune the scan; the join leaves out untouched partitions of the range
+        touched = existing.where(F.col(partition).between(F.lit(seen.low), F.lit(seen.high)))
+        if seen.low != seen.high:
+            touched = touched.join(incoming.select(partition).distinct(), partition, "left_semi").select(*existing.columns)
+    changes = checkpoint(classify_keys(touched, incoming, keys))
+    result = overwrite_by_key(touched, incoming, keys)
     # one set of evenly sized files per partition, however the keys were joined
-    writer = (result.hint("rebalance", partition).write.mode("overwrite").format("parquet")
-              .option("partitionOverwriteMode", "dynamic"))
+    result = result.hint("rebalance", partition)
+    writer = result.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "dynamic")
     if "/" in place:
         writer.partitionBy(partition).save(place)
     elif existing is None:
@@ -83,28 +108,43 @@ def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame,
     else:
         # by position: the partition column comes last in a table
         order = spark.table(place).columns
-        (result.select(*order).hint("rebalance", partition).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").insertInto(place))
+        with _dynamic_overwrite(spark):
+            result.select(*order).write.mode("overwrite").insertInto(place)
     return changes
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Replace only the partitions that are written; a table made elsewhere does not carry the option itself."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_partitioned(spark: SparkSession, place: str, partition: str, like: DataFrame) -> DataFrame | None:
     """The table at ``place``, or None when there is none yet.
 
-    A partition folder name carries no type: it is taken from ``like``.
+    A partition folder name carries no type: it is read as that of ``like``, never guessed, so that
+    texts such as ``01`` stay as they are.
     """
+    kind = like.schema[partition].dataType
     if "/" not in place:
         if not spark.catalog.tableExists(place):
             return None
         table = spark.table(place)
-    else:
-        try:
-            table = spark.read.parquet(place)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-    return table.withColumn(partition, F.col(partition).cast(like.schema[partition].dataType))
+        return table.withColumn(partition, F.col(partition).cast(kind))
+    try:
+        found = spark.read.parquet(place).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    fields = [T.StructField(f.name, kind if f.name == partition else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(place)
 
 
 def rollback(df: DataFrame, new_keys: DataFrame, now: dt.datetime, hours: int = 1,
