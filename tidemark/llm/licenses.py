@@ -44,26 +44,30 @@ LICENSES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 ]
 
-# Steps to the canonical form, in order: pattern and replacement. Both engines read the patterns alike.
-STEPS = [
+# Steps to the canonical form, in order: lines that only say who holds the rights go, equivalent spellings become
+# one, punctuation and blanks become single blanks. Both engines read the patterns alike.
+RIGHTS = [
     (r"\r", ""),
-    # lines that only say who holds the rights
     (r"(?m)^[^a-z0-9\n©]*(?:copyright[^a-z0-9\n©]*(?:\(c\)|©|[0-9]{4}|by |c [0-9])|\(c\) *[0-9]{4}|© *[0-9]{4})[^\n]*(?:\n|$)", ""),
     (r"(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*(?:\n|$)", ""),
-    # equivalent spellings
-    (r"\blicence", "license"), (r"\bsub-?licen[cs]e", "sublicense"), (r"\bnon-?commercial", "noncommercial"), (r"\bnon-?infring", "noninfring"),
-    (r"\bper cent\b", "percent"), (r"\bcopyright owner", "copyright holder"), (r"(\w)isation\b", "$1ization"), (r"\bbehaviour", "behavior"),
-    (r"\bfavour", "favor"), (r"\backnowledgement", "acknowledgment"), (r"https://", "http://"), (r"&", " and "),
-    # punctuation and blanks
-    (r"[^a-z0-9\n\x{80}-\x{10FFFF}]+", " "), (r" ?\n ?", "\n"), (r"^[ \n]+|[ \n]+$", ""),
 ]
+SPELLINGS = [
+    ("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("non-infring", "noninfring"), ("per cent", "percent"),
+    ("copyright owner", "copyright holder"), ("isation", "ization"), ("behaviour", "behavior"), ("favour", "favor"),
+    ("acknowledgement", "acknowledgment"), ("https://", "http://"), ("&", " and "),
+]
+BLANKS = [(r"[^a-z0-9\n\x{80}-\x{10FFFF}]+", " "), (r" ?\n ?", "\n"), (r"^[ \n]+|[ \n]+$", "")]
 UNITS = ["text", "block", "line"]
 
 
 def canonical(text: F.Column) -> F.Column:
     """The canonical form, lines and blank lines kept apart."""
     out = F.lower(text)
-    for pattern, replacement in STEPS:
+    for pattern, replacement in RIGHTS:
+        out = F.regexp_replace(out, pattern, replacement)
+    for old, new in SPELLINGS:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    for pattern, replacement in BLANKS:
         out = F.regexp_replace(out, pattern, replacement)
     return out
 
@@ -81,12 +85,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licens
     NULL and empty texts hold none. Rows that repeat an id are taken together; ids may be NULL. The
     registry is a list in the program, so its broadcast is of fixed size.
     """
-    rows = docs.select(docs[id_col].alias("id"), canonical(docs[text_col].cast("string")).alias("form"))
     flat = lambda x: F.regexp_replace(x, "\n+", " ")
     unit = lambda rank, x: F.struct(F.lit(rank).alias("rank"), flat(x).alias("form"))
-    units = F.concat(F.array(unit(0, F.col("form"))), F.transform(F.split("form", "\n\n+"), lambda x: unit(1, x)),
-                     F.transform(F.split("form", "\n+"), lambda x: unit(2, x)))
-    each = rows.where("form <> ''").select("id", F.inline(units)).select("id", "rank", F.sha2("form", 256).alias("digest"))
+
+    def units(form: F.Column) -> F.Column:
+        return F.concat(F.array(unit(0, form)), F.transform(F.split(form, "\n\n+"), lambda x: unit(1, x)),
+                        F.transform(F.split(form, "\n+"), lambda x: unit(2, x)))
+
+    # the canonical form is bound once per row and not worked out for each use
+    every = F.flatten(F.transform(F.array(canonical(docs[text_col].cast("string"))), units))
+    each = docs.select(docs[id_col].alias("id"), F.inline(every)).where("form <> ''").select("id", "rank", F.sha2("form", 256).alias("digest"))
     found = each.join(F.broadcast(known_digests(docs.sparkSession, licenses)), "digest")
     widest = found.groupBy("id", "license").agg(F.min("rank").alias("rank"))
     return widest.select("id", "license", F.element_at(F.array(*map(F.lit, UNITS)), F.col("rank") + 1).alias("unit"))

@@ -94,10 +94,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical_sql(text: str) -> str:
+    quote = lambda x: x.replace("'", "''")
     out = f"lower({text})"
-    for pattern, replacement in licenses.STEPS:
-        quote = lambda x: x.replace("'", "''")
-        out = f"regexp_replace({out}, '{quote(pattern)}', '{quote(replacement).replace('$1', chr(92) + '1')}', 'g')"
+    for pattern, replacement in licenses.RIGHTS:
+        out = f"regexp_replace({out}, '{quote(pattern)}', '{replacement}', 'g')"
+    for old, new in licenses.SPELLINGS:
+        out = f"replace({out}, '{old}', '{new}')"
+    for pattern, replacement in licenses.BLANKS:
+        out = f"regexp_replace({out}, '{quote(pattern)}', '{replacement}', 'g')"
     return out
 
 
