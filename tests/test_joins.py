@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import relational as R
 from tidemark.operators.aggregates import Measure, measure
@@ -24,18 +25,37 @@ def test_salted_join_equals_plain_join(spark, rows, how, split_right):
     left, right = sides(spark, 1)
     if how in ("left_semi", "left_anti"):
         split_right = False
-    got = equi_join(left, right, ["k"], how, salts=4, split_right=split_right)
+    got = equi_join(left, right, ["k"], how, hot_share=0.05, salts=4, split_right=split_right)
     assert rows(got) == rows(left.join(right, "k", how).select(got.columns))
 
 
 def test_salted_join_on_two_keys_and_other_shares(spark, rows):
     left, right = sides(spark, 2)
     left, right = left.withColumnRenamed("a", "k2"), right.withColumnRenamed("b", "k2").withColumn("v", right.k)
-    for share in (0.0001, 0.5):
+    for share in (0.01, 0.5, None):
         got = equi_join(left, right, ["k", "k2"], "left", hot_share=share, salts=3)
         assert rows(got) == rows(left.join(right, ["k", "k2"], "left").select(got.columns))
 
 
+def test_join_edges(spark, rows):
+    left, right = sides(spark, 5)
+    mapped = left.selectExpr("k", "map('x', a) AS m", "array(named_struct('y', map(1, 2))) AS n")
+    for share in (None, 0.05):
+        assert equi_join(mapped, right, ["k"], "left", share).count() == left.join(right, "k", "left").count()
+    with pytest.raises(ValueError, match="hot_share"):
+        equi_join(left, right, ["k"], "left", 0.001)
+    with pytest.raises(ValueError, match="rename"):
+        equi_join(left, right.withColumnRenamed("b", "a"), ["k"])
+
+
+def test_plain_joins_read_each_side_once(spark, capsys):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_custkey")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(F.col("l_orderkey").alias("o_orderkey"))
+    for join in (R.semi, R.anti):
+        join(orders, lines, ["o_orderkey"]).explain()
+        assert capsys.readouterr().out.count("FileScan") == 2
+
+
 def test_hot_keys_are_few(spark):
     left, _ = sides(spark, 3)
     keyed = left.where("k IS NOT NULL")

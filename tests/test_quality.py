@@ -111,6 +111,43 @@ def test_value_and_row_expectations(spark):
         E.expect_number(names, "about 3")
 
 
+def test_filters_scope_every_rule(spark):
+    assert counts(spark, "UNIQUE", "id", "ACTIVE") == (3, 3, 0, 1)
+    statement = "SELECT 10 AS n FROM $table LIMIT 1"
+    assert counts(spark, "CUSTOM_SQL_STATEMENT", "id", "ACTIVE", custom_sql_statement=statement) == (3, 0, 10, 1)
+    assert counts(spark, "MIN_ROW_COUNT", "id", "ACTIVE", least=4) == (3, 2, 1, 1)
+    assert counts(spark, "MIN_ROW_COUNT", "id", least=4) == (4, 4, 0, 1)
+    assert counts(spark, "FRESHNESS", "loaded", "ACTIVE") == (3, 3, 0, 0)
+
+
+def test_a_failing_check_leaves_the_others(spark):
+    rules = {"GOOD": {"rule_type": "NOT_NULL", "dimension": "validity"},
+             "UNKNOWN": {"rule_type": "CUSTOM_SQL_EXPR", "dimension": "validity", "params": {"custom_sql_expr": "no_such_column > 1"}},
+             "RUNTIME": {"rule_type": "CUSTOM_SQL_EXPR", "dimension": "validity", "params": {"custom_sql_expr": "raise_error('boom') IS NULL"}},
+             "ALSO": {"rule_type": "NOT_BLANK", "dimension": "validity"}}
+    out = {r.rule_id: r for r in Q.run_dq(spark, spec(list(rules), rules), {"p.d.staff": staff(spark)}, DAY).collect()}
+    assert out["GOOD"].failed_count == 1 and out["ALSO"].failed_count == 0
+    assert out["UNKNOWN"].success_count is None and "no_such_column" in out["UNKNOWN"].metadata_json_string
+    assert out["RUNTIME"].failed_count is None and "boom" in out["RUNTIME"].metadata_json_string
+
+
+def test_bindings_name_their_own_registry(spark):
+    given = spec(["R"], {"R": {"rule_type": "NOT_NULL", "dimension": "validity"}})
+    given["metadata_registry_defaults"] = {"dataplex": {"lakes": "lake", "zones": "raw"}}
+    given["rule_bindings"]["C"] = {**given["rule_bindings"]["B"], "metadata_registry": {"dataplex": {"zones": "own"}}}
+    out = {r.rule_binding_id: (r.dataplex_lake, r.dataplex_zone) for r in Q.run_dq(spark, given, {"p.d.staff": staff(spark)}, DAY).collect()}
+    assert out == {"B": ("lake", "raw"), "C": ("lake", "own")}
+
+
+def test_empty_results_and_lists_and_failing_expectations(spark):
+    numbers = spark.createDataFrame([(1,), (None,)], "n int")
+    assert E.expect_number(numbers.limit(0), "5").first().status == "FAIL" and E.expect_number(numbers, "5").first().status == "FAIL"
+    assert E.expect_rows(numbers.limit(0), []).first().status == "PASS" and E.expect_rows(numbers, []).first().extra == 2
+    check = lambda key, sql: {"check_id": key, "sql": sql, "comparison_type": "numeric_condition", "expected_output": "1", "impacted_downstream": ["x"]}
+    out = {r.check_id: r for r in E.run_expectations(spark, [check("a", "SELECT 1"), check("b", "SELECT nothing FROM nowhere"), check("c", "SELECT raise_error('boom')"), check("d", "SELECT 2")]).collect()}
+    assert [out[k].status for k in "abcd"] == ["PASS", "ERROR", "ERROR", "FAIL"] and "nowhere" in out["b"].error_message
+
+
 YAML = """
 row_filters:
   NONE:

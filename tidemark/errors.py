@@ -7,6 +7,14 @@ from pyspark.errors import PySparkException
 JOB_ERRORS = (PySparkException, Py4JJavaError)
 
 
+def first_line(error: Exception) -> str:
+    """First line of the innermost message: a failed job wraps the reason in several layers."""
+    text, layer = str(error), getattr(error, "java_exception", None)
+    while layer is not None:
+        text, layer = layer.getMessage() or text, layer.getCause()
+    return (text.strip() or type(error).__name__).splitlines()[0]
+
+
 class TidemarkError(Exception):
     """Base of all library errors."""
 

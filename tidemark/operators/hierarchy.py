@@ -2,14 +2,14 @@
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from .joins import equi_join
 from .relational import split_on_null
 
 MAX_DEPTH = 6
+_OPEN = "found IS NULL AND next IS NOT NULL"
 
 
 def dedupe_edges(edges: DataFrame, worker: str, manager: str) -> DataFrame:
@@ -17,6 +17,13 @@ def dedupe_edges(edges: DataFrame, worker: str, manager: str) -> DataFrame:
     return edges.groupBy(worker).agg(F.min(manager).alias(manager))
 
 
+def _counted(state: DataFrame) -> tuple[DataFrame, int]:
+    """The written state and how many of its nodes are unresolved, from one job."""
+    seen = Observation()
+    written = checkpoint(state.observe(seen, F.count_if(F.expr(_OPEN)).alias("open")))
+    return written, seen.get["open"]
+
+
 def resolve_ancestor(edges: DataFrame, targets: DataFrame, max_depth: int = MAX_DEPTH,
                      worker: str = "worker_id", manager: str = "manager_id",
                      target: str = "target_id") -> DataFrame:
@@ -24,8 +31,8 @@ def resolve_ancestor(edges: DataFrame, targets: DataFrame, max_depth: int = MAX_
 
     Links are followed by doubling: every manager first knows whether it is a target and its own
     parent; each round lets it look through its jump target, so depth d takes log2(d) rounds. Rounds
-    work on distinct managers only, hot managers are salted, each round is checkpointed, and rounds
-    stop when nobody is unresolved. Cycles end at the depth bound.
+    work on distinct managers only, each round is checkpointed and counts the unresolved on its way,
+    and rounds stop when there are none. Cycles end at the depth bound.
     """
     links = checkpoint(dedupe_edges(edges, worker, manager).select(
         F.col(worker).alias("node"), F.col(manager).alias("parent")))
@@ -34,23 +41,23 @@ def resolve_ancestor(edges: DataFrame, targets: DataFrame, max_depth: int = MAX_
     # state of a manager: target found and its distance, else the node to go on from after `hops` links
     managers = links.select(F.col("parent").alias("node")).where("node IS NOT NULL").distinct()
     hit = goals.withColumn("is_goal", F.lit(True))
-    state = checkpoint(
+    state, unresolved = _counted(
         managers.join(hit, "node", "left").join(links, "node", "left").select(
             "node", F.when(F.col("is_goal"), F.col("node")).alias("found"),
             F.when(F.col("is_goal"), 0).otherwise(1).alias("hops"),
             F.when(F.col("is_goal").isNull(), F.col("parent")).alias("next")))
     for _ in range(math.ceil(math.log2(max(max_depth, 1)))):
-        open_nodes = state.where("found IS NULL AND next IS NOT NULL")
-        if open_nodes.isEmpty():
+        if not unresolved:
             break
+        open_nodes = state.where(_OPEN)
         beyond = state.select(F.col("node").alias("next"), F.col("found").alias("f"),
                               F.col("hops").alias("h"), F.col("next").alias("n"))
-        moved = equi_join(open_nodes.select("node", "next", "hops"), beyond, ["next"]).select(
+        moved = open_nodes.select("node", "next", "hops").join(beyond, "next").select(
             "node", F.col("f").alias("found"), (F.col("hops") + F.col("h")).alias("hops"), F.col("n").alias("next"))
-        state = checkpoint(state.where("found IS NOT NULL OR next IS NULL").unionByName(moved))
+        state, unresolved = _counted(state.where(f"NOT ({_OPEN})").unionByName(moved))
     known = state.where("found IS NOT NULL").select(F.col("node").alias("parent"), "found", (F.col("hops") + 1).alias("depth"))
     near = F.col("depth") <= max_depth
-    return equi_join(links, known, ["parent"], "left").select(
+    return links.join(known, "parent", "left").select(
         F.col("node").alias(worker), F.col("parent").alias(manager),
         F.when(near, F.col("found")).alias(target), F.when(near, F.col("depth")).alias("depth"))
 

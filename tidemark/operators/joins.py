@@ -1,17 +1,21 @@
-"""Equi-joins that keep one very frequent key from filling one task.
-
-Adaptive execution splits a skewed side of most joins at run time. ``equi_join`` does not rely on
-it: keys that hold more than ``hot_share`` of the left rows are found by an aggregate (partial sums
-before its shuffle), and only those keys are spread over ``salts`` buckets on both sides. At most
-``1 / hot_share`` keys can be hot, which bounds the broadcast of the hot-key list.
+"""Equi-joins, on request with very frequent keys spread over many tasks.
+
+Adaptive execution splits a skewed side of most joins at run time, so a plain join is the default.
+Where that does not help (adaptive execution off, or a key that is hot on both sides), ``hot_share``
+asks for salting: keys that hold more than that share of the left rows are found by an aggregate
+(partial sums before its shuffle), and only those keys are spread over ``salts`` buckets on both sides.
+At most ``1 / hot_share`` keys can be hot, and shares below 0.01 are refused, which bounds the broadcast
+of the hot-key list.
 """
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 0.05
+LEAST_SHARE = 0.01
 SALTS = 64
 
 _SALT, _SALT_RIGHT, _HOT, _N = "__salt", "__salt_right", "__hot", "__n"
@@ -29,7 +33,15 @@ def _row_salt(df: DataFrame, salts: int) -> Column:
 
     The partition number spreads exact copies of a row that sit in different partitions.
     """
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id()), F.lit(salts))
+    hashable = [F.col(f"`{f.name}`") for f in df.schema if not _holds_map(f.dataType)]
+    return F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts))
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether a type has a map in it, which Spark cannot hash."""
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return _holds_map(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))
 
 
 def _mark(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,8 +73,8 @@ def _keyed(keys: Sequence[str]) -> Column:
 
 
 def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-              hot_share: float = HOT_SHARE, salts: int = SALTS, split_right: bool = False) -> DataFrame:
-    """Inner, left, left semi or left anti join on equal ``keys`` with hot left keys salted.
+              hot_share: float | None = None, salts: int = SALTS, split_right: bool = False) -> DataFrame:
+    """Inner, left, left semi or left anti join on equal ``keys``; with ``hot_share``, hot left keys salted.
 
     The result equals the plain join. Columns are those of ``left`` (keys in place), then the
     others of ``right``. Rows with a NULL key match nothing and are spread as well. Semi and anti
@@ -73,6 +85,15 @@ def equi_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
+    if hot_share is not None and hot_share < LEAST_SHARE:
+        raise ValueError(f"hot_share must be {LEAST_SHARE} or more: it bounds the list of hot keys")
+    if how in ("inner", "left"):
+        both = [c for c in left.columns if c not in keys and c in right.columns]
+        if both:
+            raise ValueError(f"both sides have the columns {both}: rename them first")
+    if hot_share is None:
+        extra = [c for c in right.columns if c not in keys] if how in ("inner", "left") else []
+        return left.join(right, keys, how).select(*[F.col(f"`{c}`") for c in left.columns + extra])
     right = right.where(_keyed(keys))
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()

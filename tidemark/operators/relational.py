@@ -37,13 +37,14 @@ def split_on_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
 
 
 def join_left(left: DataFrame, right: DataFrame, condition: str | None = None,
-              on: Sequence[str] | None = None, split_right: bool = False) -> DataFrame:
-    """All left rows with their matches: by SQL condition, or by equal keys with hot keys salted.
+              on: Sequence[str] | None = None, hot_share: float | None = None, split_right: bool = False) -> DataFrame:
+    """All left rows with their matches: by SQL condition, or by equal keys.
 
-    A condition leaves skew to adaptive execution, which splits the left side of a left join.
+    Skew is left to adaptive execution, which splits the left side of a left join; ``hot_share`` salts
+    the keys that hold more of the rows.
     """
     if on is not None:
-        return equi_join(left, right, on, "left", split_right=split_right)
+        return equi_join(left, right, on, "left", hot_share, split_right=split_right)
     return left.join(right, F.expr(condition), "left")
 
 
@@ -55,21 +56,21 @@ def join_chain(df: DataFrame, links: Sequence[tuple[DataFrame, str]]) -> DataFra
 
 
 def join_inner(left: DataFrame, right: DataFrame, condition: str | None = None,
-               on: Sequence[str] | None = None, split_right: bool = True) -> DataFrame:
-    """Matching rows only; by equal ``on`` keys, hot keys of both sides are salted."""
+               on: Sequence[str] | None = None, hot_share: float | None = None, split_right: bool = True) -> DataFrame:
+    """Matching rows only; by equal ``on`` keys, with ``hot_share`` hot keys of both sides are salted."""
     if on is not None:
-        return equi_join(left, right, on, "inner", split_right=split_right)
+        return equi_join(left, right, on, "inner", hot_share, split_right=split_right)
     return left.join(right, F.expr(condition), "inner")
 
 
-def semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def semi(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_share: float | None = None) -> DataFrame:
     """Left rows with a match in ``right``, never multiplied (IN subquery)."""
-    return equi_join(left, right, keys, "left_semi")
+    return equi_join(left, right, keys, "left_semi", hot_share)
 
 
-def anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def anti(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_share: float | None = None) -> DataFrame:
     """Left rows without a match; a NULL key has none (NOT EXISTS, not NOT IN)."""
-    return equi_join(left, right, keys, "left_anti")
+    return equi_join(left, right, keys, "left_anti", hot_share)
 
 
 def scalars(spark: SparkSession, values: Mapping[str, DataFrame]) -> DataFrame:

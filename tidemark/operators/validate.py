@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..errors import DefinitionError
 from ..functions.dates import strict_date_text
 from ..schemas import REQUIRED_FIELDS
-from .joins import equi_join
 
 # Placeholders, partition modes, and the parts of a table name.
 PLACEHOLDERS = ["currently", "partition_info"]
@@ -122,7 +121,7 @@ def check_duplicates(defs: DataFrame, field: str = _ID) -> DataFrame:
     key = F.trim(field).alias("__key")
     repeated = (defs.groupBy(key).agg(F.min(_INDEX).alias("__first"), F.count(F.lit(1)).alias("__n"))
                 .where("__n > 1 AND __key <> ''").drop("__n"))
-    marked = equi_join(defs.select(_INDEX, _ID, key), repeated, ["__key"])
+    marked = defs.select(_INDEX, _ID, key).join(repeated, "__key")
     return _report(marked, [_problem(F.col(_INDEX) > F.col("__first"), "DUPLICATE_ID", F.concat(
         F.lit(f"Duplicate {field} '"), F.col("__key"), F.lit("'")))])
 

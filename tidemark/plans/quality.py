@@ -15,13 +15,16 @@ import json
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import DefinitionError
 from ..operators import rules as R
+from ..operators.isolate import run_apart
 from ..schemas import DQ_SUMMARY_SCHEMA
+from ..session import checkpoint
 
 # Rule types of the specification, and the seven dimensions.
 ROW_RULES = ["NOT_NULL", "NOT_BLANK", "REGEX", "RANGE", "CUSTOM_SQL_EXPR"]
@@ -47,6 +50,8 @@ class Check:
     rule_type: str
     dimension: str
     params: Mapping
+    lake: str | None = None
+    zone: str | None = None
 
 
 def read_spec(spark: SparkSession, path: str) -> dict:
@@ -70,13 +75,16 @@ def table_of(entity_uri: str) -> str:
 
 
 def expand_bindings(spec: Mapping) -> list[Check]:
-    """Every (binding, rule) pair with its filter and parameters resolved."""
+    """Every (binding, rule) pair with its filter, parameters and registry values resolved."""
     filters = {**spec.get("row_filters", {}), "NONE": {"filter_sql_expr": "true"}}
+    defaults = (spec.get("metadata_registry_defaults") or {}).get("dataplex") or {}
     checks = []
     for binding_id, binding in spec["rule_bindings"].items():
         name = binding.get("row_filter_id") or "NONE"
         if name not in filters:
             raise DefinitionError(f"{binding_id}: unknown row filter {name!r}")
+        # a binding may name its own place in the registry
+        own = {**defaults, **((binding.get("metadata_registry") or {}).get("dataplex") or {})}
         for rule_id in binding["rule_ids"]:
             rule = spec["rules"].get(rule_id)
             if rule is None:
@@ -88,7 +96,7 @@ def expand_bindings(spec: Mapping) -> list[Check]:
                 raise DefinitionError(f"{rule_id}: unknown dimension {rule.get('dimension')!r}")
             checks.append(Check(binding_id, rule_id, table_of(binding["entity_uri"]), binding["column_id"],
                                 name, filters[name]["filter_sql_expr"], kind, rule["dimension"],
-                                rule.get("params") or {}))
+                                rule.get("params") or {}, own.get("lakes"), own.get("zones")))
     return checks
 
 
@@ -111,20 +119,22 @@ def _row_pass(check: Check, as_of: dt.date) -> Column:
 
 def _table_flag(check: Check, as_of: dt.date) -> Column | None:
     """Failing count of the native rules that are aggregates of the same scan."""
-    p = check.params
+    p, within = check.params, F.expr(_dated(check.filter_sql, as_of))
     if check.rule_type == "FRESHNESS":
-        return R.stale_flag(F.col(check.column), as_of, p.get("empty_is_stale", False))
+        return R.stale_flag(F.when(within, F.col(f"`{check.column}`")), as_of, p.get("empty_is_stale", False))
     if check.rule_type == "VOLUME_DROP":
-        return R.drop_flag(F.expr(p.get("condition", "true")), F.col(p["ts"]), as_of,
+        return R.drop_flag(within & F.expr(p.get("condition", "true")), F.col(p["ts"]), as_of,
                            p.get("days", 7), p.get("floor", 0.8))
     if check.rule_type == "MIN_ROW_COUNT":
-        return R.min_rows_flag(p.get("least", 100))
+        return F.when(F.count_if(within) < p.get("least", 100), 1).otherwise(0)
     return None
 
 
 def _own_plan(check: Check, spark: SparkSession, tables: Mapping[str, DataFrame], as_of: dt.date) -> DataFrame | None:
     """Failing count of the rules that need their own shuffle or query."""
     table, p = tables[check.table], check.params
+    if check.filter_name != "NONE":
+        table = table.where(_dated(check.filter_sql, as_of))
     if check.rule_type == "UNIQUE":
         return R.dup_keys(table, p.get("keys") or [check.column])
     if check.rule_type == "FOREIGN_KEY":
@@ -164,7 +174,8 @@ def table_summary(spark: SparkSession, checks: list[Check], tables: Mapping[str,
             aggregates[rows] = F.expr(f"count_if({_dated(check.filter_sql, as_of)})")
         if nulls not in aggregates:
             aggregates[nulls] = F.expr(f"count_if(({_dated(check.filter_sql, as_of)}) AND `{check.column}` IS NULL)")
-        ok, bad = f"{rows} - n_{i}", f"n_{i}"
+        # a flag or a free statement may count more than there are rows
+        ok, bad = f"greatest({rows} - n_{i}, 0)", f"n_{i}"
         if check.rule_type == "NOT_NULL":
             ok, bad = f"{rows} - {nulls}", nulls
         elif check.rule_type in ROW_RULES:
@@ -185,14 +196,28 @@ def table_summary(spark: SparkSession, checks: list[Check], tables: Mapping[str,
     if own:
         counted = counted.select("*", *[plan.scalar().alias(f"n_{i}") for i, plan in own.items()])
     rows = counted.selectExpr("posexplode(array(" + ", ".join(packed) + ")) AS (pos, s)")
-    known = spark.createDataFrame(
-        [(i, c.binding, c.rule, c.table, c.column, c.dimension, _metadata(c)) for i, c in enumerate(checks)],
-        "pos int, rule_binding_id string, rule_id string, table_id string, column_id string, dimension string, metadata_json_string string")
+    known = _described(spark, [(check, _metadata(check)) for check in checks])
     # one row per check on both sides
     return rows.join(known, "pos").select(
-        "rule_binding_id", "rule_id", "table_id", "column_id", "dimension", F.col("s.rows").alias("rows_validated"),
-        F.col("s.ok").alias("success_count"), F.col("s.bad").alias("failed_count"), F.col("s.nulls").alias("null_count"),
-        "metadata_json_string")
+        *_KNOWN, F.col("s.rows").alias("rows_validated"),
+        F.col("s.ok").alias("success_count"), F.col("s.bad").alias("failed_count"), F.col("s.nulls").alias("null_count"))
+
+
+_KNOWN = ["rule_binding_id", "rule_id", "table_id", "column_id", "dimension", "metadata_json_string", "lake", "zone"]
+
+
+def _described(spark: SparkSession, checks: list[tuple[Check, str]]) -> DataFrame:
+    """The describing columns of each check, by its place in the list."""
+    return spark.createDataFrame(
+        [(i, c.binding, c.rule, c.table, c.column, c.dimension, text, c.lake, c.zone) for i, (c, text) in enumerate(checks)],
+        "pos int, " + ", ".join(f"{name} string" for name in _KNOWN))
+
+
+def _broken(spark: SparkSession, failed: list[tuple[Check, str]]) -> DataFrame:
+    """A row per check that could not run: no counts, and the reason among its metadata."""
+    texts = [(check, json.dumps({**json.loads(_metadata(check)), "error": reason}, separators=(",", ":"))) for check, reason in failed]
+    counts = [F.lit(None).cast("bigint").alias(n) for n in ("rows_validated", "success_count", "failed_count", "null_count")]
+    return _described(spark, texts).select(*_KNOWN, *counts)
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -211,12 +236,14 @@ def stamp_registry(summary: DataFrame, spec: Mapping, invocation_id: str, run_id
                    executed_at: dt.datetime, asset_id: str | None = None) -> DataFrame:
     """Run and registry columns; the result has the 20 summary columns."""
     place = (spec.get("metadata_registry_defaults") or {}).get("dataplex") or {}
+    own = {"lakes": "lake", "zones": "zone"}  # per binding where the rows have it
+    registry = lambda name: F.col(own[name]) if own[name] in summary.columns else F.lit(place.get(name))
     moment = F.lit(executed_at).cast("timestamp")
     asset = F.lit(asset_id) if asset_id else F.concat(
         F.replace(F.element_at(F.split("table_id", r"\."), -2), F.lit("_"), F.lit("-")), F.lit("-asset"))
     full = summary.withColumns({
         "invocation_id": F.lit(invocation_id), "execution_ts": moment, "last_modified": moment,
-        "dataplex_lake": F.lit(place.get("lakes")), "dataplex_zone": F.lit(place.get("zones")),
+        "dataplex_lake": registry("lakes"), "dataplex_zone": registry("zones"),
         "dataplex_asset_id": asset, "dq_run_id": F.lit(run_id),
     })
     return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DQ_SUMMARY_SCHEMA])
@@ -224,18 +251,26 @@ def stamp_registry(summary: DataFrame, spec: Mapping, invocation_id: str, run_id
 
 def run_dq(spark: SparkSession, spec: Mapping, tables: Mapping[str, DataFrame], as_of: dt.date,
            invocation_id: str = "inv", run_id: str = "run", executed_at: dt.datetime | None = None) -> DataFrame:
-    """Summary rows of all checks. ``tables`` maps ``project.dataset.table`` to its rows."""
+    """Summary rows of all checks. ``tables`` maps ``project.dataset.table`` to its rows.
+
+    The checks of a table run as one plan and are written to the checkpoint folder. A check that does
+    not analyse or fails at run time gives a row without counts, its reason under ``error`` in
+    ``metadata_json_string``, and the others finish. A specification that is not sound (an unknown
+    rule, filter or table) is an error.
+    """
     groups: dict[str, list[Check]] = {}
     for check in expand_bindings(spec):
         if check.table not in tables:
             raise DefinitionError(f"{check.binding}: no table {check.table!r} given")
         groups.setdefault(check.table, []).append(check)
-    result = None
+    parts, failed = [], []
+    fail = lambda check, reason: failed.append((check, reason))
     for checks in groups.values():
-        part = table_summary(spark, checks, tables, as_of)
-        result = part if result is None else result.unionByName(part)
+        parts += run_apart(checks, lambda some: checkpoint(table_summary(spark, list(some), tables, as_of)), fail)
+    if failed:
+        parts.append(_broken(spark, failed))
     moment = executed_at or dt.datetime.now(dt.timezone.utc)
-    return stamp_registry(add_percentages(result), spec, invocation_id, run_id, moment)
+    return stamp_registry(add_percentages(reduce(DataFrame.unionByName, parts)), spec, invocation_id, run_id, moment)
 
 
 def rollup_dimensions(summary: DataFrame) -> DataFrame:

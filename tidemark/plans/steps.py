@@ -77,14 +77,16 @@ def _apply(step: Mapping, df: DataFrame, name: str, tables: Mapping[str, DataFra
     if kind == "filter":
         return R.filter_rows(df, step["condition"])
     other = step.get("joinTable") or next(
-        (t for t in tables if t != name and re.search(rf"\b{re.escape(t)}\.", step["condition"])), None)
+        (t for t in tables if t != name and re.search(rf"\b{re.escape(t)}\.", step.get("condition") or "")), None)
     if other is None or other not in tables:
         raise DefinitionError(f"{step['id']}: the join names no known table")
     how = step.get("joinType", "left")
     if how not in ("left", "inner"):
         raise DefinitionError(f"{step['id']}: unsupported join type {how!r}")
-    right = tables[other].alias(step.get("joinAlias", other))
     join = R.join_left if how == "left" else R.join_inner
+    if step.get("joinKeys"):
+        return join(df, tables[other], on=_names(step["joinKeys"]), hot_share=step.get("hotShare"))
+    right = tables[other].alias(step.get("joinAlias", other))
     return join(df.alias(name), right, step["condition"])
 
 

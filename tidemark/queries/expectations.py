@@ -19,6 +19,16 @@ def _(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("ex1_empty",
+       "SELECT 'none' AS c, n::DOUBLE AS actual, 'FAIL' AS status FROM (SELECT max(n) AS n FROM (SELECT 1 AS n FROM orders WHERE o_totalprice < 0)) UNION ALL "
+       "SELECT 'each', NULL, CASE WHEN min(n) >= 1 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey)")
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    none = E.expect_number(orders.where("o_totalprice < 0").select(F.lit(1)), "5")
+    each = E.expect_number(orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).select("n"), ">=1")
+    return none.select(F.lit("none").alias("c"), "actual", "status").unionByName(each.select(F.lit("each").alias("c"), F.lit(None).cast("double").alias("actual"), "status"))
+
+
 _TYPES = ["ECONOMY", "SMALL", "MEDIUM", "PROMO", "STANDARD"]
 
 

@@ -85,15 +85,26 @@ def _(spark, sf):
 
 
 @query("dq06_statement",
-       "WITH s AS (SELECT count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 12)), t AS (SELECT count(*) AS r FROM orders WHERE o_orderstatus = 'F') "
+       "WITH s AS (SELECT count(*) AS n FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey HAVING count(*) > 5)), t AS (SELECT count(*) AS r FROM orders WHERE o_orderstatus = 'F') "
        "SELECT 'b' AS rule_binding_id, 'BUSY' AS rule_id, r AS rows_validated, r - n AS success_count, n AS failed_count, 0::BIGINT AS null_count, "
        "round((r - n) * 100.0 / r, 2)::DOUBLE AS success_percentage, round(n * 100.0 / r, 2)::DOUBLE AS failed_percentage, 0::DOUBLE AS null_percentage FROM s, t")
 def _(spark, sf):
     spec = _spec({"b": ("o_custkey", "DONE", ["BUSY"])}, {"BUSY": _rule("CUSTOM_SQL_STATEMENT", "uniqueness", custom_sql_statement=(
-        "SELECT count(*) AS n FROM (SELECT o_custkey FROM $table GROUP BY o_custkey HAVING count(*) > 12)"))}, {"DONE": "o_orderstatus = 'F'"})
+        "SELECT count(*) AS n FROM (SELECT o_custkey FROM $table GROUP BY o_custkey HAVING count(*) > 5)"))}, {"DONE": "o_orderstatus = 'F'"})
     return _run(spark, table(spark, sf, "orders"), spec).select(_COUNTS)
 
 
+@query("dq13_filtered_unique",
+       "WITH f AS (SELECT o_custkey, o_orderdate FROM orders WHERE o_orderpriority = '1-URGENT'), m AS (SELECT count(*) AS r, max(o_orderdate) AS last FROM f), "
+       "u AS (SELECT count(*) AS n FROM (SELECT o_custkey FROM f GROUP BY o_custkey HAVING count(*) > 1)) SELECT rule_id, r AS rows_validated, r - bad AS success_count, bad AS failed_count FROM "
+       "(SELECT 'ONCE' AS rule_id, r, n AS bad FROM u, m UNION ALL SELECT 'MANY', r, CASE WHEN r < 1000000000 THEN 1::BIGINT ELSE 0 END FROM m UNION ALL "
+       "SELECT 'FRESH', r, CASE WHEN last < DATE '2030-01-01' THEN 1::BIGINT ELSE 0 END FROM m)")
+def _(spark, sf):
+    rules = {"ONCE": _rule("UNIQUE", "uniqueness", keys=["o_custkey"]), "MANY": _rule("MIN_ROW_COUNT", "completeness", least=1_000_000_000), "FRESH": _rule("FRESHNESS", "timeliness")}
+    spec = _spec({"b": ("o_orderdate", "URGENT", list(rules))}, rules, {"URGENT": "o_orderpriority = '1-URGENT'"})
+    return _run(spark, table(spark, sf, "orders"), spec, dt.date(2030, 1, 1)).select("rule_id", "rows_validated", "success_count", "failed_count")
+
+
 @query("dq07_unique_key", "SELECT count(*) AS n FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1)")
 def _(spark, sf):
     return R.dup_keys(table(spark, sf, "orders"), ["o_custkey"])
