@@ -113,6 +113,49 @@ def test_time_limit_cancels(spark):
     assert good == {} and "cancel" in failed["slow"].lower()
 
 
+def test_each_query_has_its_own_limit(spark):
+    slow = "SELECT sum(hash(id)) AS metric_output, {currently} AS business_data_date FROM range(500000000000)"
+    good, failed = run(spark, {"a": case(1, 1), "slow": slow, "b": case(2, 2), "boom": "SELECT raise_error('boom') AS metric_output, {currently} AS business_data_date",
+                               "c": case(3, 3)}, timeout=8)
+    assert set(good) == {"a", "b", "c"} and "cancel" in failed["slow"].lower() and "boom" in failed["boom"]
+
+
+def test_repeated_ids_are_refused(spark):
+    rows = [("a", "N", "Count", f"SELECT {n} AS metric_output, {{currently}} AS business_data_date", "daily", "p.d.out") for n in (1, 2)]
+    defs = spark.createDataFrame(rows, "metric_id string, metric_name string, metric_type string, sql string, dependency string, target_table string")
+    info = spark.createDataFrame([("d", "staff", DAY)], "project_dataset string, table_name string, partition_dt date")
+    with pytest.raises(DefinitionError, match="repeated"):
+        M.run_metrics(spark, defs, DAY, latest_partition(info), {})
+
+
+def test_a_second_row_is_noticed(spark):
+    query = lambda sql: M.checked_values(M.raw_values(spark.sql(sql))).collect()
+    many = query("SELECT id AS metric_output, DATE'2024-01-01' AS business_data_date FROM range(5) ORDER BY id")
+    assert [(r.metric_output, r.warning) for r in many] == [(0, M.SECOND_ROW)]
+    assert query("SELECT count(*) AS metric_output, DATE'2024-01-01' AS business_data_date FROM range(5)")[0].warning is None
+    assert query("SELECT id AS metric_output, DATE'2024-01-01' AS business_data_date FROM range(1)")[0].warning is None
+    assert query("SELECT id AS metric_output, DATE'2024-01-01' AS business_data_date FROM range(0)") == []
+
+
+def test_placeholders_in_texts(spark):
+    assert M.parametrize("a = '{currently}' AND b = \"{partition_info}\" AND c = {run_date} AND d = 'it''s' AND `x y` = \"q\"") == \
+        "a = :d0 AND b = :d1 AND c = :d2 AND d = 'it''s' AND `x y` = \"q\""
+    for bad in ("'day {currently}'", "\"{currently}x\"", "`{currently}`"):
+        with pytest.raises(MetricError, match="longer text"):
+            M.parametrize(f"SELECT {bad}")
+    good, failed = run(spark, {"double": "SELECT count(*) AS metric_output, \"{currently}\" AS business_data_date FROM `p.d.staff` WHERE partition_dt = \"{currently}\"",
+                               "long": "SELECT 'on {currently}' AS metric_output, {currently} AS business_data_date"})
+    assert good["double"].metric_output == 3 and "longer text" in failed["long"]
+
+
+def test_views_of_the_caller_stay(spark):
+    spark.range(3).createOrReplaceTempView("`p.d.mine`")
+    with M.table_views(spark, {"p.d.mine": spark.range(7)}):
+        assert spark.sql("SELECT * FROM `p.d.mine`").count() == 7
+    assert spark.sql("SELECT * FROM `p.d.mine`").count() == 3
+    spark.catalog.dropTempView("p.d.mine")
+
+
 def test_metrics_of_one_slice_share_one_scan(spark, tmp_path):
     path = str(tmp_path / "staff")
     staff(spark).write.parquet(path)
@@ -169,7 +212,8 @@ def test_whole_run(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.metric_id, r.metric_output, str(r.partition_dt)) for r in out] == [("A", 1, "2024-01-15")]
     recon = spark.read.parquet(str(tmp_path / "recon"))
-    assert recon.columns == RECON_COLUMNS and recon.count() == 8
+    assert set(recon.columns) == set(RECON_COLUMNS) and recon.count() == 8
+    assert [p.name for p in (tmp_path / "recon").glob("schdld_dt=*")] == ["schdld_dt=2024-01-15"]
     status = {r.source_system_id: (r.rcncln_exact_pass_in, r.excldd_reason_tx) for r in second.recon.collect()}
     assert status["A"] == ("Passed", "Metric data was successfully written.")
     assert status["B"][1].startswith("Metric data was failed written. [SQL_EXECUTION_ERROR] SQL query execution failed: business_data_date is required")
@@ -193,6 +237,21 @@ def test_run_refuses_bad_input(spark, tmp_path):
         run_definitions(spark, definitions(tmp_path, {"metric_id": "A"}), run_date="2024-01-15", dependencies="daily", **args)
 
 
+def test_failed_validation_leaves_failure_rows(spark, tmp_path, monkeypatch):
+    from tidemark.plans import run as module
+    info = spark.createDataFrame([("p.d", "staff", "2024-01-10")], "project_dataset string, table_name string, partition_dt string")
+    for name, more, wanted, ids in (("blank", [{"metric_id": "F", "metric_name": " "}], "daily", {"A", "B", "C", "D", "E", "F"}), ("missing", [], "monthly", {"A", "B", "C", "D", "E"})):
+        target = str(tmp_path / name)
+        with pytest.raises(DefinitionError):
+            run_definitions(spark, definitions(tmp_path, *more), info, "2024-01-15", wanted, {}, {}, target, "bld", executed_at=NOW)
+        rows = spark.read.parquet(target).collect()
+        assert {r.source_system_id for r in rows} == ids and all("[PIPELINE_VALIDATION_ERROR]" in r.excldd_reason_tx for r in rows)
+    monkeypatch.setattr(module, "append", lambda *args: 1 / 0)
+    with pytest.raises(DefinitionError) as caught:
+        run_definitions(spark, definitions(tmp_path), info, "2024-01-15", "monthly", {}, {}, str(tmp_path / "x"), "bld", executed_at=NOW)
+    assert "could not be written" in caught.value.__notes__[0]
+
+
 def test_failed_run_leaves_failure_rows(spark, tmp_path, monkeypatch):
     from tidemark.plans import run as module
     info = spark.createDataFrame([("p.d", "staff", "2024-01-10")], "project_dataset string, table_name string, partition_dt string")

@@ -77,11 +77,16 @@ def missing_partitions(refs: DataFrame, latest: DataFrame) -> DataFrame:
     return refs.select(*_KEY).distinct().join(latest.select(*_KEY), _KEY, "left_anti")
 
 
-def validate_partition_info(info: DataFrame) -> int:
-    """Row count of a usable partition-info table; missing columns are an error."""
+def require_partition_columns(info: DataFrame) -> None:
+    """A usable partition-info table has its columns; nothing is read."""
     missing = [c for c in PARTITION_INFO_COLUMNS if c not in info.columns]
     if missing:
         raise DefinitionError(f"partition info lacks the columns {missing}")
+
+
+def validate_partition_info(info: DataFrame) -> int:
+    """Row count of a usable partition-info table; missing columns are an error."""
+    require_partition_columns(info)
     return info.count()
 
 

@@ -20,24 +20,20 @@ UNKNOWN_FAILURE = "Unknown failure occurred during processing"
 FALLBACK_TEXT = "Failed to create recon record: "
 
 
-def _one_error(failures: DataFrame, name: str) -> DataFrame:
-    """One error per metric."""
-    return failures.groupBy("metric_id").agg(F.max("error_message").alias(name))
-
-
 def classify(defs: DataFrame, written: DataFrame, exec_fail: DataFrame, write_fail: DataFrame) -> DataFrame:
     """Definitions with ``is_success``, ``error_message`` and ``error_category``.
 
     Success is an id written to its own target. Otherwise the reason is the execution failure, else
     the write failure, else unknown. All three sides have one row per metric.
     """
-    target = F.trim("target_table")
-    done = written.select("metric_id", F.col("target_table").alias("__target")).distinct().withColumn("__ok", F.lit(True))
-    joined = (defs.withColumn("__target", target)
-              .join(done, ["metric_id", "__target"], "left")
-              .join(_one_error(exec_fail, "__exec"), "metric_id", "left")
-              .join(_one_error(write_fail, "__write"), "metric_id", "left"))
-    ok = F.coalesce(F.col("__ok"), F.lit(False))
+    none = F.lit(None).cast("string")
+    side = lambda df, target, ran, wrote: df.select("metric_id", target.alias("__target"), ran.alias("__exec"), wrote.alias("__write"))
+    sides = (side(written, F.col("target_table"), none, none).unionByName(side(exec_fail, none, F.col("error_message"), none))
+             .unionByName(side(write_fail, none, none, F.col("error_message"))))
+    # at most one entry per target in the set; one shuffle of the outcomes and one of the definitions
+    outcome = sides.groupBy("metric_id").agg(F.collect_set("__target").alias("__targets"), F.max("__exec").alias("__exec"), F.max("__write").alias("__write"))
+    joined = defs.join(outcome, "metric_id", "left")
+    ok = F.coalesce(F.array_contains("__targets", F.trim("target_table")), F.lit(False))
     message = F.coalesce("__exec", "__write", F.lit(UNKNOWN_FAILURE))
     category = (F.when(F.col("__exec").isNotNull(), "SQL_EXECUTION_ERROR")
                 .when(F.col("__write").isNotNull(), "BIGQUERY_WRITE_ERROR").otherwise("UNKNOWN_ERROR"))

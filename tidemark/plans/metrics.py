@@ -13,14 +13,16 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import JOB_ERRORS, MetricError
+from ..errors import JOB_ERRORS, DefinitionError, MetricError, first_line
 from ..functions.dates import strict_date
 from ..functions.numbers import denominator_status, numeric_warning, to_metric_decimal
+from ..operators.isolate import run_apart
 from ..operators.partitions import bind_dates, bind_positional
 from ..schemas import DEFINITION_SCHEMA, NUMERIC_RESULTS, RESULT_SCHEMA, TEXT_RESULTS
 from ..session import checkpoint
@@ -28,7 +30,11 @@ from .columns import NUMERIC, ColumnMap
 
 QUERY_TIMEOUT_SECONDS = 180
 ANALYSIS_THREADS = 8
-_SPOT = re.compile(r"'?\{(currently|partition_info|run_date)\}'?")
+_SPOT = re.compile(r"\{(currently|partition_info|run_date)\}")
+# a text in either quotes, a quoted name, or a placeholder outside of them
+_PIECE = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`[^`]*`|" + _SPOT.pattern, re.S)
+_MORE = "__more"  # a raw column: there was a second result row
+SECOND_ROW = "the query returned more than one row; the first was taken"
 
 # Messages of the denominator and date checks.
 ZERO_DENOMINATOR = ("Invalid denominator value: denominator_value is 0. "
@@ -40,7 +46,12 @@ NO_BUSINESS_DATE = "business_data_date is required but was not returned by the S
 
 @contextmanager
 def table_views(spark: SparkSession, tables: Mapping[str, DataFrame]):
-    """Make each ``project.dataset.table`` readable under its backticked name while queries are built."""
+    """Make each ``project.dataset.table`` readable under its backticked name while queries are built.
+
+    A temporary view of the caller with such a name is put back afterwards.
+    """
+    own = {view.name for view in spark.catalog.listTables() if view.isTemporary}
+    before = {name: spark.table(f"`{name}`") for name in tables if name in own}
     for name, df in tables.items():
         df.createOrReplaceTempView(f"`{name}`")
     try:
@@ -48,12 +59,27 @@ def table_views(spark: SparkSession, tables: Mapping[str, DataFrame]):
     finally:
         for name in tables:
             spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(f"`{name}`")
 
 
 def parametrize(sql: str) -> str:
-    """SQL with the n-th placeholder as the named parameter ``:d<n>``, quotes around it dropped."""
+    """SQL with the n-th placeholder as the named parameter ``:d<n>``, quotes of either kind around it dropped.
+
+    A placeholder inside a longer text cannot be a typed date; it is refused.
+    """
     count = iter(range(sql.count("{") + 1))
-    return _SPOT.sub(lambda _: f":d{next(count)}", sql)
+
+    def piece(found: re.Match) -> str:
+        text = found[0]
+        spots = _SPOT.findall(text)
+        if not spots:
+            return text
+        if text[0] == "{" or _SPOT.fullmatch(text[1:-1]) and text[0] != "`":
+            return f":d{next(count)}"
+        raise MetricError(f"placeholder inside a longer text: {text}; join the pieces with concat or ||")
+
+    return _PIECE.sub(piece, sql)
 
 
 def bound_query(spark: SparkSession, sql: str, dates: Sequence[dt.date]) -> DataFrame:
@@ -81,7 +107,18 @@ def raw_values(result: DataFrame, columns: ColumnMap | None = None) -> DataFrame
             return f"date_format({quoted}, 'yyyy-MM-dd')"
         return f"CAST({quoted} AS STRING)"
 
-    return result.limit(1).selectExpr(*[f"{text(column)} AS `{name}`" for name, column in names.items()])
+    shown = [f"{text(column)} AS `{name}`" for name, column in names.items()]
+    if _one_row_at_most(result):
+        return result.selectExpr(*shown, f"CAST(NULL AS STRING) AS {_MORE}")
+    # the first row, and whether there is a second one
+    two = result.limit(2).selectExpr("struct(" + ", ".join(shown) + ") AS v").groupBy().agg(F.first("v").alias("v"), F.count("v").alias("n"))
+    return two.where("n > 0").selectExpr("v.*", f"IF(n > 1, 'yes', NULL) AS {_MORE}")
+
+
+def _one_row_at_most(result: DataFrame) -> bool:
+    """Whether the plan itself says so, as that of an aggregate without groups does."""
+    most = result._jdf.queryExecution().analyzed().maxRows()
+    return most.isDefined() and most.get() <= 1
 
 
 def checked_values(raw: DataFrame, columns: ColumnMap | None = None) -> DataFrame:
@@ -99,8 +136,10 @@ def checked_values(raw: DataFrame, columns: ColumnMap | None = None) -> DataFram
     )
     warnings = [numeric_warning(n, F.col(n)) for n in numeric]
     warnings.append(F.when(status == "TINY", "denominator_value: very small"))
+    if _MORE in raw.columns:
+        warnings.append(F.when(F.col(_MORE).isNotNull(), SECOND_ROW))
     return raw.select(
-        *[to_metric_decimal(F.col(c)).alias(c) if c in numeric else F.col(f"`{c}`") for c in raw.columns],
+        *[to_metric_decimal(F.col(c)).alias(c) if c in numeric else F.col(f"`{c}`") for c in raw.columns if c != _MORE],
         error.alias("error"), F.nullif(F.concat_ws("; ", *warnings), F.lit("")).alias("warning"))
 
 
@@ -183,10 +222,10 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
     A failure has ``metric_id``, ``error_message`` and ``stage``: bind (a placeholder has no date), run
     (the SQL failed) or check (a value failed).
 
-    A definition that does not bind or analyse fails alone. The others run as one plan; if that
-    fails, each runs on its own to find the culprit. Values are checkpointed, so nothing is computed
-    twice downstream. ``strict`` fails a metric whose number has no decimal form. ``fail_fast``
-    raises on the first failure.
+    A definition that does not bind or analyse fails alone. The others run as one plan within ``timeout``
+    seconds; if it fails or takes longer it is halved, down to the culprit, so no query has more time than
+    that. Values are checkpointed, so nothing is computed twice downstream. ``strict`` fails a metric whose
+    number has no decimal form. ``fail_fast`` raises on the first failure. A repeated ``metric_id`` is an error.
     """
     columns = columns or ColumnMap()
     fields = [f.name for f in DEFINITION_SCHEMA if f.name in defs.columns]
@@ -194,6 +233,10 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
     for name in DEFINITION_SCHEMA.fieldNames():
         for record in records:
             record.setdefault(name, None)
+    ids = [r["metric_id"] for r in records]
+    repeated = sorted({str(i) for i in ids if ids.count(i) > 1}) if len(set(ids)) < len(ids) else []
+    if repeated:
+        raise DefinitionError(f"repeated metric_id: {repeated}")
     bind = bind_positional if positional else bind_dates
     bound: dict[str, list[Row]] = {}
     for row in bind(defs, run_date, latest).orderBy("metric_id", "ordinal").collect():
@@ -211,7 +254,7 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
         try:
             return _raw_metric(spark, record, [s.bound_date for s in spots], columns)
         except (*JOB_ERRORS, MetricError) as error:
-            return _first_line(error)
+            return first_line(error)
 
     unbound = {key: error for key, spots in bound.items() if (error := next((s.error for s in spots if s.error), None))}
     for key, error in unbound.items():
@@ -226,16 +269,12 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
             else:
                 queries[record["metric_id"]] = built
 
-    values = None
-    if queries:
-        try:
-            with time_limit(spark, timeout and timeout * len(queries)):
-                values = checkpoint(evaluate(spark, queries))
-        except JOB_ERRORS as error:  # a job of the shared plan failed: find whose
-            if len(queries) == 1:
-                fail(next(iter(queries)), _first_line(error))
-            else:
-                values = _one_by_one(spark, queries, fail, timeout)
+    def values_of(keys: Sequence[str]) -> DataFrame:
+        with time_limit(spark, timeout):
+            return checkpoint(evaluate(spark, {key: queries[key] for key in keys}))
+
+    parts = run_apart(list(queries), values_of, fail)
+    values = reduce(DataFrame.unionByName, parts) if parts else None
     good = failed = None
     if values is not None:
         text = F.when(F.col("empty"), NO_BUSINESS_DATE).otherwise(F.col("error"))
@@ -258,29 +297,6 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
     return good, failed
 
 
-def _one_by_one(spark: SparkSession, queries: Mapping[str, DataFrame], fail, timeout) -> DataFrame | None:
-    """Evaluate each metric alone, so that one failing at run time does not stop the others."""
-    done = []
-    for key, query in queries.items():
-        try:
-            with time_limit(spark, timeout):
-                done.append(checkpoint(evaluate(spark, {key: query})))
-        except JOB_ERRORS as error:
-            fail(key, _first_line(error))
-    values = None
-    for part in done:
-        values = part if values is None else values.unionByName(part)
-    return values
-
-
-def _first_line(error: Exception) -> str:
-    """First line of the innermost message: a failed job wraps the reason in several layers."""
-    text, layer = str(error), getattr(error, "java_exception", None)
-    while layer is not None:
-        text, layer = layer.getMessage() or text, layer.getCause()
-    return (text.strip() or type(error).__name__).splitlines()[0]
-
-
 def by_target(records: DataFrame, targets: Iterable[str]) -> dict[str, DataFrame]:
     """Result rows of each target table."""
     return {t: records.where(F.col("target_table") == t).drop("target_table") for t in targets}

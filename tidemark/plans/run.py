@@ -21,6 +21,9 @@ from .columns import ColumnMap
 from .metrics import QUERY_TIMEOUT_SECONDS, run_metrics
 
 
+RECON_PARTITION = ["schdld_dt"]
+
+
 @dataclass(frozen=True)
 class RunReport:
     """What a run leaves: results, failures, reconciliation rows, key changes and counts per target."""
@@ -42,31 +45,36 @@ def run_definitions(spark: SparkSession, defs_path: str, partition_info: DataFra
     """Run the definitions of ``dependencies`` and write results and reconciliation rows.
 
     ``tables`` gives the source tables by ``project.dataset.table``, ``targets`` the place of each
-    target table (a parquet folder or a catalog table). A failing metric or target does not stop the others. When the run itself
-    fails after the definitions are read, a failure row per requested metric is written and the
-    error is raised again.
+    target table (a parquet folder or a catalog table). A failing metric or target does not stop the others.
+    When validation or the run itself fails after the definitions are read, a failure row per definition
+    (per requested one, once validation has passed) is written and the error is raised again. Reconciliation
+    rows are partitioned by ``schdld_dt``, so that reports of a day read that day.
     """
     day = V.check_run_date(run_date)
     wanted = V.parse_dependencies(dependencies) if isinstance(dependencies, str) else list(dependencies)
     partition_dt = partition_dt or day
     executed_at = executed_at or dt.datetime.now(dt.timezone.utc)
-    P.validate_partition_info(partition_info)
+    P.require_partition_columns(partition_info)
     defs = read_metric_defs(spark, defs_path)
-    V.raise_on_error(V.validate(defs, positional))
-    V.require_dependencies(defs, wanted)
-    chosen = V.filter_dependencies(defs, wanted, required=True)
+    chosen, category = defs, "PIPELINE_VALIDATION_ERROR"
     try:
+        V.raise_on_error(V.validate(defs, positional))
+        V.require_dependencies(defs, wanted)
+        chosen = V.filter_dependencies(defs, wanted, required=True)
+        category = "PIPELINE_EXECUTION_ERROR"
         latest = _latest(partition_info, chosen, day, lookback_days)
         results, failures = run_metrics(spark, chosen, day, latest, tables, partition_dt, executed_at,
                                         columns, positional, strict, timeout=timeout)
-        written, changes, unwritten = _write(spark, results, targets)
+        written, changes, unwritten = _write(spark, results, targets, partition_dt.isoformat())
         outcomes = checkpoint(R.classify(chosen, written, failures, unwritten))
         recon = checkpoint(_reconcile(outcomes, failures, run_date, env, partition_dt, executed_at))
     except Exception as error:
-        rows = R.failure_rows(chosen, str(error), run_date, env, partition_dt, executed_at, "PIPELINE_EXECUTION_ERROR")
-        append(rows, recon_target)
+        try:
+            append(R.failure_rows(chosen, str(error), run_date, env, partition_dt, executed_at, category), recon_target, RECON_PARTITION)
+        except Exception as second:  # the first error is the one to report
+            error.add_note(f"the failure rows could not be written either: {second}")
         raise
-    append(recon, recon_target)
+    append(recon, recon_target, RECON_PARTITION)
     return RunReport(results, failures, recon, changes, R.run_stats(outcomes, changes))
 
 
@@ -87,7 +95,7 @@ def _reconcile(outcomes: DataFrame, failures: DataFrame, run_date: str, env: str
     return rows.unionByName(R.failure_rows(broken, F.col("error_message"), run_date, env, partition_dt, executed_at))
 
 
-def _write(spark: SparkSession, results: DataFrame, targets: Mapping[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _write(spark: SparkSession, results: DataFrame, targets: Mapping[str, str], day: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written ids with their target, their key changes, and an error per id that was not written."""
     failures, changed = [], []
     for target, path in targets.items():
@@ -95,7 +103,7 @@ def _write(spark: SparkSession, results: DataFrame, targets: Mapping[str, str])
         try:
             existing = U.read_partitioned(spark, path, "partition_dt", rows)
             fitted = rows if existing is None else align(rows, existing.schema, missing="null")
-            changes = U.overwrite_partitions(spark, path, fitted)
+            changes = U.overwrite_partitions(spark, path, fitted, day=day)
             if changes is not None:
                 changed.append(changes.withColumn("target_table", F.lit(target)))
         except JOB_ERRORS as error:

@@ -238,11 +238,19 @@ def _(spark, sf):
                        F.date_format("pipeline_execution_ts", "yyyy-MM-dd HH:mm:ss").alias("pipeline_execution_ts"))
 
 
-@query("ag17_time_limit", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+@query("ag17_time_limit", "SELECT 'all' AS metric_id, count(*) AS n, 'done' AS state FROM orders UNION ALL SELECT 'open', count(*), 'done' FROM orders WHERE o_orderstatus <> 'F' "
+       "UNION ALL SELECT 'slow', NULL, 'cancelled' FROM (SELECT count(*) FROM orders)")
 def _(spark, sf):
-    from ..session import checkpoint
-    with M.time_limit(spark, M.QUERY_TIMEOUT_SECONDS):
-        return checkpoint(table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")))
+    sqls = {"all": "SELECT count(*) AS metric_output, {currently} AS business_data_date FROM `w.retail.orders`",
+            "slow": "SELECT count_if(id % 7 = (SELECT count(*) % 7 FROM `w.retail.orders`)) AS metric_output, {currently} AS business_data_date FROM range(5000000000000)",
+            "open": "SELECT count(*) AS metric_output, {currently} AS business_data_date FROM `w.retail.orders` WHERE o_orderstatus <> 'F'"}
+    defs = spark.createDataFrame([(k, k, "Count", sql, "daily", "w.m.daily") for k, sql in sqls.items()],
+                                 "metric_id string, metric_name string, metric_type string, sql string, dependency string, target_table string")
+    info = table(spark, sf, "orders").select(F.lit("retail").alias("project_dataset"), F.lit("orders").alias("table_name"), F.to_date("o_orderdate").alias("partition_dt"))
+    good, failed = M.run_metrics(spark, defs, _DAY, P.latest_partition(info), {"w.retail.orders": table(spark, sf, "orders")}, timeout=10)
+    done = good.select("metric_id", F.col("metric_output").cast("bigint").alias("n"), F.lit("done").alias("state"))
+    cut = failed.select("metric_id", F.lit(None).cast("bigint").alias("n"), F.when(F.lower("error_message").contains("cancel"), "cancelled").otherwise("failed").alias("state"))
+    return done.unionByName(cut)
 
 
 @query("ag18_result_columns", "SELECT 'as_at' AS required_missing, 'done' AS optional_missing, count(*) AS metric_output FROM orders")
