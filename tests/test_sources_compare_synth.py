@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tidemark.errors import DefinitionError, SourceError
 from tidemark.operators import compare as C
 from tidemark.operators import synth as S
-from tidemark.sources import (audit_last, export_csv, load_csv_folder, load_csv_typed, read_mapping, resolve_table, schema_from_ddl, write_targets)
+from tidemark.sources import (audit_last, bad_cells, export_csv, load_csv_folder, load_csv_typed, read_mapping, resolve_table, schema_from_ddl, write_targets)
 
 
 def write(path, text, encoding="utf-8"):
@@ -26,11 +26,50 @@ def test_cells_decide_the_types(spark, tmp_path):
 def test_schema_decides_the_types(spark, tmp_path):
     path = write(tmp_path / "a.csv", "day,tags,raw\n2024-01-05,\"[\"\"a\"\",\"\"b\"\"]\",YWI=\nbad,,\n")
     ddl = [{"name": "day", "type": "DATE"}, {"name": "tags", "type": "STRING", "mode": "REPEATED"}, {"name": "raw", "type": "BYTES"}]
-    assert [tuple(r) for r in load_csv_typed(spark, path, ddl).collect()] == [(dt.date(2024, 1, 5), ["a", "b"], bytearray(b"ab")), (None, None, None)]
+    assert [tuple(r) for r in load_csv_typed(spark, path, ddl, strict=False).collect()] == [(dt.date(2024, 1, 5), ["a", "b"], bytearray(b"ab")), (None, None, None)]
     with pytest.raises(SourceError, match="more"):
         load_csv_typed(spark, path, [{"name": "more", "type": "STRING"}])
 
 
+def test_no_cell_is_lost(spark, tmp_path):
+    big, fine = "1" * 36, "1.12345678901"
+    path = write(tmp_path / "a.csv", f"a,b,c\n{big},{fine},1\n2,3,4\n")
+    df = load_csv_typed(spark, path)
+    assert df.dtypes == [("a", "string"), ("b", "string"), ("c", "bigint")] and df.first().a == big and df.first().b == fine
+    wide = write(tmp_path / "b.csv", 'a,b\n1,2\n3,"x,y",5,6\n7\n')
+    with pytest.raises(SourceError, match="1 lines have more cells"):
+        load_csv_typed(spark, wide)
+    assert [tuple(r) for r in load_csv_typed(spark, wide, strict=False).collect()] == [(1, "2"), (3, "x,y"), (7, None)]
+    assert [tuple(r) for r in bad_cells(spark, wide).collect()] == [("3", None, "5", "none")]
+    ddl = [{"name": "a", "type": "INT64"}, {"name": "b", "type": "NUMERIC"}]
+    typed = write(tmp_path / "c.csv", "a,b\n1,2.500\nx,0.12345678901\n,nothing\n")
+    with pytest.raises(SourceError, match="2 lines"):
+        load_csv_typed(spark, typed, ddl)
+    assert {tuple(r)[1:3] for r in bad_cells(spark, typed, ddl).collect()} == {("a", "x"), ("b", "0.12345678901"), ("b", "nothing")}
+
+
+def test_types_are_those_of_all_files(spark, tmp_path):
+    write(tmp_path / "one.csv", "code,v\n10,1\n20,2\n")
+    write(tmp_path / "two.csv", "code,w\nX9,1.5\n")
+    place = "acme-<env>-01-<project_code>.acme_<env>.t"
+    tables, _ = load_csv_folder(spark, str(tmp_path), {"one.csv": place, "two.csv": place}, "bld", {"acme": "77"})
+    (df,) = tables.values()
+    assert dict(df.dtypes)["code"] == "string" and sorted(r.code for r in df.collect()) == ["10", "20", "X9"]
+
+
+def test_export_is_in_utc(spark, tmp_path):
+    moment = dt.datetime(2024, 1, 5, 12, 0, 0, 250000, tzinfo=dt.timezone.utc)
+    df = spark.createDataFrame([(moment,), (moment.replace(microsecond=0),)], "ts timestamp")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        export_csv(df, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    lines = {line for f in (tmp_path / "out").glob("*.csv") for line in f.read_text().splitlines()}
+    assert lines == {"ts", "2024-01-05 12:00:00.250000 UTC", "2024-01-05 12:00:00 UTC"}
+
+
 def test_export_reads_back(spark, tmp_path):
     day = dt.date(2024, 1, 5)
     df = spark.createDataFrame([(1, day, True, None, ["a"], "x|y \"q\""), (2, None, False, "", None, " ")],

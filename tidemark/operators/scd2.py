@@ -53,19 +53,30 @@ def classify_changes(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
 
 def classify_snapshots(snapshots: DataFrame, keys: Sequence[str], day: str = "partition_dt",
                        ignore: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
-    """The same for each partition date against the one before it; all keys of the first are new."""
-    snapshots = one_per_key(snapshots, [*keys, day], order)
+    """The same for each partition date against the one before it; all keys of the first are new.
+
+    One shuffle by key: a row meets the row before and after it of its key, and the short list of dates
+    tells whether those are of the dates next to its own.
+    """
     tracked = _tracked(snapshots, [*keys, day], ignore)
-    rows = _values(snapshots, [*keys, day], tracked, "new")
-    # at most one row per calendar date
-    days = rows.select(F.col(day).alias("d")).distinct().agg(F.sort_array(F.collect_set("d")).alias("d"))
-    steps = days.select(F.explode(F.arrays_zip(
-        F.col("d").alias("from_day"), F.slice("d", 2, F.greatest(F.size("d") - 1, F.lit(0))).alias("to_day"))).alias("s"))
-    steps = F.broadcast(steps.select("s.from_day", "s.to_day").where("to_day IS NOT NULL"))
-    before = (rows.join(steps, F.col(day) == F.col("from_day"))
-              .select(*keys, F.col("to_day").alias(day), F.col("new").alias("old")))
-    both = before.join(rows, [*keys, day], "full")
-    return both.select(*keys, day, _change().alias("change"))
+    rows = _values(one_per_key(snapshots, [*keys, day], order), [*keys, day], tracked, "new")
+    by_key = Window.partitionBy(*keys).orderBy(day)
+    seen = rows.select(*keys, day, "new", F.lag(day).over(by_key).alias("__last"), F.lag("new").over(by_key).alias("__old"),
+                       F.lead(day).over(by_key).alias("__next"))
+    dated = seen.join(_neighbours(snapshots, day), day)
+    same = F.col("__last").eqNullSafe(F.col("__day_before")) & F.col("__last").isNotNull()
+    own = F.struct(F.col(day).alias("day"), F.when(~same, "new").when(F.col("__old").eqNullSafe(F.col("new")), "unchanged").otherwise("updated").alias("change"))
+    gone = F.when(F.col("__day_after").isNotNull() & ~F.col("__day_after").eqNullSafe(F.col("__next")),
+                  F.struct(F.col("__day_after").alias("day"), F.lit("omitted").alias("change")))
+    changes = F.filter(F.array(own, gone), lambda c: c.isNotNull())
+    return dated.select(*keys, F.inline(changes)).select(*keys, F.col("day").alias(day), "change")
+
+
+def _neighbours(snapshots: DataFrame, day: str) -> DataFrame:
+    """Every partition date with the one before and after it: at most one row per calendar date, so broadcast."""
+    days = snapshots.select(F.col(day).alias("d")).where("d IS NOT NULL").distinct().agg(F.sort_array(F.collect_set("d")).alias("d"))
+    near = F.transform("d", lambda d, i: F.struct(d.alias(day), F.when(i > 0, F.get("d", i - 1)).alias("__day_before"), F.get("d", i + 1).alias("__day_after")))
+    return F.broadcast(days.select(F.inline(near)))
 
 
 def column_diffs(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
@@ -113,26 +124,32 @@ def apply_scd2(latest: DataFrame, incoming: DataFrame, keys: Sequence[str], mode
 
 
 def split_latest_history(snapshots: DataFrame, keys: Sequence[str], day: str = "partition_dt",
-                         ignore: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Latest version per key and all replaced versions, from all snapshots."""
-    versions = build_history(snapshots, keys, day, _tracked(snapshots, [*keys, day], ignore))
+                         ignore: Sequence[str] = (), mode: str = "delta") -> tuple[DataFrame, DataFrame]:
+    """Latest version per key and all replaced versions, from all snapshots; in ``full`` mode a key that the
+    last snapshot lacks has no latest version."""
+    versions = build_history(snapshots, keys, day, _tracked(snapshots, [*keys, day], ignore), mode=mode)
     columns = [*keys, *[c for c in snapshots.columns if c not in keys]]
     rows = versions.withColumnRenamed("effective_start_date", day)
     return (rows.where("is_current").select(*columns), rows.where("NOT is_current").select(*columns))
 
 
 def build_history(snapshots: DataFrame, keys: Sequence[str], day: str = "partition_dt",
-                  tracked: Sequence[str] | None = None, order: Sequence[str] = ()) -> DataFrame:
+                  tracked: Sequence[str] | None = None, order: Sequence[str] = (), mode: str = "delta") -> DataFrame:
     """Versions per key with effective dates.
 
     Consecutive snapshots with equal tracked values are one version. It ends the day before the next
-    version starts, the last one at 9999-12-31. Both windows share one shuffle and one sort, and a
-    key has at most one row per partition date in them.
+    version starts, the last one at 9999-12-31. In ``full`` mode a snapshot holds all keys: a version also
+    ends the day before the first snapshot that lacks its key, and a key that returns starts a new one. The
+    windows share one shuffle by key, and a key has at most one row per partition date in them.
     """
+    if mode not in ("full", "delta"):
+        raise ValueError(f"mode must be 'full' or 'delta', not {mode!r}")
     tracked = list(tracked or _tracked(snapshots, [*keys, day], ()))
     rows = one_per_key(snapshots.select(*keys, day, *tracked), [*keys, day], order)
     by_key = Window.partitionBy(*keys).orderBy(day)
     packed = rows.select(*keys, day, F.struct(*tracked).alias("v"))
+    if mode == "full":
+        return _full_history(packed, _neighbours(snapshots, day), keys, day)
     before = F.lag("v").over(by_key)
     starts = packed.withColumn("__before", before).where(
         F.col("__before").isNull() | ~F.col("v").eqNullSafe(F.col("__before")))
@@ -145,6 +162,20 @@ def build_history(snapshots: DataFrame, keys: Sequence[str], day: str = "partiti
         "version", F.col("__next").isNull().alias("is_current"))
 
 
+def _full_history(packed: DataFrame, days: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Versions where a key that a snapshot lacks is closed."""
+    by_key = Window.partitionBy(*keys).orderBy(day)
+    seen = packed.select(*keys, day, "v", F.lag(day).over(by_key).alias("__last"), F.lag("v").over(by_key).alias("__old")).join(days, day)
+    goes_on = (F.col("__last").isNotNull() & F.col("__last").eqNullSafe(F.col("__day_before")) & F.col("v").eqNullSafe(F.col("__old")))
+    numbered = seen.withColumn("version", F.sum(F.when(goes_on, 0).otherwise(1)).over(by_key).cast("int"))
+    # the date after the last snapshot of a version ends it
+    versions = numbered.groupBy(*keys, "version").agg(
+        F.min(F.struct(day, "v")).alias("first"), F.max(F.struct(day, "__day_after")).alias("last"))
+    after = F.col("last.__day_after")
+    return versions.select(*keys, "first.v.*", F.col(f"first.{day}").alias("effective_start_date"),
+                           F.coalesce(F.date_sub(after, 1), F.lit(OPEN_END)).alias("effective_end_date"), "version", after.isNull().alias("is_current"))
+
+
 def check_history(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Violations per key: not_one_current, overlap, gap. Empty for a sound history.
 
@@ -185,10 +216,12 @@ def overlap(latest: DataFrame, history: DataFrame, day: dt.date, keys: Sequence[
 
 def unchanged_updates(latest: DataFrame, history: DataFrame, columns: Sequence[str], day: dt.date,
                       keys: Sequence[str] = ("id",), column: str = "partition_dt") -> DataFrame:
-    """Keys whose replaced version has the same business values as the latest one."""
+    """Keys whose replaced version has the same business values as the latest one; NULL equals NULL."""
     same = [*keys, *columns]
     old = _on(history, day, column).select(*same).distinct()
-    return _on(latest, day, column).select(*same).distinct().join(old, same).select(*same)
+    # grouped together, equal values meet whether they are NULL or not
+    both = _on(latest, day, column).select(*same).distinct().unionByName(old)
+    return both.groupBy(*same).agg(F.count(F.lit(1)).alias("__n")).where("__n = 2").select(*same)
 
 
 def update_vs_history(source: DataFrame, latest: DataFrame, history: DataFrame, columns: Sequence[str],
@@ -196,7 +229,8 @@ def update_vs_history(source: DataFrame, latest: DataFrame, history: DataFrame,
                       column: str = "partition_dt") -> DataFrame:
     """One row with the number of updated source keys and of history entries; sound when equal.
 
-    With ``flag`` (a boolean source column) flagged source rows and history rows are counted.
+    With ``flag`` (a boolean source column) flagged source rows and history rows are counted. A change
+    from or to NULL is an update, as everywhere here; plain inequality would miss it.
     """
     src, old = _on(source, day, column), _on(history, day, column)
     if flag is not None:
@@ -207,7 +241,7 @@ def update_vs_history(source: DataFrame, latest: DataFrame, history: DataFrame,
         was = old.select(*keys, *[F.col(c).alias(f"__was_{c}") for c in columns]).distinct()
         differs = F.lit(False)
         for c in columns:
-            differs = differs | (F.col(c) != F.col(f"__was_{c}"))
+            differs = differs | ~F.col(c).eqNullSafe(F.col(f"__was_{c}"))
         changed = now.join(was, list(keys)).where(differs).select(*keys).distinct()
         updated = changed.join(src.select(*keys).distinct(), list(keys), "left_semi")
         updates = updated.agg(F.count(F.lit(1)).alias("source_update_count"))

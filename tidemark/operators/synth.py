@@ -7,7 +7,7 @@ import datetime as dt
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +20,8 @@ ROW = "__row"
 # Name patterns that hint at the kind of value, and small value sets.
 _HINTS = [
     ("email", r"email"), ("phone", r"phone"), ("percent", r"(_pct|rate|ratio)$"),
-    ("status", r"status"), ("flag", r"(^is_|^has_|flag)"), ("money", r"(amount|salary|price|cost)"),
-    ("country", r"country"), ("currency", r"currency"), ("id", r"(_id|_key|_no)$"),
+    ("status", r"status"), ("flag", r"(^is_|^has_|flag)"),
+    ("country", r"country"), ("currency", r"currency"),
 ]
 _STATUS = ["ACTIVE", "INACTIVE", "PENDING"]
 _COUNTRIES = ["GB", "IN", "US", "DE", "FR"]
@@ -127,11 +127,9 @@ def dense_index(df: DataFrame, key: str) -> DataFrame:
                         .withColumn("__part", F.spark_partition_id()))
     local = placed.withColumn("__id", F.monotonically_increasing_id())
     sizes = local.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first"))
-    packed = sizes.agg(F.sort_array(F.collect_list(F.struct("__part", "n", "first"))).alias("s"))
-    offsets = packed.select(F.explode(F.transform("s", lambda p: F.struct(
-        p["__part"].alias("__part"), p["first"].alias("first"),
-        F.aggregate(F.filter("s", lambda q: q["__part"] < p["__part"]), F.lit(0).cast("bigint"),
-                    lambda total, q: total + q["n"]).alias("offset")))).alias("o")).select("o.*")
+    # a running sum over one row per partition
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     joined = local.join(F.broadcast(offsets), "__part")
     return joined.select(*df.columns, (F.col("__id") - F.col("first") + F.col("offset")).alias(ROW))
 
@@ -149,8 +147,10 @@ def synth_children(parents: Mapping[str, tuple[DataFrame, str]], ddl: Sequence[M
     for column, (parent, parent_key) in parents.items():
         pool = parent.select(F.col(parent_key).alias(column)).where(F.col(column).isNotNull()).distinct()
         indexed = dense_index(pool, column).withColumnRenamed(ROW, "__draw")
-        size = indexed.agg(F.max("__draw") + 1).scalar()
-        rows = rows.withColumn("__draw", F.pmod(_hash(seed, column), size)).join(indexed, "__draw").drop("__draw")
+        size = indexed.count()
+        if not size:
+            raise ValueError(f"no parent value for {column!r}")
+        rows = rows.withColumn("__draw", F.pmod(_hash(seed, column), F.lit(size))).join(indexed, "__draw").drop("__draw")
     table = _fill(rows, ddl, seed, key, day, defaults or {}, null_rate, list(parents), start)
     return table if keep_row else table.drop(ROW)
 

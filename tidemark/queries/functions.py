@@ -58,7 +58,8 @@ def _(spark, sf):
                      part=table(spark, sf, "part"))
 
 
-@query("fn16_seeded_random", "SELECT count(*) AS n, true AS within FROM events")
+@query("fn16_seeded_random", "SELECT count(*) AS n, true AS within, count(*) AS same FROM events")
 def _(spark, sf):
-    drawn = table(spark, sf, "events").select(F.rand(42).alias("r"))
-    return drawn.agg(F.count("r").alias("n"), ((F.min("r") >= 0) & (F.max("r") < 1)).alias("within"))
+    draw = lambda name: table(spark, sf, "events").select("event_id", F.rand(42).alias(name))
+    both = draw("r").join(draw("again"), "event_id")
+    return both.agg(F.count("r").alias("n"), ((F.min("r") >= 0) & (F.max("r") < 1)).alias("within"), F.count_if(F.col("r") == F.col("again")).alias("same"))

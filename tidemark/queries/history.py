@@ -138,6 +138,18 @@ def _(spark, sf):
     return S.overlap(latest, history, _D2)
 
 
+_GAPS = (f"WITH {_SNAPSHOTS}, days AS (SELECT partition_dt AS d, lag(partition_dt) OVER (ORDER BY partition_dt) AS pd, lead(partition_dt) OVER (ORDER BY partition_dt) AS nd FROM (SELECT DISTINCT partition_dt FROM snap)), "
+         "r AS (SELECT snap.*, pd, nd, lag(partition_dt) OVER w AS lp, lag(col1) OVER w AS l1, lag(col2) OVER w AS l2 FROM snap JOIN days ON d = partition_dt WINDOW w AS (PARTITION BY id ORDER BY partition_dt)), "
+         "n AS (SELECT *, sum(CASE WHEN lp = pd AND col1 IS NOT DISTINCT FROM l1 AND col2 IS NOT DISTINCT FROM l2 THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY partition_dt) AS version FROM r)")
+
+
+@query("sc06_full_history",
+       f"{_GAPS} SELECT id, min(col1) AS col1, min(col2) AS col2, strftime(min(partition_dt), '%Y-%m-%d') AS effective_start_date, CASE WHEN max(partition_dt) = (SELECT max(d) FROM days) THEN '9999-12-31' ELSE strftime(max(nd) - 1, '%Y-%m-%d') END AS effective_end_date, "
+       "CAST(version AS INTEGER) AS version, max(partition_dt) = (SELECT max(d) FROM days) AS is_current FROM n GROUP BY id, version")
+def _(spark, sf):
+    return _text(S.build_history(_snapshots(spark, sf), ["id"], mode="full"), "effective_start_date", "effective_end_date")
+
+
 @query("sc10_unchanged_updates", f"WITH {_SNAPSHOTS}, {_P} SELECT p.id, p.col1 FROM p JOIN c ON p.id = c.id AND p.col1 = c.col1 WHERE p.col2 IS DISTINCT FROM c.col2")
 def _(spark, sf):
     _, latest, history = _load(spark, sf, "full", history_day=_D2)
@@ -145,7 +157,7 @@ def _(spark, sf):
 
 
 @query("sc11_update_vs_history",
-       f"WITH {_SNAPSHOTS}, {_P}, {_BOTH} SELECT (SELECT count(*) FROM p JOIN c ON p.id = c.id WHERE p.col1 <> c.col1) AS source_update_count, (SELECT count(*) FROM b WHERE change = 'updated') AS history_record_count")
+       f"WITH {_SNAPSHOTS}, {_P}, {_BOTH} SELECT (SELECT count(*) FROM p JOIN c ON p.id = c.id WHERE p.col1 IS DISTINCT FROM c.col1) AS source_update_count, (SELECT count(*) FROM b WHERE change = 'updated') AS history_record_count")
 def _(spark, sf):
     source, latest, history = _load(spark, sf, "delta", history_day=_D2)
     return S.update_vs_history(source, latest, history, ["col1"], _D2)

@@ -115,14 +115,19 @@ def _(spark, sf):
     return R.dup_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def _keyed(spark, sf, name, key, condition):
+    """A whole table whose key is missing where the condition fails, so that some children have no parent."""
+    return table(spark, sf, name).withColumn(key, F.when(F.expr(condition), F.col(key)))
+
+
 @query("dq09_orphans", "SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')")
 def _(spark, sf):
-    return R.orphans(table(spark, sf, "lineitem"), table(spark, sf, "orders").where("o_orderstatus <> 'P'"), ["l_orderkey"], ["o_orderkey"])
+    return R.orphans(table(spark, sf, "lineitem"), _keyed(spark, sf, "orders", "o_orderkey", "o_orderstatus <> 'P'"), ["l_orderkey"], ["o_orderkey"])
 
 
 @query("dq09_orphan_rows", "SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
 def _(spark, sf):
-    return R.orphan_rows(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "customer").where("c_acctbal > 0"), ["o_custkey"], ["c_custkey"])
+    return R.orphan_rows(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), _keyed(spark, sf, "customer", "c_custkey", "c_acctbal > 0"), ["o_custkey"], ["c_custkey"])
 
 
 @query("dq10_freshness",
@@ -181,13 +186,13 @@ _DAY = dt.date(2001, 7, 1)
 
 
 def _full(spark, sf):
-    tables = {"w.retail.orders": table(spark, sf, "orders"), "w.retail.customer": table(spark, sf, "customer").where("c_acctbal > -500")}
+    tables = {"w.retail.orders": table(spark, sf, "orders"), "w.retail.customer": _keyed(spark, sf, "customer", "c_custkey", "c_acctbal > -500")}
     return Q.run_dq(spark, _full_spec(), tables, _DAY, "inv-1", "run-1", _NOW)
 
 
 _ON = lambda d: f"CAST(o_orderdate AS DATE) = DATE '{d}'"
 _FULL_SQL = (
-    "WITH c AS (SELECT * FROM customer WHERE c_acctbal > -500), r AS (SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM orders), raw AS ("
+    "WITH c AS (SELECT * REPLACE (CASE WHEN c_acctbal > -500 THEN c_custkey END AS c_custkey) FROM customer), r AS (SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM orders), raw AS ("
     "SELECT 'STATUS' AS rule_binding_id, 'NOT_NULL' AS rule_id, 'orders' AS t, 'completeness' AS dimension, n AS rows_validated, 0 AS bad FROM r "
     "UNION ALL SELECT 'STATUS', 'NOT_BLANK', 'orders', 'completeness', n, 0 FROM r "
     "UNION ALL SELECT 'PRIORITY', 'PRIORITY', 'orders', 'conformance', f, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority >= '4') FROM r "

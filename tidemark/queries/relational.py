@@ -55,7 +55,7 @@ def _hot_orders(spark, sf):
 
 
 def _poor(spark, sf):
-    return table(spark, sf, "customer").where("c_acctbal < 5000 OR c_custkey = 7").selectExpr("c_custkey AS custkey", "c_name")
+    return table(spark, sf, "customer").selectExpr("CASE WHEN c_acctbal < 5000 OR c_custkey = 7 THEN c_custkey END AS custkey", "c_name")
 
 
 @query("rl05_left_join_hot_key", f"SELECT o_orderkey, o.custkey, c_name FROM ({_HOT_SQL}) o LEFT JOIN ({_POOR_SQL}) c ON o.custkey = c.custkey")
@@ -91,7 +91,7 @@ def _(spark, sf):
 
 @query("rl08_semi_join", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def _(spark, sf):
-    building = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    building = table(spark, sf, "customer").select(F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey")).alias("o_custkey"))
     return R.semi(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), building, ["o_custkey"])
 
 
@@ -198,7 +198,7 @@ _STEPS = [
        "SELECT 'found' AS part, o_orderkey AS order_id, c_name AS owner FROM orders JOIN customer ON o_custkey = c_custkey AND c_acctbal > 5000 "
        "UNION ALL SELECT 'lost', o_orderkey, 'nobody' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)")
 def _(spark, sf):
-    results = run_steps(_STEPS, {"orders": table(spark, sf, "orders"), "rich": table(spark, sf, "customer").where("c_acctbal > 5000")})
+    results = run_steps(_STEPS, {"orders": table(spark, sf, "orders"), "rich": table(spark, sf, "customer").withColumn("c_custkey", F.when(F.col("c_acctbal") > 5000, F.col("c_custkey")))})
     found, lost = results["with_owner"], results["without_owner"]
     return found.select(F.lit("found").alias("part"), "order_id", "owner").unionByName(
         lost.select(F.lit("lost").alias("part"), "order_id", "owner"))

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..sources import (append, export_csv, load_csv_folder, load_csv_typed, row_hash, schema_from_ddl, stamp_audit,
+from ..sources import (append, bad_cells, export_csv, load_csv_folder, load_csv_typed, row_hash, schema_from_ddl, stamp_audit,
                        write_targets)
 from .base import query, scratch, table
 
@@ -39,6 +39,20 @@ def _(spark, sf):
     return load_csv_typed(spark, path).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
+@query("io07_bad_cells",
+       "SELECT CAST(o_orderkey AS VARCHAR) AS first_cell, 'o_totalprice' AS column_name, 'about ' || CAST(o_totalprice AS DECIMAL(18,2)) AS cell, 'decimal(38,9)' AS data_type FROM orders WHERE o_orderstatus = 'P' "
+       "UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'o_orderdate', '0000' || strftime(o_orderdate, '-%m-%d') || 'x', 'date' FROM orders WHERE o_orderpriority = '1-URGENT'")
+def _(spark, sf):
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("about "), price)).otherwise(price).alias("o_totalprice"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("0000"), F.date_format("o_orderdate", "-MM-dd"), F.lit("x")))
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"))
+    path = scratch(spark, "bad")
+    export_csv(orders, path)
+    return bad_cells(spark, path, [{"name": "o_orderkey", "type": "INT64"}, {"name": "o_totalprice", "type": "NUMERIC"}, {"name": "o_orderdate", "type": "DATE"}])
+
+
 @query("io07_csv_texts", "SELECT doc_id, lang, n_chars, md5(regexp_replace(text, '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g')) AS text_hash FROM documents")
 def _(spark, sf):
     path = scratch(spark, "texts")
@@ -61,7 +75,7 @@ def _(spark, sf):
 
 
 @query("io09_export",
-       "SELECT event_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|' || strftime(ts, '%Y-%m-%d') || '|' || (value > 50) || '|' || coalesce(nullif(event_type, 'click'), '') AS line FROM events "
+       "SELECT event_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN ts = date_trunc('second', ts) THEN '' ELSE strftime(ts, '.%f') END || '|' || strftime(ts, '%Y-%m-%d') || '|' || (value > 50) || '|' || coalesce(nullif(event_type, 'click'), '') AS line FROM events "
        "UNION ALL SELECT 'event_id|ts|day|high|event_type' WHERE (SELECT count(*) FROM events) > 0")
 def _(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", F.to_date("ts").alias("day"), (F.col("value") > 50).alias("high"),

@@ -46,24 +46,6 @@ def _(spark, sf):
     return C.dedupe_last(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey"])
 
 
-_DDL = [{"name": "customer_id", "type": "STRING", "mode": "REQUIRED"}, {"name": "email", "type": "STRING", "mode": "REQUIRED"},
-        {"name": "status", "type": "STRING"}, {"name": "amount", "type": "NUMERIC"}, {"name": "score_pct", "type": "INT64"},
-        {"name": "is_active", "type": "BOOL"}, {"name": "brand", "type": "STRING"}, {"name": "partition_dt", "type": "DATE"}]
-
-
-@query("sy1_synthetic_table",
-       "SELECT count(*) AS n, count(*) AS keys, 'PK1' AS first_key, true AS emails, true AS amounts, true AS shares, 3::BIGINT AS statuses FROM customer")
-def _(spark, sf):
-    n = table(spark, sf, "customer").count()
-    rows = S.synth_table(spark, _DDL, n, seed=7, key="customer_id")
-    per_status = rows.groupBy("status").agg(
-        F.count(F.lit(1)).alias("n"), F.min("customer_id").alias("k"), F.bool_and(F.col("email").endswith("@example.com")).alias("e"),
-        F.bool_and(F.col("amount").between(10, 1000)).alias("a"), F.bool_and(F.col("score_pct").between(0, 100)).alias("s"))
-    keys = rows.select("customer_id").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    return per_status.agg(F.sum("n").alias("n"), F.min("k").alias("first_key"), F.bool_and("e").alias("emails"), F.bool_and("a").alias("amounts"),
-                          F.bool_and("s").alias("shares"), F.count(F.lit(1)).alias("statuses")).withColumn("keys", keys)
-
-
 @query("sy2_children_of_parents", "SELECT (SELECT count(*) FROM orders) AS n, 0::BIGINT AS orphans, true AS spread")
 def _(spark, sf):
     parents = table(spark, sf, "customer").select("c_custkey")
@@ -75,21 +57,15 @@ def _(spark, sf):
     return per_parent.agg(F.sum("n").alias("n"), (F.max("n") < 60).alias("spread")).select("n", alone.scalar().alias("orphans"), "spread")
 
 
-@query("sy3_infer_keys",
-       "SELECT * FROM (VALUES ('orders', 'o_custkey', 'customer', 'c_custkey'), ('lineitem', 'l_orderkey', 'orders', 'o_orderkey'), ('customer', 'c_nationkey', 'nation', 'n_nationkey'), "
-       "('supplier', 's_nationkey', 'nation', 'n_nationkey'), ('nation', 'n_regionkey', 'region', 'r_regionkey')) k(child, child_column, parent, parent_key) "
-       "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))")
+_LINKS = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
+          ("supplier", "s_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey")]
+
+
+@query("sy3_infer_keys", " UNION ALL ".join(
+    f"SELECT '{c}' AS child, '{cc}' AS child_column, '{p}' AS parent, '{pk}' AS parent_key WHERE NOT EXISTS (SELECT 1 FROM {c} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pk} FROM {p}))"
+    for c, cc, p, pk in _LINKS))
 def _(spark, sf):
     names = ["orders", "lineitem", "customer", "supplier", "nation"]
     tables = {n: table(spark, sf, n) for n in names + ["region"]}
     keys = {"orders": "o_orderkey", "customer": "c_custkey", "nation": "n_nationkey", "region": "r_regionkey"}
     return S.infer_fks(tables, keys, lambda name: name.split("_", 1)[-1])
-
-
-@query("sy4_defaults_and_nulls", "SELECT count(*) AS n, count(*) AS branded, 0::BIGINT AS empty_keys, true AS share_near FROM lineitem")
-def _(spark, sf):
-    n = table(spark, sf, "lineitem").count()
-    rows = S.synth_table(spark, _DDL, n, seed=5, key="customer_id", defaults={"brand": "HOUSE"}, null_rate=0.08)
-    share = F.count_if(F.col("amount").isNull()) / F.count(F.lit(1))
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("brand") == "HOUSE").alias("branded"),
-                    F.count_if(F.col("customer_id").isNull() | F.col("email").isNull()).alias("empty_keys"), share.between(0.06, 0.10).alias("share_near"))

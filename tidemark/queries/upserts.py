@@ -42,7 +42,7 @@ def _(spark, sf):
 
 # a run re-computes the metrics of some customers for the days they ordered on, and adds new ones
 _EXISTING = "SELECT 'c' || o_custkey AS metric_id, strftime(o_orderdate, '%Y-%m') AS partition_dt, o_orderkey AS value FROM orders WHERE o_orderstatus <> 'P'"
-_INCOMING = "SELECT 'c' || o_custkey AS metric_id, strftime(o_orderdate, '%Y-%m') AS partition_dt, -o_orderkey AS value FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+_INCOMING = "SELECT 'c' || o_custkey AS metric_id, strftime(o_orderdate, '%Y-%m') AS partition_dt, -o_orderkey AS value FROM orders WHERE o_orderstatus = 'P'"
 
 
 def _tables(spark, sf):
@@ -50,7 +50,7 @@ def _tables(spark, sf):
                                         F.date_format("o_orderdate", "yyyy-MM").alias("partition_dt"), value.alias("value"))
     orders = table(spark, sf, "orders")
     return (shape(orders.where("o_orderstatus <> 'P'"), F.col("o_orderkey")),
-            shape(orders.where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"), -F.col("o_orderkey")))
+            shape(orders.where("o_orderstatus = 'P'"), -F.col("o_orderkey")))
 
 
 _AFTER = (f"SELECT * FROM ({_EXISTING}) e WHERE NOT EXISTS (SELECT 1 FROM ({_INCOMING}) i WHERE i.metric_id = e.metric_id AND i.partition_dt = e.partition_dt) "
@@ -100,4 +100,8 @@ def _(spark, sf):
 @query("up08_empty_input", _EXISTING)
 def _(spark, sf):
     existing, incoming = _tables(spark, sf)
-    return U.overwrite_by_key(existing, incoming.limit(0))
+    path = scratch(spark, "unchanged")
+    U.overwrite_partitions(spark, path, existing)
+    written = U.overwrite_partitions(spark, path, incoming.limit(0))
+    kept = U.read_partitioned(spark, path, "partition_dt", existing)
+    return kept.where(F.lit(written is None))

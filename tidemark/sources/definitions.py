@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,4 +47,6 @@ def read_metric_defs(spark: SparkSession, path: str) -> DataFrame:
         raise SourceError(f"{path!r} is not valid JSON")
     if not seen.known:
         raise SourceError(f"{path!r} holds no definition")
-    return raw.drop(corrupt).withColumn("record_index", F.monotonically_increasing_id())
+    # gapless over all files; definitions are configuration, so one task may number them
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return raw.drop(corrupt).withColumn("record_index", place.cast("bigint") - 1)
