@@ -202,7 +202,7 @@ _FULL_SQL = (
     f"UNION ALL SELECT 'DAY', 'DROP', 'orders', 'completeness', n, (SELECT CASE WHEN b > 0 AND a / b < 0.8 THEN 1 ELSE 0 END FROM (SELECT count(*) FILTER ({_ON('2001-07-01')}) AS a, count(*) FILTER ({_ON('2001-06-24')}) AS b FROM orders WHERE o_orderstatus = 'F')) FROM r "
     "UNION ALL SELECT 'KEY', 'UNIQUE', 'orders', 'uniqueness', n, (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) FROM r "
     "UNION ALL SELECT 'KEY', 'ROWS', 'orders', 'completeness', n, CASE WHEN n < 100 THEN 1 ELSE 0 END FROM r "
-    "UNION ALL SELECT 'OWNER', 'OWNER', 'orders', 'integrity', n, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM c)) FROM r "
+    "UNION ALL SELECT 'OWNER', 'OWNER', 'orders', 'integrity', n, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM c WHERE c_custkey IS NOT NULL)) FROM r "
     "UNION ALL SELECT 'SEGMENT', 'NOT_NULL', 'customer', 'completeness', (SELECT count(*) FROM c), 0 FROM r "
     "UNION ALL SELECT 'NATION', 'UNIQUE', 'customer', 'uniqueness', (SELECT count(*) FROM c), (SELECT count(*) FROM (SELECT c_nationkey FROM c GROUP BY 1 HAVING count(*) > 1)) FROM r), "
     "full_summary AS (SELECT rule_binding_id, rule_id, 'w.retail.' || t AS table_id, dimension, rows_validated, rows_validated - bad AS success_count, CAST(bad AS BIGINT) AS failed_count, "
