@@ -1,6 +1,7 @@
 import random
 import struct
 import zlib
+from functools import cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -11,8 +12,13 @@ from tidemark.llm.queries import QUERIES
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
+@cache
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
 def direct(text):
-    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 2]
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def odd_texts():
@@ -23,7 +29,7 @@ def odd_texts():
 
 
 def test_word_tokens_equal_the_tokenizer():
-    mine, plain = P.WordTokens(PATH), Tokenizer.from_file(PATH)
+    mine, plain = P.WordTokens(PATH), tokenizer()
     for text in odd_texts():
         ids = plain.encode(text, add_special_tokens=False).ids
         assert mine.encode(text.encode()) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
