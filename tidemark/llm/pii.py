@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 CONTEXT_CHARS = 48
 CONTEXT_GAIN = 0.4
 THRESHOLD = 0.5
@@ -134,18 +136,16 @@ def find(docs: DataFrame, text_col: str = "text", kinds: list[Kind] = KINDS, int
     """``docs`` with the spans of each row's text in ``into``: ``start, rank, end, kind, score, text``, sorted.
 
     Spans of different kinds may overlap; of equal kinds they do not, but for secrets under two patterns,
-    of which the one found first stays where both agree. NULL is an empty text. ``into`` must be a new name.
-    Rows are independent: no shuffle.
+    of which the surer one stays where both agree. NULL is an empty text. Where there is a column ``into`` the
+    new one gets underscores before its name. Rows are independent: no shuffle.
     """
-    if into.lower() in (c.lower() for c in docs.columns):
-        raise ValueError(f"there is a column {into!r}")
     names = list(dict.fromkeys(k.name for k in kinds))
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     every = F.array_sort(F.concat(*[_of_kind(text, names.index(k.name), k) for k in kinds]))
     # the same span under two patterns: the higher score stays
     once = let(every, lambda a: F.filter(a, lambda s, i: (i >= F.size(a) - 1) | (F.get(a, i + 1)["start"] != s["start"]) |
                                          (F.get(a, i + 1)["end"] != s["end"]) | (F.get(a, i + 1)["rank"] != s["rank"])))
-    return docs.withColumn(into, once)
+    return docs.withColumn(free_name(docs, into), once)
 
 
 def listed(spans: Column) -> Column:
