@@ -5,17 +5,21 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontaminate as D
 
 
+def runs(words, n):
+    return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
+
+
 def brute(docs, items, threshold=0.8):
-    out = set()
+    out, wanted = set(), []
+    for item, text in items:
+        words = D.words_of((text or "").encode())
+        if words:
+            wanted.append((item, min(5, len(words)), runs(words, min(5, len(words)))))
     for key, text in docs:
         words = D.words_of((text or "").encode())
-        for item, wanted in items:
-            need = D.words_of((wanted or "").encode())
-            if not need:
-                continue
-            n = min(5, len(need))
-            runs = lambda w: {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
-            share = len(runs(need) & runs(words)) / len(runs(need))
+        own = {n: runs(words, n) for n in range(1, 6)}
+        for item, n, need in wanted:
+            share = len(need & own[n]) / len(need)
             if share >= threshold:
                 out.add((key, item, share))
     return out

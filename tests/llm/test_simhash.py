@@ -22,14 +22,11 @@ def brute(rows):
     group = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            if bin(fps[i] ^ fps[j]).count("1") <= 3:
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
                 old, new = group[i], group[j]
-                group = [new if g == old else g for g in group]
-    out = set()
-    for i, (key, _) in enumerate(rows):
-        ids = [rows[j][0] for j in range(len(rows)) if group[j] == group[i] and rows[j][0] is not None]
-        out.add((key, fps[i], min(ids, default=None)))
-    return out
+                group = [new if g == old else g for g in group] if old != new else group
+    ids = {g: min((rows[j][0] for j in range(len(rows)) if group[j] == g and rows[j][0] is not None), default=None) for g in set(group)}
+    return {(key, fps[i], ids[group[i]]) for i, (key, _) in enumerate(rows)}
 
 
 def result(df):
