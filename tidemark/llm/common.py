@@ -67,6 +67,20 @@ def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     return F.xxhash64(df[id_col].isNull(), df[id_col], df[text_col].isNull(), df[text_col])
 
 
+def first_rows(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` with one row per group of ``found(id, key, root)``, that of the smallest (id, key).
+
+    ``key`` is the row's ``row_key``. NULL ids come last; of rows that repeat id and text one stays.
+    """
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
+    losers = found.join(best, "root").where(~stays).select(F.col("id").alias("__loser"), F.col("key").alias("__key")).distinct()
+    kept = docs.join(losers, docs[id_col].eqNullSafe(losers["__loser"]) & (row_key(docs, id_col, text_col) == losers["__key"]), "left_anti")
+    if found.groupBy("id", "key").count().where("count > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates([id_col, text_col])
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it while a column of ``df`` is called that."""
     taken = {c.lower() for c in df.columns}
