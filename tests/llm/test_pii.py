@@ -64,6 +64,12 @@ def test_checksums_and_context(spark):
     assert [k for k, _ in found[6]] == ["secret"] and [k for k, _ in found[7]] == ["secret"] and found[8] == [] and found[9] == []
 
 
+def test_a_key_with_hyphens_only(spark):
+    key = "3f2b9c1e-7d44-4a51-9c0e-5a7712ab90ef"
+    found = P.find(spark.createDataFrame([(f"api_key: {key}",)], "text string")).first().pii
+    assert [(s.kind, s.text) for s in found] == [("secret", key)]
+
+
 def test_names_and_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id int, text string")
     assert P.find(docs).count() == 0

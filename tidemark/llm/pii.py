@@ -86,7 +86,7 @@ KINDS = [
          lambda s: let(F.replace(s, F.lit(" "), F.lit("")), lambda c: F.length(c).between(15, 34) & mod97(c)), 0.9, "iban|account|bank|konto|compte|cuenta"),
     Kind("national_id", "[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", lambda s: F.lit(True), 0.3,
          "ssn|social security|tax|national id|passport"),
-    Kind("secret", "[A-Za-z0-9+/_]{16}", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?![A-Za-z0-9+/_-])",
+    Kind("secret", "[A-Za-z0-9+/_-]{16}", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?![A-Za-z0-9+/_-])",
          lambda s: s.rlike("[0-9]") & s.rlike("[A-Za-z]"), 0.2, "password|passwd|token|secret|api[_ -]?key|access[_ -]?key"),
     Kind("secret", "AKIA[0-9A-Z]{16}", r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])", lambda s: F.lit(True), 0.9, "key"),
 ]
