@@ -7,6 +7,7 @@ import test_pipeline
 
 import corpus_pipeline as P
 from tidemark.llm import near_copies as N
+from tidemark.llm import simhash
 
 
 def shingles(text):
@@ -87,3 +88,11 @@ def test_pipeline_with_the_groups_of_the_stage(spark, monkeypatch):
 def test_lower_similarity_is_refused(spark):
     with pytest.raises(ValueError):
         N.groups(spark.createDataFrame([], "doc_id int, text string"), similarity=0.7)
+
+
+@pytest.mark.parametrize("keep_one", [N.keep_one, simhash.keep_one])
+def test_ids_that_repeat_with_unlike_texts(spark, keep_one):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (3, b), (8, a), (9, a), (6, c), (6, a + " " + c), (6, c)]
+    kept = sorted((r.doc_id, r.text) for r in keep_one(spark.createDataFrame(rows, "doc_id int, text string")).collect())
+    assert kept == sorted([(5, a), (3, b), (6, c), (6, a + " " + c)])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import materialise, shingle_hashes, small_batches, texts
+from .common import first_rows, materialise, row_key, shingle_hashes, small_batches, texts
 from .components import components
 
 SEED = 42
@@ -107,6 +107,14 @@ def links(fps: DataFrame) -> DataFrame:
     return probe.alias("p").join(index.alias("i"), (F.col("p.key") == F.col("i.key")) & F.expr(linked)).select("u", "v")
 
 
+def _owners(rows: DataFrame) -> DataFrame:
+    """``fp, id, root`` per distinct fingerprint of ``rows(id, fp)``: its smallest id and the name of its component."""
+    # partial minima before the shuffle: a group of copies travels as one row per task
+    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
+    roots = components(links(nodes))
+    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words_per_shingle: int = 3) -> DataFrame:
     """``id, fp, component`` per row: ``component`` is the smallest id reachable over links.
@@ -115,10 +123,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a NULL id take part; a component of such rows only has component NULL. An empty table gives no rows.
     """
     rows = materialise(fingerprints(docs, id_col, text_col, words_per_shingle), "fingerprints")
-    # partial minima before the shuffle: a group of copies travels as one row per task
-    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
-    roots = components(links(nodes))
-    owner = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+    owner = _owners(rows)
     best = owner.groupBy("root").agg(F.min("id").alias("component"))
     named = owner.join(best, "root").select(F.col("fp").alias("node"), "component")
     return rows.join(named, rows.fp == named.node, "left").select("id", "fp", "component")
@@ -128,11 +133,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """The rows of ``docs`` with one row per component: that of the smallest id.
 
     Rows with a NULL id go when their component has an id; of a component without ids one row stays.
-    Of rows that repeat the staying id one stays. Columns are unchanged.
+    Rows that repeat an id with another text are rows of their own; of rows that repeat id and text one stays.
+    Columns are unchanged.
     """
-    found = materialise(near_duplicates(docs, id_col, text_col, words_per_shingle), "components")
-    losers = found.where(~F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__loser")).distinct()
-    kept = docs.join(losers, docs[id_col].eqNullSafe(losers["__loser"]), "left_anti")
-    if found.groupBy("id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates([id_col])
+    keyed = docs.select(F.struct(docs[id_col].alias("id"), row_key(docs, id_col, text_col).alias("key")).alias("row"), docs[text_col].alias("text"))
+    rows = materialise(fingerprints(keyed, "row", "text", words_per_shingle), "fingerprints")
+    named = _owners(rows).select(F.col("fp").alias("node"), "root")
+    found = rows.join(named, rows.fp == named.node).select("id.id", "id.key", "root")
+    return first_rows(docs, materialise(found, "components"), id_col, text_col)
