@@ -70,6 +70,12 @@ def test_a_key_with_hyphens_only(spark):
     assert [(s.kind, s.text) for s in found] == [("secret", key)]
 
 
+def test_context_after_a_span(spark):
+    rows = [(1, "123-45-6789 is my social security number"), (2, "c1f6c02f845bf3028d is the password"), (3, "123-45-6789" + " " * 48 + "ssn"), (4, "my s123-45-6789sn")]
+    found = {r.doc_id: [(s.kind, s.score) for s in r.pii] for r in P.find(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found == {1: [("national_id", 0.7)], 2: [("secret", 0.6)], 3: [], 4: []}
+
+
 def test_names_and_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id int, text string")
     assert P.find(docs).count() == 0

@@ -121,7 +121,8 @@ def _of_kind(text: Column, rank: int, kind: Kind) -> Column:
     confirmed = F.filter(matches(text, kind.pattern), lambda s: kind.check(s["text"]))
 
     def scored(s: Column) -> Column:
-        near = F.lower(F.substring(text, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT_CHARS))))
+        before = F.substring(text, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT_CHARS)))
+        near = F.lower(F.concat(before, F.lit("\n"), F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS))))
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near.rlike(kind.context), F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0)))
         return F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind.name).alias("kind"),
                         F.round(score, 2).alias("score"), s["text"].alias("text"))
