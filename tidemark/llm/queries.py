@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, chat, classifier, decontaminate, licenses, line_spread, packing, pii, quality_rules, simhash
+from . import archives, chat, classifier, decontaminate, licenses, line_spread, packing, pii, quality_rules, queries_manifest, simhash
 from .common import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     archives.write_pages(table(spark, sf_dir, "pages"), path)
     return archives.read_pages(spark, path)
+
+
+query("op11_merkle_manifest", queries_manifest.MANIFEST_SQL)(queries_manifest.op11)
+query("op12_importance_resampling", queries_manifest.RESAMPLE_SQL)(queries_manifest.op12)
+query("op13_exact_duplicates", queries_manifest.EXACT_SQL)(queries_manifest.op13)
