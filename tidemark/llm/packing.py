@@ -13,22 +13,34 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts
+from .common import small_batches
 
 END_ID = 2
 MAX_LENGTH = 4096
 #: Words a worker remembers; beyond it starts anew, which costs time only.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
-_TAIL = b".,;:!?*#%&$|"
+#: Punctuation that may close a word.
+_TAIL = ".,;:!?*#%&$|"
+
+
+def _listed(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _coded(column: pa.Array) -> tuple[list[int], list[str]]:
+    """Number of each value among the distinct ones, and these."""
+    coded = column.dictionary_encode()
+    return _listed(coded.indices), _listed(coded.dictionary)
 
 
 class WordTokens:
-    """Token ids of a text as little-endian unsigned 32-bit numbers, by way of its distinct words.
+    """Token ids of texts, by way of the distinct words of many texts at a time.
 
     For a tokenizer that drops white space and never merges across it, the ids of a text are those of
     its words in order. Words of letters, without a tail of punctuation (a token run of its own), are
@@ -43,19 +55,20 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
+        #: Ids of stems (None where a word must be encoded as it is), and of whole words and tails.
+        self.stems: dict[str, bytes | None] = {}
+        self.whole: dict[str, bytes] = {}
 
-    def _each(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _each(self, words: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _letters(self, words: list[bytes]) -> list[bytes]:
+    def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters."""
         out: list[bytes] = []
         for at in range(0, len(words), 500):
             part = words[at:at + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.closing[ids]) + 1
             if len(ends) != len(part):
                 out += self._each(part)
@@ -64,33 +77,56 @@ class WordTokens:
             out += [raw[4 * s:4 * e] for s, e in zip(starts, ends.tolist())]
         return out
 
-    def _learn(self, words: set[bytes]) -> None:
-        whole, split = [], []
-        for word in words:
-            # lower-casing first is safe for ASCII only; other letters may compose before it
-            stem = (word.lower() if word.isascii() else word).rstrip(_TAIL)
-            # a letter may turn into a letter and a mark, which would join the tail
-            if stem.isalpha() or stem and unicodedata.normalize("NFC", stem.decode()).lower().isalpha() and stem.decode().isalpha():
-                split.append((word, stem, word[len(stem):]))
-            else:
-                whole.append(word)
-        self.known.update(zip(whole, self._each(whole)))
-        stems = sorted({s for _, s, _ in split if s not in self.stems})
-        self.stems.update(zip(stems, self._letters(stems)))
-        tails = sorted({t for _, _, t in split if t not in self.stems})
-        self.stems.update(zip(tails, self._each(tails)))
-        self.known.update((word, self.stems[stem] + self.stems[tail]) for word, stem, tail in split)
+    def _stems(self, stems: list[str]) -> list[bytes | None]:
+        new = [s for s in stems if s not in self.stems]
+        # a letter may turn into a letter and a mark, which would join the tail
+        letters = [s for s in new if s.isalpha() and (s.isascii() or unicodedata.normalize("NFC", s).lower().isalpha())]
+        self.stems.update(dict.fromkeys(new))
+        self.stems.update(zip(letters, self._letters(letters)))
+        return [self.stems[s] for s in stems]
+
+    def _wholes(self, words: list[str]) -> list[bytes]:
+        new = [w for w in dict.fromkeys(words) if w not in self.whole]
+        self.whole.update(zip(new, self._each(new)))
+        return [self.whole[w] for w in words]
+
+    def _words(self, words: pa.Array) -> list[bytes]:
+        """Ids of each of some distinct words."""
+        if len(self.stems) + len(self.whole) > REMEMBERED:
+            self.stems.clear()
+            self.whole.clear()
+        # lower-casing first is safe for ASCII only; other letters may compose before it
+        lowered = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        stem = pc.ascii_rtrim(lowered, _TAIL)
+        stem_of, stems = _coded(stem)
+        known = self._stems(stems)
+        out = [known[i] for i in stem_of]
+        # few words have a tail: what the stem lacks
+        cut = np.flatnonzero(pc.not_equal(pc.binary_length(stem), pc.binary_length(lowered)).to_numpy(zero_copy_only=False))
+        tail_of, tails = _coded(pc.extract_regex(lowered.take(pa.array(cut)), f"(?s)(?P<tail>[{_TAIL}]+)$").field("tail"))
+        ends = self._wholes(tails)
+        for i, end in zip(cut.tolist(), tail_of):
+            if out[i] is not None:
+                out[i] += ends[end]
+        odd = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(odd, self._wholes(_listed(words.take(pa.array(odd, pa.int64()))))):
+            out[i] = ids
+        return out
+
+    def encode_all(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column in a row, and where those of each text end; NULL is the empty text."""
+        split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        coded = split.flatten().dictionary_encode()
+        known = self._words(coded.dictionary)
+        flat, sizes = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts, word = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        own = sizes[word]
+        ends = np.cumsum(own)
+        ids = flat[np.repeat(starts[word] - (ends - own), own) + np.arange(own.sum())]
+        return ids, np.append(0, ends)[np.cumsum(pc.list_value_length(split).to_numpy())]
 
     def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        new = {w for w in words if w not in self.known}
-        if new:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-                self.stems.clear()
-                new = set(words)
-            self._learn(new)
-        return b"".join(map(self.known.__getitem__, words))
+        return self.encode_all(pa.array([text.decode()]))[0].tobytes()
 
 
 @cache
@@ -120,11 +156,12 @@ def decompose(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, next_id = _word_tokens(tokenizer_path), TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u4").tobytes()
-        for batch in small_batches(batches, 128):
-            owners, rows = [], []
-            for row, text in enumerate(texts(batch.column(1))):
-                ids, start = tokens.encode(text) + end, 0
-                total = len(ids) // 4
+        for batch in small_batches(batches):
+            owners, rows, upto = [], [], 0
+            all_ids, ends = tokens.encode_all(batch.column(1))
+            for row, stop in enumerate(ends.tolist()):
+                ids, start = all_ids[upto:stop].tobytes() + end, 0
+                upto, total = stop, len(ids) // 4
                 for length in cuts(total, max_length):
                     owners.append(row)
                     rows.append((start, length, ids[4 * start:4 * (start + length)], total, length.bit_length() - 1, next_id))
