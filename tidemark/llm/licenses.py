@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 # Known licence texts and notices (fixed values; their wording is that of the licences).
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -73,10 +75,10 @@ def canonical(text: F.Column) -> F.Column:
 
 
 def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] = LICENSES) -> DataFrame:
-    """``license, digest, chars`` of known texts; as large as the list."""
+    """``license, digest, octets`` of known texts; as large as the list."""
     rows = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(n).alias("license"), F.lit(t).alias("known")) for n, t in licenses])))
     form = F.regexp_replace(canonical(F.col("known")), "\n+", " ")
-    return rows.select("license", F.sha2(form, 256).alias("digest")).distinct()
+    return rows.select("license", F.sha2(form, 256).alias("digest"), F.octet_length(form).alias("octets")).distinct()
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: list[tuple[str, str]] = LICENSES) -> DataFrame:
@@ -85,17 +87,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licens
     NULL and empty texts hold none. Rows that repeat an id are taken together; ids may be NULL. The
     registry is a list in the program, so its broadcast is of fixed size.
     """
-    flat = lambda x: F.regexp_replace(x, "\n+", " ")
-    unit = lambda rank, x: F.struct(F.lit(rank).alias("rank"), flat(x).alias("form"))
+    known = materialise(known_digests(docs.sparkSession, licenses), "licenses")
+    # equal digests have equal lengths: only units as long as a known text are hashed
+    lengths = [r.octets for r in known.select("octets").distinct().collect()]
+    fits = lambda x: F.octet_length(x).isin(lengths)
+
+    def ranked(rank: int, parts: F.Column) -> F.Column:
+        return F.transform(F.filter(parts, fits), lambda x: F.struct(F.lit(rank).alias("rank"), x.alias("form")))
 
     def units(form: F.Column) -> F.Column:
-        return F.concat(F.array(unit(0, form)), F.transform(F.split(form, "\n\n+"), lambda x: unit(1, x)),
-                        F.transform(F.split(form, "\n+"), lambda x: unit(2, x)))
+        return F.concat(ranked(0, F.array(F.regexp_replace(form, "\n+", " "))), ranked(1, F.split(form, "\n\n+")), ranked(2, F.split(form, "\n+")))
 
     # the canonical form is bound once per row and not worked out for each use
     every = F.flatten(F.transform(F.array(canonical(docs[text_col].cast("string"))), units))
-    each = docs.select(docs[id_col].alias("id"), F.inline(every)).where("form <> ''").select("id", "rank", F.sha2("form", 256).alias("digest"))
-    found = each.join(F.broadcast(known_digests(docs.sparkSession, licenses)), "digest")
+    each = docs.select(docs[id_col].alias("id"), F.inline(every)).select("id", "rank", F.sha2(F.regexp_replace("form", "\n", " "), 256).alias("digest"))
+    found = each.join(F.broadcast(known.drop("octets")), "digest")
     widest = found.groupBy("id", "license").agg(F.min("rank").alias("rank"))
     return widest.select("id", "license", F.element_at(F.array(*map(F.lit, UNITS)), F.col("rank") + 1).alias("unit"))
 
