@@ -263,3 +263,25 @@ def test_failed_run_leaves_failure_rows(spark, tmp_path, monkeypatch):
     rows = spark.read.parquet(str(tmp_path / "recon")).collect()
     assert {r.source_system_id for r in rows} == {"A", "B", "C", "E"} and {r.rcncln_exact_pass_in for r in rows} == {"Failed"}
     assert rows[0].excldd_reason_tx.endswith("[PIPELINE_EXECUTION_ERROR] Pipeline failed: cluster lost")
+
+
+def _four(spark, slow=()):
+    burn = "SELECT count(*) AS metric_output, '2024-01-10' AS business_data_date FROM range(5000000000000) WHERE id % 7 = {}"
+    quick = "SELECT {} AS metric_output, '2024-01-10' AS business_data_date"
+    rows = [(f"m{i}", (burn if i in slow else quick).format(i), "w.m.t") for i in range(4)]
+    return spark.createDataFrame(rows, "metric_id string, sql string, target_table string")
+
+
+def test_a_plan_has_the_time_of_all_its_queries_and_each_runs_twice_at_most(spark, monkeypatch):
+    calls, limits = [], []
+    plain_evaluate, plain_limit = M.evaluate, M.time_limit
+    monkeypatch.setattr(M, "evaluate", lambda spark, raws: (calls.append(list(raws)), plain_evaluate(spark, raws))[1])
+    monkeypatch.setattr(M, "time_limit", lambda spark, seconds: (limits.append(seconds), plain_limit(spark, seconds))[1])
+    none = spark.createDataFrame([], "project_dataset string, table_name string, partition_dt date")
+    good, failed = M.run_metrics(spark, _four(spark), dt.date(2024, 1, 11), none, timeout=30)
+    assert good.count() == 4 and failed.count() == 0 and limits == [120] and calls == [["m0", "m1", "m2", "m3"]]
+
+    calls.clear(), limits.clear()
+    good, failed = M.run_metrics(spark, _four(spark, slow={2}), dt.date(2024, 1, 11), none, timeout=2)
+    assert [r.metric_id for r in failed.collect()] == ["m2"] and good.count() == 3
+    assert limits == [8, 2, 2, 2, 2] and calls == [["m0", "m1", "m2", "m3"], ["m0"], ["m1"], ["m2"], ["m3"]]

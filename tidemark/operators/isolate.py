@@ -7,11 +7,17 @@ from pyspark.sql import DataFrame
 from ..errors import JOB_ERRORS, first_line
 
 
-def run_apart(keys: Sequence, run: Callable[[Sequence], DataFrame], fail: Callable[[object, str], None]) -> list[DataFrame]:
+def halves(keys: Sequence) -> list[Sequence]:
+    return [keys[:len(keys) // 2], keys[len(keys) // 2:]]
+
+
+def run_apart(keys: Sequence, run: Callable[[Sequence], DataFrame], fail: Callable[[object, str], None],
+              split: Callable[[Sequence], list[Sequence]] = halves) -> list[DataFrame]:
     """Materialised results of ``run`` over all ``keys``.
 
-    ``run`` must execute (a checkpoint, say). When it fails its keys are halved, so that only the
-    culprits, reported to ``fail`` with the reason, are run again and again: about log2(n) times each.
+    ``run`` must execute (a checkpoint, say). When it fails its keys are split, into halves unless ``split`` says
+    otherwise, so that only the culprits, reported to ``fail`` with the reason, are run again and again: about
+    log2(n) times each.
     """
     if not keys:
         return []
@@ -21,5 +27,4 @@ def run_apart(keys: Sequence, run: Callable[[Sequence], DataFrame], fail: Callab
         if len(keys) == 1:
             fail(keys[0], first_line(error))
             return []
-    half = len(keys) // 2
-    return run_apart(keys[:half], run, fail) + run_apart(keys[half:], run, fail)
+    return [found for part in split(keys) for found in run_apart(part, run, fail, split)]

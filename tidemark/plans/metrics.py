@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..errors import JOB_ERRORS, DefinitionError, MetricError, first_line
 from ..functions.dates import strict_date
 from ..functions.numbers import denominator_status, numeric_warning, to_metric_decimal
-from ..operators.isolate import run_apart
+from ..operators.isolate import halves, run_apart
 from ..operators.partitions import bind_dates, bind_positional
 from ..schemas import DEFINITION_SCHEMA, NUMERIC_RESULTS, RESULT_SCHEMA, TEXT_RESULTS
 from ..session import checkpoint
@@ -172,14 +172,20 @@ def evaluate(spark: SparkSession, raws: Mapping[str, DataFrame]) -> DataFrame:
 
 @contextmanager
 def time_limit(spark: SparkSession, seconds: float | None):
-    """Cancel the jobs started inside the block after ``seconds``; the caller sees them fail."""
+    """Cancel the jobs started inside the block after ``seconds``; the caller sees them fail.
+
+    Gives an event that is set once the time is over.
+    """
+    over = threading.Event()
     if not seconds:
-        yield
+        yield over
         return
     context, tag, done = spark.sparkContext, f"tidemark-{uuid.uuid4().hex}", threading.Event()
 
     def watch() -> None:
         late = not done.wait(seconds)
+        if late:
+            over.set()
         while late:  # again and again: a job may start after the limit
             context.cancelJobsWithTag(tag)
             late = not done.wait(0.5)
@@ -188,7 +194,7 @@ def time_limit(spark: SparkSession, seconds: float | None):
     watcher = threading.Thread(target=watch, daemon=True)
     watcher.start()
     try:
-        yield
+        yield over
     finally:
         done.set()
         watcher.join()
@@ -222,9 +228,10 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
     A failure has ``metric_id``, ``error_message`` and ``stage``: bind (a placeholder has no date), run
     (the SQL failed) or check (a value failed).
 
-    A definition that does not bind or analyse fails alone. The others run as one plan within ``timeout``
-    seconds; if it fails or takes longer it is halved, down to the culprit, so no query has more time than
-    that. Values are checkpointed, so nothing is computed twice downstream. ``strict`` fails a metric whose
+    A definition that does not bind or analyse fails alone. The others run as one plan, which has ``timeout``
+    seconds for each of them. If that time is over every query runs once more by itself with its own ``timeout``, so
+    a slow one fails alone, none is computed more than twice and finished ones are kept. A plan that
+    fails is halved, down to the culprit. Values are checkpointed, so nothing is computed twice downstream. ``strict`` fails a metric whose
     number has no decimal form. ``fail_fast`` raises on the first failure. A repeated ``metric_id`` is an error.
     """
     columns = columns or ColumnMap()
@@ -269,11 +276,18 @@ def run_metrics(spark: SparkSession, defs: DataFrame, run_date: dt.date, latest:
             else:
                 queries[record["metric_id"]] = built
 
+    limits: list[threading.Event] = []
+
     def values_of(keys: Sequence[str]) -> DataFrame:
-        with time_limit(spark, timeout):
+        # a plan that does the work of several queries may take as long as all of them
+        with time_limit(spark, timeout and timeout * len(keys)) as over:
+            limits.append(over)
             return checkpoint(evaluate(spark, {key: queries[key] for key in keys}))
 
-    parts = run_apart(list(queries), values_of, fail)
+    def split(keys: Sequence[str]) -> list[Sequence[str]]:
+        return [[key] for key in keys] if limits[-1].is_set() else halves(keys)
+
+    parts = run_apart(list(queries), values_of, fail, split)
     values = reduce(DataFrame.unionByName, parts) if parts else None
     good = failed = None
     if values is not None:
