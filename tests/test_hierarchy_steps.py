@@ -69,3 +69,13 @@ def test_bad_step_chains():
     for steps, text in (([step("a", "x")], "unknown"), ([step("a", "b"), step("b", "a")], "cycle"), ([step("a", ""), step("a", "")], "repeat")):
         with pytest.raises(DefinitionError, match=text):
             ordered(steps)
+
+
+def test_paths_stop_at_the_target_the_bound_and_in_cycles(spark):
+    edges = spark.createDataFrame([(i, i - 1 if i else None) for i in range(12)] + [(20, 21), (21, 20), (30, 30)], "worker_id long, manager_id long")
+    goals = spark.createDataFrame([(0,), (7,)], "target_id long")
+    found = {r.worker_id: r.path for r in H.resolve_ancestor(edges, goals, max_depth=5, with_path=True).collect()}
+    for i in range(1, 12):
+        end = 7 if i > 7 else 0
+        assert found[i] == (list(range(i, end - 1, -1)) if i - end <= 5 else None)
+    assert found[0] is found[20] is found[21] is found[30] is None

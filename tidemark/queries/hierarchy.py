@@ -45,19 +45,49 @@ def _(spark, sf):
     return H.level_counts(H.resolve_ancestor(*_tree(spark, sf), max_depth=3))
 
 
+def _paths(depth: int, edges: str) -> str:
+    """The ids from every worker up to its first target."""
+    climb = _sql(depth, edges).replace("1 AS depth FROM edges", "1 AS depth, [w, m] AS path FROM edges").replace(
+        "c.depth + 1 FROM climb", "c.depth + 1, list_append(c.path, e.m) FROM climb").replace("node AS target_id, depth FROM", "node AS target_id, depth, path FROM")
+    return climb + ("SELECT e.w AS worker_id, CAST(target_id AS BIGINT) AS target_id, CAST(depth AS INTEGER) AS depth, array_to_string(path, '>') AS path "
+                    "FROM edges e LEFT JOIN hits h ON h.w = e.w")
+
+
+def _with_path(edges, goals, depth: int):
+    found = H.resolve_ancestor(edges, goals, max_depth=depth, with_path=True)
+    return found.select("worker_id", F.col("target_id").cast("bigint").alias("target_id"), "depth", F.array_join("path", ">").alias("path"))
+
+
+@query("hr3_paths", _paths(5, _TREE))
+def _(spark, sf):
+    return _with_path(*_tree(spark, sf), 5)
+
+
 # customers: a third report to one manager, rows repeat with different managers, and some form a cycle
 _CROWD = ("raw AS (SELECT c_custkey AS w, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 5 WHEN c_mktsegment = 'HOUSEHOLD' THEN c_custkey ^ 1 ELSE c_custkey // 2 END AS m FROM customer "
           "UNION ALL SELECT c_custkey, c_custkey // 4 FROM customer WHERE c_acctbal > 5000), "
           "edges AS (SELECT w, min(m) AS m FROM raw GROUP BY w), goals AS (SELECT n_nationkey AS g FROM nation WHERE n_regionkey = 1)")
 
 
-@query("hr4_cycles_and_repeats", _sql(6, _CROWD.replace("c_custkey ^ 1", "xor(c_custkey, 1)")) +
+_CROWD = _CROWD.replace("c_custkey ^ 1", "xor(c_custkey, 1)")
+
+
+@query("hr4_cycles_and_repeats", _sql(6, _CROWD) +
        "SELECT e.w AS worker_id, CAST(e.m AS BIGINT) AS manager_id, CAST(target_id AS BIGINT) AS target_id, CAST(depth AS INTEGER) AS depth FROM edges e LEFT JOIN hits h ON h.w = e.w")
 def _(spark, sf):
+    return H.resolve_ancestor(*_crowd(spark, sf))
+
+
+@query("hr3_paths_with_cycles", _paths(6, _CROWD))
+def _(spark, sf):
+    return _with_path(*_crowd(spark, sf), 6)
+
+
+def _crowd(spark, sf):
     customers, key = table(spark, sf, "customer"), F.col("c_custkey")
     manager = (F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit(5).cast("bigint"))
                .when(F.col("c_mktsegment") == "HOUSEHOLD", key.bitwiseXOR(F.lit(1).cast("bigint"))).otherwise(F.floor(key / 2)))
     edges = customers.select(key.alias("worker_id"), manager.alias("manager_id")).unionByName(
         customers.where("c_acctbal > 5000").select(key.alias("worker_id"), F.floor(key / 4).alias("manager_id")))
     goals = table(spark, sf, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").cast("bigint").alias("target_id"))
-    return H.resolve_ancestor(edges, goals)
+    return edges, goals
