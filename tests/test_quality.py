@@ -174,3 +174,14 @@ def test_specification_file(spark, tmp_path):
     json_path = tmp_path / "rules.json"
     json_path.write_text('{"rules": {}, "rule_bindings": {}}')
     assert Q.read_spec(spark, str(json_path)) == {"rules": {}, "rule_bindings": {}}
+
+
+def test_key_sets_share_one_shuffle_and_tell_nulls_from_absent_columns(spark):
+    rows = [(1, None, "a"), (1, None, "a"), (2, "x", None), (2, "y", None), (None, "x", "b"), (None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b string, c string")
+    sets = {"ab": ["a", "b"], "ba": ["b", "a"], "a": ["a"], "c": ["c"], "abc": ["a", "b", "c"]}
+    out = R.dup_key_sets(df, sets)
+    assert {r.key_set: r.n for r in out.collect()} == {name: R.dup_keys(df, keys).first().n for name, keys in sets.items()}
+    assert {r.key_set: r.n for r in R.dup_key_sets(df.limit(0), sets).collect()} == dict.fromkeys(sets, 0)
+    plan = R.dup_key_sets(df, sets)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("hashpartitioning(a") == 1

@@ -1,7 +1,7 @@
 """Data-quality rules as columns and aggregates."""
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,24 @@ def dup_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return keyed_count(df, keys).where("n > 1").agg(F.count(F.lit(1)).alias("n"))
 
 
+def dup_key_sets(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``key_set`` and ``n``, the number of keys that occur more than once, for each named set of key columns.
+
+    All sets share one scan and one shuffle: rows are counted by grouping sets, and the grouping number tells
+    a NULL key from a column outside a set. NULLs are keys like any other.
+    """
+    columns = list(dict.fromkeys(c for keys in key_sets.values() for c in keys))
+    sets = {frozenset(keys): list(keys) for keys in key_sets.values()}
+    number = {own: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in own) for own in sets}
+    if len(columns) > 63:
+        raise ValueError("at most 63 key columns")
+    rows = df.select(*columns)
+    counted = rows.groupingSets(list(sets.values()), *columns).agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+    found = counted.groupBy("__set").agg(F.count_if(F.col("__n") > 1).alias("n"))
+    names = df.sparkSession.createDataFrame([(name, number[frozenset(keys)]) for name, keys in key_sets.items()], "key_set string, __set bigint")
+    return names.join(found, "__set", "left").select("key_set", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
 def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str],
             parent_keys: Sequence[str] | None = None) -> DataFrame:
     """Number of child rows without a parent (``n``); a NULL key has none.

@@ -110,6 +110,16 @@ def _(spark, sf):
     return R.dup_keys(table(spark, sf, "orders"), ["o_custkey"])
 
 
+_KEY_SETS = {"line": ["l_orderkey", "l_linenumber"], "order": ["l_orderkey"], "supply": ["l_partkey", "l_suppkey"], "shipped": ["l_shipdate", "l_partkey", "l_suppkey"],
+             "again": ["l_linenumber", "l_orderkey"]}
+
+
+@query("dq08_many_key_sets", " UNION ALL ".join(
+    f"SELECT '{name}' AS key_set, count(*) AS n FROM (SELECT {', '.join(keys)} FROM lineitem GROUP BY ALL HAVING count(*) > 1)" for name, keys in _KEY_SETS.items()))
+def _(spark, sf):
+    return R.dup_key_sets(table(spark, sf, "lineitem"), _KEY_SETS)
+
+
 @query("dq08_unique_composite", "SELECT count(*) AS n FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)")
 def _(spark, sf):
     return R.dup_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
