@@ -3,7 +3,6 @@
 import random
 
 import pytest
-import test_pipeline
 
 import corpus_pipeline as P
 from tidemark.llm import near_copies as N
@@ -80,9 +79,35 @@ def test_whole_table(spark):
     assert {r.doc_id for r in stage(spark, rows).collect()} == brute(rows)
 
 
-def test_pipeline_with_the_groups_of_the_stage(spark, monkeypatch):
-    monkeypatch.setattr(test_pipeline, "near_groups", groups)
-    test_pipeline.test_pipeline_equals_brute_force(spark)
+def unlike_hubs(n):
+    """Copies of one text with four edits each, without the text itself: most pairs of copies are below 0.8."""
+    rng = random.Random(4)
+    base = ["w%d" % i for i in range(300)]
+    rows = []
+    for _ in range(n):
+        copy = list(base)
+        for at in rng.sample(range(300), 4):
+            copy[at] = "x%d" % rng.randrange(10 ** 9)
+        rows.append(" ".join(copy))
+    return list(enumerate(rows))
+
+
+def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    compared = []
+    plain = N._distances
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(N, "_distances", counted)
+    totals = []
+    for n in (200, 400):
+        compared.clear()
+        rows = unlike_hubs(n)
+        assert {r.doc_id for r in stage(spark, rows).collect()} == brute(rows)
+        totals.append(sum(compared))
+    assert totals[1] <= 2.4 * totals[0] and totals[1] < 400 * 399 / 2 / 3, totals
 
 
 def test_lower_similarity_is_refused(spark):

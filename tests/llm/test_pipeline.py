@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from test_decontaminate import brute as held_items
 from test_line_spread import brute as cut_lines
+from test_near_copies import groups as near_groups
 from test_packing import direct
-from test_simhash import brute as near_groups
 
 import corpus_pipeline as P
 from tidemark.llm import classifier, line_spread

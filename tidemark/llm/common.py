@@ -72,13 +72,17 @@ def first_rows(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) ->
 
     ``key`` is the row's ``row_key``. NULL ids come last; of rows that repeat id and text one stays.
     """
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
+    best = materialise(found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best")), "best")
     stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("key") == F.col("best.key"))
     losers = found.join(best, "root").where(~stays).select(F.col("id").alias("__loser"), F.col("key").alias("__key")).distinct()
-    kept = docs.join(losers, docs[id_col].eqNullSafe(losers["__loser"]) & (row_key(docs, id_col, text_col) == losers["__key"]), "left_anti")
-    if found.groupBy("id", "key").count().where("count > 1").isEmpty():
+    match = docs[id_col].eqNullSafe(F.col("__loser")) & (row_key(docs, id_col, text_col) == F.col("__key"))
+    kept = docs.join(losers, match, "left_anti")
+    again = materialise(found.groupBy(F.col("id").alias("__loser"), F.col("key").alias("__key")).count().where("count > 1").drop("count"), "repeated")
+    if again.isEmpty():
         return kept
-    return kept.dropDuplicates([id_col, text_col])
+    # only rows that repeat are dealt out by their texts
+    once = kept.join(again, match, "left_anti")
+    return once.unionByName(kept.join(again, match, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def free_name(df: DataFrame, name: str) -> str:
