@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -60,6 +61,51 @@ def test_cutoffs_catch_bad_rows_and_keep_the_risk(spark):
     assert not rest[900].kept and rest[900].n_words == 0 and rest[902].base_failed and rest[None].base_failed
 
 
+def plain_judge(rows, good, risk, level):
+    """Kept ids by going up the ladder stratum by stratum; ``rows`` are judged rows, ``good`` ids of (laying, testing) rows."""
+    values = {r.id: [int(x) for x in (1000 * r.n_symbols // max(1, r.word_chars), 1000 * r.n_repeat_words // max(1, r.n_words), 1000 * r.n_dup_lines // max(1, r.n_lines),
+                                      1000 * r.n_capitals // max(1, r.word_chars), 10 * r.word_chars // max(1, r.n_words), -(10 * r.word_chars // max(1, r.n_words)))] for r in rows}
+    strata, kept, rungs = {r.stratum for r in rows}, set(), {}
+    for stratum in strata:
+        own = [r for r in rows if r.stratum == stratum and not r.base_failed]
+        lay, test = ([values[r.id] for r in own if r.id in part] for part in good)
+        best = None
+        if lay and test:
+            def cut(k, column):
+                column = sorted(column)
+                share = lambda v: sum(x > v for x in column) / len(column)
+                middle = next(v for v in column if share(v) <= 0.5)
+                if k < len(Q.MARGINS):
+                    return column[-1] + math.ceil(Q.MARGINS[k] * (column[-1] - middle))
+                return next(v for v in column if share(v) <= Q.QUANTILES[k - len(Q.MARGINS)])
+            for k in range(Q.RUNGS):
+                cuts = [cut(k, c) for c in zip(*lay)]
+                if sum(any(x > c for x, c in zip(v, cuts)) for v in test) > Q.allowed_failures(len(test), risk, level / len(strata)):
+                    break
+                best, rungs[stratum] = cuts, k
+        kept |= {r.id for r in own if best is None or not any(x > c for x, c in zip(values[r.id], best))}
+    return kept, rungs
+
+
+def test_verdicts_of_a_whole_table_equal_the_plain_ladder(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = QUERIES["op3_quality_rules"](spark, sf)
+    counts = Q.judge(spark.read.parquet(f"{sf}/documents.parquet"), labels, F.expr("crc32(cast(doc_id AS string)) % 5 <> 0"))
+    judged = counts.collect()
+    marked = labels.where("quality = 1 AND crc32(cast(doc_id AS string)) % 5 <> 0").selectExpr("doc_id", "pmod(xxhash64(doc_id), 4) = 0 AS lays").collect()
+    kept, rungs = plain_judge(judged, ({r.doc_id for r in marked if r.lays}, {r.doc_id for r in marked if not r.lays}), Q.RISK, Q.LEVEL)
+    assert {r.doc_id for r in rows.where("kept").collect()} == kept == {r.id for r in judged if r.kept}
+    assert "en" in rungs and len(rungs) >= 2
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    beyond = [quality[r.id] for r in judged if not r.base_failed and not r.kept and r.id in quality]
+    fold = [r.id for r in judged if quality.get(r.id) == 1 and not r.base_failed and zlib.crc32(str(r.id).encode()) % 5 == 0]
+    wrong = len([i for i in fold if i not in kept])
+    print("label 0 beyond the base rules:", beyond.count(0), "good rejected:", beyond.count(1), "fold:", wrong, len(fold), rungs)
+    assert beyond.count(0) > 0
+    assert wrong <= Q.RISK * len(fold) + 3 * math.sqrt(Q.RISK * len(fold))
+
+
 def test_too_few_labels_reject_nothing_and_empty_tables(spark):
     df = docs(spark).drop("quality").withColumn("id", F.lit(1)).withColumn("stratum", F.lit(2))
     none = spark.createDataFrame([], "doc_id bigint, quality int")

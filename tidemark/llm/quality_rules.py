@@ -1,12 +1,13 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule compares one number of a text with a cutoff. Per stratum and rule the cutoff is the
-strictest one of a grid for which an exact binomial test on labelled holdout rows rejects "more
-than ``risk / rules`` of the good rows fall to it". Going from loose to strict and stopping at the
-first cutoff that fails the test (fixed-sequence testing) needs no correction over the grid; the
-level is divided by strata times rules (Bonferroni). So, with probability ``1 - level``, in no
-stratum do all rules together reject more than ``risk`` of the good rows that pass the base rules.
-A stratum with too few labelled rows gets no cutoff: it rejects nothing beyond the base rules.
+Each rule compares one number of a text with a cutoff. A configuration holds a cutoff for every rule; configurations
+form a ladder from loose to strict, whose rungs are laid by a quarter of the labelled good rows: first beyond their
+largest value, then at their upper quantiles. On the other good rows, per stratum, an exact binomial test of one rung after
+the other rejects "the rules together reject more than ``risk`` of the good rows", up to the first rung that fails it.
+Going through a fixed sequence needs no correction over the rungs, and testing the rules together none over
+the rules; the level is divided by the number of strata (Bonferroni). So, with probability ``1 - level``, in no stratum do the
+rules reject more than ``risk`` of the good rows that pass the base rules. A stratum with too few
+labelled rows (217 for no rejection at all, with four strata) gets no cutoffs: it rejects nothing beyond the base rules.
 """
 
 from __future__ import annotations
@@ -36,6 +37,10 @@ RULES = {
     "long_words": "10 * word_chars DIV n_words",
     "short_words": "-(10 * word_chars DIV n_words)",
 }
+#: Rungs of the ladder: beyond the largest good value, by its distance from the middle one; then shares of good rows above.
+MARGINS = [8, 4, 2, 1, 0.5, 0.25, 0.1, 0]
+QUANTILES = [0.001, 0.002, 0.003, 0.005, 0.007, 0.01, 0.015, 0.02]
+RUNGS = len(MARGINS) + len(QUANTILES)
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals"]
 _BYTES = np.arange(256)
@@ -103,24 +108,44 @@ def allowed_failures(n: int, risk: float, level: float) -> int:
     return k
 
 
-def cutoffs(good: DataFrame, strata: int, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """``stratum, rule, cutoff`` from the counts of good holdout rows: a row above ``cutoff`` fails the rule.
+def _values() -> dict[str, Column]:
+    return {name: F.expr(sql) for name, sql in RULES.items()}
+
+
+def ladder(laying: DataFrame) -> DataFrame:
+    """``stratum, rungs``: a map from rule to its cutoffs, loose to strict, from the counts of some good rows.
 
     Only counts per stratum, rule and value leave the tasks.
     """
-    values = F.explode(F.create_map(*[x for name, sql in RULES.items() for x in (F.lit(name), F.expr(sql))])).alias("rule", "value")
-    counts = good.select("stratum", values).groupBy("stratum", "rule", "value").count()
+    each = F.explode(F.create_map(*[x for name, value in _values().items() for x in (F.lit(name), value)])).alias("rule", "value")
+    counts = laying.select("stratum", each).groupBy("stratum", "rule", "value").count()
     own = Window.partitionBy("stratum", "rule")
-    above = counts.select("stratum", "rule", "value", F.sum("count").over(own).alias("n"),
-                          F.coalesce(F.sum("count").over(own.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("fail"))
-    each_risk, each_level = risk / len(RULES), level / (len(RULES) * max(1, strata))
+    n, above = F.sum("count").over(own), F.coalesce(F.sum("count").over(own.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shares = counts.withColumn("above", above / n)
+    top, middle = F.max("value"), F.min(F.when(F.col("above") <= 0.5, F.col("value")))
+    rungs = [top + F.ceil(m * (top - middle)) for m in MARGINS] + [F.min(F.when(F.col("above") <= q, F.col("value"))) for q in QUANTILES]
+    per_rule = shares.groupBy("stratum", "rule").agg(F.array(*rungs).alias("cutoffs"))
+    return per_rule.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoffs"))).alias("rungs"))
+
+
+def _beyond(rung: Column | int) -> list[Column]:
+    """Names of the rules that reject a row at a rung, NULL for the others."""
+    return [F.when(value > F.get(F.col("rungs")[name], F.lit(rung) if isinstance(rung, int) else rung), F.lit(name)) for name, value in _values().items()]
+
+
+def choose(testing: DataFrame, strata: int, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """``stratum, n, rung``: the strictest rung of each stratum that holds the risk on its good rows; none gives no row."""
+    rejects = [F.count_if(F.coalesce(*_beyond(k)).isNotNull()).alias(f"fails{k}") for k in range(RUNGS)]
+    counted = testing.groupBy("stratum").agg(F.count("*").alias("n"), *rejects)
 
     @F.pandas_udf(T.LongType())
     def allowed(n: pd.Series) -> pd.Series:
-        known = {x: allowed_failures(int(x), each_risk, each_level) for x in n.unique()}
-        return n.map(known)
+        return n.map({x: allowed_failures(int(x), risk, level / max(1, strata)) for x in n.unique()})
 
-    return above.where(F.col("fail") <= allowed("n")).groupBy("stratum", "rule").agg(F.min("value").alias("cutoff"))
+    # rejections only grow along the ladder, so the last rung that holds has none failing before it
+    held = counted.withColumn("allowed", allowed("n"))
+    rung = F.coalesce(*[F.when(F.col(f"fails{k}") <= F.col("allowed"), F.lit(k)) for k in range(RUNGS - 1, -1, -1)])
+    return held.select("stratum", "n", rung.alias("rung")).where("rung IS NOT NULL")
 
 
 def judge(docs: DataFrame, labels: DataFrame, holdout: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -133,12 +158,14 @@ def judge(docs: DataFrame, labels: DataFrame, holdout: Column, id_col: str = "do
     """
     counts = materialise(text_counts(docs, id_col, text_col, stratum_col), "counts").withColumn("base_failed", base_failed())
     marked = labels.where(holdout & (labels[label_col] == 1)).select(labels[id_col].alias("good")).distinct()
-    good = counts.where(~F.col("base_failed")).join(marked, F.col("id") == F.col("good"), "left_semi")
+    good = materialise(counts.where(~F.col("base_failed")).join(marked, F.col("id") == F.col("good"), "left_semi"), "good")
+    lays = F.pmod(F.xxhash64("id"), F.lit(4)) == 0
+    rungs = materialise(ladder(good.where(lays)), "ladder").withColumnRenamed("stratum", "__stratum")  # a row per stratum
+    same = F.col("stratum").eqNullSafe(F.col("__stratum"))
     strata = counts.select("stratum").distinct().count()
-    limits = cutoffs(good, strata, risk, level).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
-    limits = materialise(limits, "cutoffs").withColumnRenamed("stratum", "__stratum")  # a row per stratum
-    joined = counts.join(limits, counts.stratum.eqNullSafe(F.col("__stratum")), "left")
-    fails = [F.when(F.expr(sql) > F.col("cutoffs")[name], F.lit(name)) for name, sql in RULES.items()]
-    failed = F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*fails)))
+    chosen = choose(good.where(~lays).join(rungs, same), strata, risk, level).select(F.col("stratum").alias("__own"), "rung")
+    limits = materialise(rungs.join(chosen, F.col("__stratum").eqNullSafe(F.col("__own"))).drop("__own"), "cutoffs")
+    joined = counts.join(limits, same, "left")
+    failed = F.when(F.col("base_failed") | F.col("rung").isNull(), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*_beyond(F.col("rung")))))
     return (joined.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
             .select(*counts.columns, "failed_rules", "kept"))
