@@ -1,6 +1,7 @@
 """Data-quality rules as columns and aggregates."""
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -124,7 +125,7 @@ def min_rows_flag(least: int = 100) -> Column:
 
 def rule_statement(spark, sql: str, table: DataFrame) -> DataFrame:
     """A query with ``$table`` standing for the checked table; its first column is the failing count."""
-    view = f"tidemark_checked_{abs(hash(sql))}"
+    view = f"tidemark_checked_{uuid.uuid4().hex}"
     table.createOrReplaceTempView(view)
     try:
         result = spark.sql(sql.replace("$table", view))
