@@ -1,10 +1,13 @@
 """Type 2 history, with the last event of a user per day as that day's snapshot."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import scd2 as S
+from ..operators import stored_history as H
+from ..session import checkpoint
 from .base import query, table
 
 _D1, _D2 = dt.date(2024, 1, 20), dt.date(2024, 1, 21)
@@ -13,9 +16,9 @@ _SNAPSHOTS = ("snap AS (SELECT user_id AS id, CAST(ts AS DATE) AS partition_dt,
               "FROM (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_type DESC, value DESC) AS rn FROM events) WHERE rn = 1)")
 
 
-def _snapshots(spark, sf):
+def _snapshots(spark, sf, day="to_date(ts)"):
     events = table(spark, sf, "events").select(
-        F.col("user_id").alias("id"), F.to_date("ts").alias("partition_dt"), F.col("event_type").alias("col1"), "ts", "value")
+        F.col("user_id").alias("id"), F.expr(day).alias("partition_dt"), F.col("event_type").alias("col1"), "ts", "value")
     last = S.one_per_key(events, ["id", "partition_dt"], ["ts", "col1", "value"])
     return last.select("id", "partition_dt", "col1", F.when(F.col("value") >= 20, F.floor(F.col("value") / 40)).alias("col2"))
 
@@ -102,6 +105,19 @@ def _(spark, sf):
     return _text(S.build_history(_snapshots(spark, sf), ["id"]), "effective_start_date", "effective_end_date")
 
 
+@query("sc06_loaded_by_week", (f"{_HISTORY} SELECT id, col1, col2, strftime(s, '%Y-%m-%d') AS effective_start_date, coalesce(strftime(nx - 1, '%Y-%m-%d'), '9999-12-31') AS effective_end_date, "
+       "CAST(version AS INTEGER) AS version, nx IS NULL AS is_current FROM hist").replace("CAST(ts AS DATE)", "CAST(date_trunc('week', ts) AS DATE)"))
+def _(spark, sf):
+    snaps = checkpoint(_snapshots(spark, sf, "to_date(date_trunc('week', ts))"))
+    place = f"tidemark_versions_{uuid.uuid4().hex}"
+    try:
+        for row in snaps.select("partition_dt").distinct().orderBy("partition_dt").collect():
+            H.load_day(spark, place, snaps, ["id"], row.partition_dt, buckets=8)
+        return checkpoint(_text(H.read_history(spark, place, ["id"]), "effective_start_date", "effective_end_date"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {place}")
+
+
 # break some histories: an end moved, and a current flag lost
 _BROKEN = ("broken AS (SELECT id, s, CASE WHEN col1 = 'error' AND nx IS NOT NULL THEN CAST(nx - 2 AS DATE) WHEN col1 = 'signup' AND nx IS NOT NULL THEN CAST(nx + 2 AS DATE) ELSE coalesce(CAST(nx - 1 AS DATE), DATE '9999-12-31') END AS e, "
            "nx IS NULL AND col1 <> 'view' AS cur FROM hist), chained AS (SELECT *, lead(s) OVER (PARTITION BY id ORDER BY s) AS ns FROM broken)")
