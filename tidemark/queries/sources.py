@@ -6,7 +6,23 @@ from pyspark.sql import functions as F
 
 from ..sources import (append, bad_cells, export_csv, load_csv_folder, load_csv_typed, row_hash, schema_from_ddl, stamp_audit,
                        write_targets)
-from .base import query, scratch, table
+from ..sources.definitions import check_path, read_metric_defs
+from .base import DEFS_SQL, derived_defs, query, scratch, table
+
+
+_DEFINITION = "metric_id, metric_name, metric_type, sql, dependency, target_table, partition_mode"
+
+
+@query("io01_definition_files", f"WITH {DEFS_SQL}, r AS (SELECT count(*) AS n FROM part) SELECT {_DEFINITION}, n AS numbered FROM defs, r")
+def _(spark, sf):
+    # files of at most 500 definitions, each a JSON array
+    path = scratch(spark, "definitions")
+    records = derived_defs(spark, sf).withColumn("file", F.floor(F.col("record_index") / 500)).drop("record_index")
+    arrays = records.groupBy("file").agg(F.array_join(F.collect_list(F.to_json(F.struct(*[c for c in records.columns if c != "file"]))), ",").alias("items"))
+    arrays.select("file", F.concat(F.lit("["), "items", F.lit("]")).alias("value")).write.partitionBy("file").text(path)
+    found = read_metric_defs(spark, check_path(spark, path, require_scheme=False))
+    numbered = found.agg(F.count_distinct("record_index")).scalar()
+    return found.selectExpr(*_DEFINITION.split(", ")).withColumn("numbered", numbered)
 
 
 @query("io04_append", "SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY o_orderstatus")

@@ -57,6 +57,18 @@ def _(spark, sf):
     return per_parent.agg(F.sum("n").alias("n"), (F.max("n") < 60).alias("spread")).select("n", alone.scalar().alias("orphans"), "spread")
 
 
+@query("sy1_synth_table", "SELECT count(*) AS n, count(*) AS order_ids, count(*) AS defaults, true AS nulls_as_measured, true AS required_filled FROM orders")
+def _(spark, sf):
+    # as many rows as orders, with the share of finished ones as null rate
+    n, share = table(spark, sf, "orders").agg(F.count(F.lit(1)), F.avg((F.col("o_orderstatus") == "F").cast("int"))).first()
+    ddl = [{"name": "order_id", "type": "INT64", "mode": "REQUIRED"}, {"name": "price", "type": "NUMERIC", "mode": "REQUIRED"}, {"name": "note", "type": "STRING"},
+           {"name": "state", "type": "STRING"}]
+    made = S.synth_table(spark, ddl, n, seed=5, key="order_id", defaults={"state": "OPEN"}, null_rate=share)
+    empty = F.avg(F.col("note").isNull().cast("int"))
+    return made.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("order_ids"), F.count_if(F.col("state") == "OPEN").alias("defaults"),
+                    (F.abs(empty - share) < 5 * (share * (1 - share) / n) ** 0.5 + 0.0001).alias("nulls_as_measured"), (F.count("price") == F.count(F.lit(1))).alias("required_filled"))
+
+
 _LINKS = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
           ("supplier", "s_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey")]
 
