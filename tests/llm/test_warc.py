@@ -99,3 +99,11 @@ def test_query_over_the_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted((tuple(r) for r in QUERIES["op6_warc_round_trip"](spark, sf).collect()), key=str) == expected(rows)
+
+
+def test_schemes_of_folders(monkeypatch):
+    asked = []
+    monkeypatch.setattr(warc.fs, "FileSystem", type("Files", (), {"from_uri": staticmethod(lambda uri: asked.append(uri))}))
+    for uri in ("s3a://crawl/a", "s3n://crawl/a", "s3://crawl/a", "hdfs://name/a", "file:/tmp/a"):
+        warc.open_folder(uri)
+    assert asked == ["s3://crawl/a"] * 3 + ["hdfs://name/a", "file:///tmp/a"]

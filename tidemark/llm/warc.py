@@ -50,9 +50,12 @@ def register(spark: SparkSession) -> None:
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder that all machines see."""
+    """File system and path of a folder that all machines see; Hadoop's names of S3 stand for the plain one.
+
+    A path without a scheme is on the machine itself, so it is of use to local sessions only.
+    """
     if "://" in uri or uri.startswith("file:"):
-        return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+        return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", re.sub("^file:/+", "file:///", uri)))
     return fs.LocalFileSystem(), uri
 
 
