@@ -3,8 +3,9 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.errors import DefinitionError, MetricError
+from tidemark.errors import DefinitionError, MetricError, SourceError
 from tidemark.operators.align import align
 from tidemark.operators.partitions import latest_partition
 from tidemark.plans import metrics as M
@@ -285,3 +286,46 @@ def test_a_plan_has_the_time_of_all_its_queries_and_each_runs_twice_at_most(spar
     good, failed = M.run_metrics(spark, _four(spark, slow={2}), dt.date(2024, 1, 11), none, timeout=2)
     assert [r.metric_id for r in failed.collect()] == ["m2"] and good.count() == 3
     assert limits == [8, 2, 2, 2, 2] and calls == [["m0", "m1", "m2", "m3"], ["m0"], ["m1"], ["m2"], ["m3"]]
+
+
+def runs(spark, tmp_path):
+    """Arguments of a run with two targets, of which the second may be no place to write to."""
+    info = spark.createDataFrame([("p.d", "staff", "2024-01-10")], "project_dataset string, table_name string, partition_dt string")
+    return lambda second, day="2024-01-15", **more: run_definitions(
+        spark, definitions(tmp_path), info, day, "daily", {"p.d.staff": staff(spark)}, {"p.d.out": str(tmp_path / "out"), "p.d.nowhere": second},
+        str(tmp_path / "recon"), "bld", executed_at=NOW, **more)
+
+
+def told(spark, path):
+    return sorted((r.metric_id, str(r.partition_dt), r.metric_output) for r in spark.read.parquet(str(path)).collect())
+
+
+def test_all_or_nothing_leaves_the_targets_as_before(spark, tmp_path):
+    run = runs(spark, tmp_path)
+    run(str(tmp_path / "more"))
+    before = told(spark, tmp_path / "out"), told(spark, tmp_path / "more")
+    marked = spark.read.parquet(str(tmp_path / "out")).withColumn("metric_output", F.lit(77).cast("decimal(38,9)")).cache()
+    assert marked.count() == 1
+    marked.write.mode("overwrite").partitionBy("partition_dt").parquet(str(tmp_path / "out"))
+    for day in ("2024-01-15", "2024-01-16"):
+        with pytest.raises(Exception, match="SCHEMA_NOT_FOUND|absent_db"):
+            run("absent_db.metrics", day, all_or_nothing=True)
+        assert told(spark, tmp_path / "out") == [("A", "2024-01-15", 77)] and told(spark, tmp_path / "more") == before[1]
+    recon = spark.read.parquet(str(tmp_path / "recon")).where("rcncln_exact_pass_in = 'Failed' AND source_system_id = 'A'")
+    assert recon.count() == 2
+    run("absent_db.metrics")
+    assert told(spark, tmp_path / "out") == before[0]
+
+
+def test_targets_are_restored_when_the_reconciliation_fails(spark, tmp_path, monkeypatch):
+    from tidemark.plans import run as module
+    run, undo = runs(spark, tmp_path), str(tmp_path / "undo")
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "_reconcile", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(str(tmp_path / "more"), undo=undo)
+    assert not list(tmp_path.glob("out/partition_dt=*")) and not list(tmp_path.glob("more/partition_dt=*"))
+    with pytest.raises(SourceError, match="another run"):
+        run(str(tmp_path / "more"), undo=undo)
+    run(str(tmp_path / "more"))
+    assert [r[0] for r in told(spark, tmp_path / "out") + told(spark, tmp_path / "more")] == ["A", "C"]

@@ -77,6 +77,39 @@ def test_null_keys_replace_null_keys(spark):
     assert sorted(map(tuple, after.collect()), key=str) == sorted([(None, 2, "d"), ("a", 1, "d")], key=str)
 
 
+def test_restore_brings_the_former_rows_back(spark, place, tmp_path):
+    first, second = spark.createDataFrame(FIRST, SCHEMA), spark.createDataFrame(SECOND + [("n'1", 5, "it's")], SCHEMA)
+    U.overwrite_partitions(spark, place, first)
+    undo = str(tmp_path / "undo")
+    assert not U.holds_undo(spark, undo) and not U.restore(spark, place, undo)
+    U.overwrite_partitions(spark, place, second, undo=undo)
+    later = spark.createDataFrame([("later", 7, "2024-01-01")], SCHEMA)
+    U.overwrite_partitions(spark, place, later)
+    for _ in range(2):
+        assert U.restore(spark, place, undo) and U.holds_undo(spark, undo)
+        assert stored(spark, place, first) == sorted(FIRST + [("later", 7, "2024-01-01")])
+    days = [r[0] for r in spark.sql(f"SHOW PARTITIONS {place}").collect()] if "/" not in place else [p.name for p in (tmp_path / "out").glob("partition_dt=*")]
+    assert sorted(days) == ["partition_dt=2024-01-01", "partition_dt=2024-01-02", "partition_dt=2024-01-03"]
+
+
+def test_restore_of_a_table_the_run_made(spark, place, tmp_path):
+    first, undo = spark.createDataFrame(FIRST, SCHEMA), str(tmp_path / "undo")
+    U.overwrite_partitions(spark, place, first, undo=undo)
+    assert U.restore(spark, place, undo) and U.read_partitioned(spark, place, "partition_dt", first) is None
+    U.overwrite_partitions(spark, place, first)
+    assert stored(spark, place, first) == sorted(FIRST)
+
+
+def test_restore_after_an_overwrite_that_failed(spark, place, tmp_path, monkeypatch):
+    first, undo = spark.createDataFrame(FIRST, SCHEMA), str(tmp_path / "undo")
+    U.overwrite_partitions(spark, place, first)
+    with monkeypatch.context() as patched:
+        patched.setattr(U, "_replace", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            U.overwrite_partitions(spark, place, spark.createDataFrame(SECOND, SCHEMA), undo=undo)
+    assert U.restore(spark, place, undo) and stored(spark, place, first) == sorted(FIRST)
+
+
 def test_every_scan_is_limited_to_the_run(spark, tmp_path, capsys):
     place = str(tmp_path / "out")
     U.overwrite_partitions(spark, place, spark.createDataFrame(FIRST, SCHEMA))

@@ -1,4 +1,4 @@
-"""Overwrite, delete and roll back rows by key within a partition."""
+"""Overwrite, delete, roll back and restore rows by key within a partition."""
 
 import datetime as dt
 from collections.abc import Sequence
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import SourceError
-from ..session import checkpoint
+from ..session import checkpoint, delete_folder
 
 RESULT_KEYS = ("metric_id", "partition_dt")
 
@@ -70,7 +70,7 @@ def overwrite_by_key(existing: DataFrame | None, incoming: DataFrame,
 
 
 def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame, keys: Sequence[str] = RESULT_KEYS,
-                         partition: str = "partition_dt", day: object = None) -> DataFrame | None:
+                         partition: str = "partition_dt", day: object = None, undo: str | None = None) -> DataFrame | None:
     """Overwrite by key in a partitioned table and rewrite only the touched partitions.
 
     ``place`` is a parquet folder (it holds a slash) or a catalog table. ``day`` names the one partition
@@ -80,6 +80,8 @@ def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame, k
     whole beside the table and swapped in when the job commits, so a task or executor that fails before
     that leaves the table as it was. ``incoming`` is read several times: materialise an expensive one.
     A NULL partition is refused, for its rows could not be told from others of the NULL partition.
+    ``undo`` is a new shared folder that gets the former rows of the incoming keys before anything is
+    written; ``restore`` puts the table back with them.
     """
     seen = incoming.agg(F.count(F.lit(1)).alias("rows"), F.count(partition).alias("dated"), F.min(partition).alias("low"),
                         F.max(partition).alias("high")).first()
@@ -97,20 +99,98 @@ def overwrite_partitions(spark: SparkSession, place: str, incoming: DataFrame, k
         if seen.low != seen.high:
             touched = touched.join(incoming.select(partition).distinct(), partition, "left_semi").select(*existing.columns)
     changes = checkpoint(classify_keys(touched, incoming, keys))
-    result = overwrite_by_key(touched, incoming, keys)
-    # one set of evenly sized files per partition, however the keys were joined
-    result = result.hint("rebalance", partition)
+    if undo is not None:
+        _keep_former(touched, incoming, changes, undo, keys, partition)
+    _replace(spark, place, overwrite_by_key(touched, incoming, keys), [partition], existing is None)
+    return changes
+
+
+def replace_partitions(spark: SparkSession, place: str, rows: DataFrame, partitions: Sequence[str]) -> None:
+    """Replace the partitions that ``rows`` hold; those without rows stay. ``place`` is made when there is none."""
+    _replace(spark, place, rows, partitions, "/" not in place and not spark.catalog.tableExists(place))
+
+
+def _replace(spark: SparkSession, place: str, rows: DataFrame, partitions: Sequence[str], create: bool) -> None:
+    # one set of evenly sized files per partition, however the rows were made
+    result = rows.hint("rebalance", *partitions)
     writer = result.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "dynamic")
     if "/" in place:
-        writer.partitionBy(partition).save(place)
-    elif existing is None:
-        writer.partitionBy(partition).saveAsTable(place)
+        writer.partitionBy(*partitions).save(place)
+    elif create:
+        writer.partitionBy(*partitions).saveAsTable(place)
     else:
-        # by position: the partition column comes last in a table
+        # by position: the partition columns come last in a table
         order = spark.table(place).columns
         with _dynamic_overwrite(spark):
             result.select(*order).write.mode("overwrite").insertInto(place)
-    return changes
+
+
+def _keep_former(touched: DataFrame | None, incoming: DataFrame, changes: DataFrame, undo: str,
+                 keys: Sequence[str], partition: str) -> None:
+    """Former rows, partitions and keys of an overwrite; the keys come last and mark the rest as whole."""
+    if touched is not None:
+        former = touched.join(changes, _same(touched, changes, keys), "left_semi")
+        former.write.parquet(f"{undo}/rows")
+    incoming.select(partition).distinct().write.parquet(f"{undo}/partitions")
+    changes.write.parquet(f"{undo}/keys")
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet folder, or None when it is absent or holds no file."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def holds_undo(spark: SparkSession, undo: str) -> bool:
+    """Whether an overwrite has kept its former rows in ``undo``."""
+    return _read(spark, f"{undo}/keys") is not None
+
+
+def restore(spark: SparkSession, place: str, undo: str, keys: Sequence[str] = RESULT_KEYS,
+            partition: str = "partition_dt") -> bool:
+    """Put a table back to what it was before the ``overwrite_partitions`` that kept ``undo``.
+
+    Rows of the keys it wrote go and their former rows come back; rows of other keys stay, also those written
+    since. Partitions left without rows are dropped, and a catalog table that the overwrite made goes when it is
+    empty. Only the partitions of the overwrite are read and rewritten. May be repeated, and does no harm when
+    the overwrite failed before its commit. False when ``undo`` was not finished, so that nothing was written.
+    """
+    changes = _read(spark, f"{undo}/keys")
+    if changes is None:
+        return False
+    days, former = spark.read.parquet(f"{undo}/partitions"), _read(spark, f"{undo}/rows")
+    current = read_partitioned(spark, place, partition, days)
+    if current is None:
+        if former is not None and not former.isEmpty():
+            replace_partitions(spark, place, former, [partition])
+        return True
+    span = days.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
+    ranged = current.where(F.col(partition).between(F.lit(span.low), F.lit(span.high)))
+    touched = ranged.join(days, partition, "left_semi").select(*current.columns)
+    result = delete_by_key(touched, changes, keys)
+    if former is not None:
+        result = result.unionByName(former, allowMissingColumns=True).select(*current.columns)
+    emptied = checkpoint(days.join(result.select(partition).distinct(), partition, "left_anti"))
+    # bounded by the partitions of the overwrite
+    if "/" in place:
+        files = ranged.select(partition, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"))
+        gone = [r.folder for r in files.join(emptied, partition, "left_semi").select("folder").distinct().collect()]
+    else:
+        gone = [str(r[0]) for r in emptied.collect()]
+    replace_partitions(spark, place, result, [partition])
+    for name in gone:
+        if "/" in place:
+            delete_folder(spark, name)
+        else:
+            literal = name.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {place} DROP IF EXISTS PARTITION (`{partition}` = '{literal}')")
+    if "/" not in place and former is None and spark.table(place).isEmpty():
+        spark.sql(f"DROP TABLE {place}")
+    return True
 
 
 @contextmanager
@@ -137,13 +217,10 @@ def read_partitioned(spark: SparkSession, place: str, partition: str, like: Data
             return None
         table = spark.table(place)
         return table.withColumn(partition, F.col(partition).cast(kind))
-    try:
-        found = spark.read.parquet(place).schema
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    fields = [T.StructField(f.name, kind if f.name == partition else f.dataType) for f in found]
+    found = _read(spark, place)
+    if found is None:
+        return None
+    fields = [T.StructField(f.name, kind if f.name == partition else f.dataType) for f in found.schema]
     return spark.read.schema(T.StructType(fields)).parquet(place)
 
 
@@ -152,7 +229,7 @@ def rollback(df: DataFrame, new_keys: DataFrame, now: dt.datetime, hours: int =
     """The table without the rows a failed run added.
 
     Only keys the run created go, and only rows written within the last ``hours``. Overwritten keys
-    stay: their former rows are gone, which ``classify_keys`` reports.
+    stay, as ``classify_keys`` reports; ``restore`` brings their former rows back.
     """
     recent = F.col(written_at) >= F.lit(now - dt.timedelta(hours=hours))
     doomed = new_keys.select(*keys).distinct().withColumn("__new", F.lit(True))

@@ -1,12 +1,11 @@
 """Registry of the runnable queries and the SQL each must agree with."""
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder as scratch  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder next to the checkpoints, which all executors can reach."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # Definitions derived from `part`, one per row, with every kind of flaw. The expressions read the
 # same in both engines.
 DEFS = {

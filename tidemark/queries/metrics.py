@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ..functions import denominator_status, numeric_warning, ratio_percent, to_metric_decimal
 from ..functions.dates import business_date
 from ..operators import partitions as P
+from ..operators.agg_states import load_states, merge_states, pending
 from ..operators.aggregates import Measure, measure
+from ..operators.relational import combine_one_row
 from ..plans import metrics as M
 from ..plans.columns import ColumnMap
-from .base import query, table
+from .base import query, scratch, table
 
 _MOMENT = dt.datetime(2001, 8, 2)
 _DAY = dt.date(2001, 8, 1)
@@ -166,6 +168,35 @@ def _(spark, sf):
     return _as_double(row, "discounted")
 
 
+_DAILY = [Measure("events"), Measure("purchases", where="event_type = 'purchase'"), Measure("spent", "sum", "cast(value AS decimal(18,2))", where="event_type = 'purchase'", default=0),
+          Measure("users", "count_distinct", "user_id"), Measure("buyers", "count_distinct", "user_id", where="event_type = 'purchase'"), Measure("top", "max", "value")]
+
+
+def _loaded_by_day(spark, sf, measures, exact=True):
+    """States of the events, half of the days first, then what is pending, then one day again."""
+    events, place = table(spark, sf, "events").withColumn("day", F.to_date("ts")), scratch(spark, "states")
+    days = pending(spark, place, events, "day")
+    load_states(spark, place, events, measures, "day", days[:len(days) // 2], exact)
+    load_states(spark, place, events, measures, "day", pending(spark, place, events, "day"), exact)
+    load_states(spark, place, events, measures, "day", days[:1], exact)
+    return place
+
+
+@query("ag11_merged_states",
+       "SELECT count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases, CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'purchase'), 0) AS DOUBLE) AS spent, "
+       "count(DISTINCT user_id) AS users, count(DISTINCT user_id) FILTER (event_type = 'purchase') AS buyers, max(value) AS top FROM events")
+def _(spark, sf):
+    return _as_double(merge_states(spark, _loaded_by_day(spark, sf, _DAILY), _DAILY), "spent")
+
+
+@query("ag02_merged_sketches", "SELECT count(*) AS events, true AS users_near, true AS buyers_near FROM events")
+def _(spark, sf):
+    merged = merge_states(spark, _loaded_by_day(spark, sf, _DAILY, exact=False), _DAILY, exact=False)
+    true = measure(table(spark, sf, "events"), _DAILY).select(F.col("users").alias("u"), F.col("buyers").alias("b"))
+    near = lambda found, exact: F.abs(F.col(found) - F.col(exact)) <= 0.03 * F.col(exact)
+    return combine_one_row(spark, [merged, true]).select("events", near("users", "u").alias("users_near"), near("buyers", "b").alias("buyers_near"))
+
+
 # raw numbers in every shape a metric may return
 _RAW = ("CASE event_type WHEN 'click' THEN 'n/a' WHEN 'view' THEN '' || CAST(event_id AS VARCHAR(20)) || '.5' "
         "WHEN 'signup' THEN '123456789012345678901234567890123456' WHEN 'error' THEN NULL ELSE '-' || CAST(event_id AS VARCHAR(20)) END")

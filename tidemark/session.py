@@ -1,6 +1,7 @@
 """The few things the library needs from the caller's session."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +30,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder next to the checkpoints, which all executors can reach."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a folder, given as an encoded URI, on the file system it belongs to."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
