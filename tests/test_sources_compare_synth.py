@@ -1,13 +1,16 @@
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import DefinitionError, SourceError
 from tidemark.operators import compare as C
 from tidemark.operators import synth as S
 from tidemark.sources import (audit_last, bad_cells, export_csv, load_csv_folder, load_csv_typed, read_mapping, resolve_table, schema_from_ddl, write_targets)
+from tidemark.sources.partition_listing import partition_info
 
 
 def write(path, text, encoding="utf-8"):
@@ -118,6 +121,36 @@ def test_targets_fail_alone(spark, tmp_path):
     assert [r.v for r in spark.read.parquet(str(tmp_path / "b")).collect()] == [2]
 
 
+def test_targets_without_rows_cost_nothing(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), (None, 3)], "target_table string, v int")
+    calls = []
+    written, failed = write_targets(df, {"a": "x", "b": "y"}, write=lambda rows, place, by: calls.append((place, rows.count())))
+    assert written == ["a", "b"] and not failed and calls == [("x", 1)]
+    assert write_targets(df, {}) == ([], {})
+
+
+def test_partition_information_from_listings(spark, tmp_path, capsys):
+    rows = spark.createDataFrame([(1, "2024-01-02"), (2, "2024-01-09"), (3, "2024-13-01"), (4, None), (5, "2024-01-02")], "v int, partition_dt string")
+    folder, name = str(tmp_path / "days"), f"days_{uuid.uuid4().hex}"
+    rows.write.partitionBy("partition_dt").parquet(folder)
+    rows.withColumn("region", F.lit("a/b=c")).write.partitionBy("region", "partition_dt").format("parquet").saveAsTable(name)
+    rows.write.saveAsTable(f"{name}_flat")
+    try:
+        df = spark.read.schema("v int, partition_dt string").parquet(folder)
+        info = partition_info(spark, {"p.d.listed": name, "p.d.files": df, "q.plain": rows})
+        assert sorted((r.project_dataset, r.table_name, str(r.partition_dt)) for r in info.collect()) == [
+            (dataset, table, day) for dataset, table in (("p.d", "files"), ("p.d", "listed"), ("q", "plain")) for day in ("2024-01-02", "2024-01-09")]
+        partition_info(spark, {"p.d.files": df}).explain()
+        scans = [line for line in capsys.readouterr().out.splitlines() if "FileScan" in line]
+        assert scans and all("ReadSchema: struct<>" in line for line in scans)
+        with pytest.raises(SourceError, match="not partitioned"):
+            partition_info(spark, {"p.d.flat": f"{name}_flat"})
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}_flat")
+    assert partition_info(spark, {}).dtypes == [("project_dataset", "string"), ("table_name", "string"), ("partition_dt", "date")]
+
+
 def test_audit_columns_move_last(spark):
     df = spark.createDataFrame([(1, 2, 3)], "batch_id int, id int, load_ts int")
     assert audit_last(df).columns == ["id", "batch_id", "load_ts"]

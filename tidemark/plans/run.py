@@ -16,7 +16,7 @@ from ..operators import validate as V
 from ..operators.align import align
 from ..session import checkpoint, scratch_folder
 from ..sources.definitions import read_metric_defs
-from ..sources.tables import append
+from ..sources.tables import append, routed
 from .columns import ColumnMap
 from .metrics import QUERY_TIMEOUT_SECONDS, run_metrics
 
@@ -119,8 +119,10 @@ def _reconcile(outcomes: DataFrame, failures: DataFrame, run_date: str, env: str
 def _write(spark: SparkSession, results: DataFrame, targets: Mapping[str, str], day: str, undo: str,
            all_or_nothing: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written ids with their target, their key changes, and an error per id that was not written."""
-    failures, changed = [], []
+    failures, changed, filled = [], [], routed(results, targets)
     for number, (target, path) in enumerate(targets.items()):
+        if target not in filled:
+            continue
         rows = results.where(F.col("target_table") == target).drop("target_table")
         try:
             existing = U.read_partitioned(spark, path, "partition_dt", rows)

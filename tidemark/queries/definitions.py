@@ -1,12 +1,16 @@
 """Validation of definitions, table references, latest partitions and date bindings."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import partition_calendar, reference_date, strict_date
 from ..operators import partitions as P
 from ..operators import validate as V
 from ..plans.metrics import bound_query, table_views
-from .base import AS_OF, DEFS_SQL, RUN_DATE, derived_defs, query, table
+from ..session import checkpoint
+from ..sources.partition_listing import partition_info
+from .base import AS_OF, DEFS_SQL, RUN_DATE, derived_defs, query, scratch, table
 
 
 def _found(check: str, condition: str, code: str, message: str, severity: str = "error") -> str:
@@ -169,6 +173,23 @@ def _(spark, sf):
     return P.latest_partition(_shipments(spark, sf)).withColumn("partition_dt", F.col("partition_dt").cast("string"))
 
 
+_MONTHS = "SELECT '{}' AS project_dataset, 'lineitem' AS table_name, strftime(max(l_shipdate), '%Y-%m-01') AS partition_dt FROM lineitem"
+
+
+@query("pt05_latest_from_listing", _MONTHS.format("w.catalog") + " UNION ALL " + _MONTHS.format("w.folder"))
+def _(spark, sf):
+    # a copy partitioned by month, once in the catalog and once as a folder
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", F.trunc("l_shipdate", "MM").alias("partition_dt")).repartition("partition_dt")
+    name, folder = f"monthly_{uuid.uuid4().hex}", scratch(spark, "monthly")
+    lines.write.partitionBy("partition_dt").format("parquet").option("path", folder).saveAsTable(name)
+    try:
+        info = partition_info(spark, {"w.catalog.lineitem": name, "w.folder.lineitem": spark.read.parquet(folder)})
+        latest = checkpoint(P.latest_partitions(info, info, lookback_days=None))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return latest.withColumn("partition_dt", F.col("partition_dt").cast("string"))
+
+
 _SUPPLIERS = "SELECT 'w.supply' AS project_dataset, 'supplier_' || s_suppkey AS table_name FROM supplier WHERE s_acctbal > 0"
 
 

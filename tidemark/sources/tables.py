@@ -32,16 +32,25 @@ def append(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> None
         writer.saveAsTable(target)
 
 
+def routed(df: DataFrame, routes: Mapping[str, str], target_column: str = "target_table") -> set[str]:
+    """Targets of ``routes`` that have rows, by one job over all of them."""
+    return {r[0] for r in df.where(F.col(target_column).isin(list(routes))).select(target_column).distinct().collect()}
+
+
 def write_targets(df: DataFrame, routes: Mapping[str, str], partition_by: Sequence[str] = (),
                   target_column: str = "target_table", write=append) -> tuple[list[str], dict[str, str]]:
     """Write the rows of each target to its place; one failing target does not stop the others.
 
     ``routes`` maps the value of ``target_column`` to a table name or path. Returns the targets
     written and an error text per failed one. The rows should be materialised (a checkpointed
-    metric result is), since each target filters them once.
+    metric result is), since each target filters them once. A target without rows counts as written and costs no
+    job; it is not made when there is none.
     """
-    written, failed = [], {}
+    written, failed, filled = [], {}, routed(df, routes, target_column)
     for target, place in routes.items():
+        if target not in filled:
+            written.append(target)
+            continue
         rows = df.where(F.col(target_column) == target).drop(target_column)
         try:
             write(rows, place, partition_by)
