@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 # Fixed value: what stands for an attribute that one side lacks.
 MISSING_KEY = "<MISSING KEY>"
 
@@ -55,6 +57,59 @@ def compare_tables(tables: Mapping[str, DataFrame], key: Sequence[str], missing:
             .select(*key, "status", "missing_in", "d.*"))
 
 
+def digests(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Rows and digest of each bucket of keys: equal for equal rows in any order, NULL attributes and absent ones alike.
+
+    The digest is two sums of 64-bit hashes. Partial sums are made before the shuffle, so it carries ``buckets`` rows
+    per task at most.
+    """
+    row = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in sorted(df.columns)]))
+    number = [F.xxhash64(*salt, "row").cast("decimal(20,0)") for salt in ((), (F.lit(1),))]
+    return (df.select(bucket_of(key, buckets).alias("bucket"), row.alias("row"))
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(f"d{i}") for i, h in enumerate(number)]))
+
+
+def bucket_of(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets))
+
+
+def unequal_buckets(tables: Mapping[str, DataFrame], key: Sequence[str], buckets: int) -> DataFrame:
+    """Buckets of keys whose rows are not the same in all tables: ``buckets`` rows at most."""
+    every = reduce(DataFrame.unionByName, [digests(df, key, buckets) for df in tables.values()])
+    sides = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("sides"), *[
+        (F.min(c) == F.max(c)).alias(f"same_{c}") for c in ("n", "d0", "d1")])
+    return sides.where(~((F.col("sides") == len(tables)) & F.col("same_n") & F.col("same_d0") & F.col("same_d1"))).select("bucket")
+
+
+def compare_by_digest(tables: Mapping[str, DataFrame], key: Sequence[str], missing: str = MISSING_KEY,
+                      order: Sequence[str] = (), all_pairs: bool = False, buckets: int = 4096,
+                      unique_keys: bool = False) -> DataFrame:
+    """The rows of ``compare_tables``, for tables that are mostly equal.
+
+    Buckets of keys are first compared by digest; only rows of those that differ are shuffled and compared one by one.
+    Keys of the others are EQUAL: they are read from the first table, and only keys travel, to be told once each;
+    ``unique_keys`` promises that the first table repeats none, then nothing does. Tables are read twice. ``buckets``
+    bounds what is broadcast (a number per bucket); take some tens of times the number of keys expected to differ. Where more
+    differ the result is the same, at the price of one scan more than ``compare_tables``.
+    """
+    key = list(key)
+    kinds = {tuple(df.schema[c].dataType.simpleString() for c in key) for df in tables.values()}
+    if len(kinds) > 1:
+        raise ValueError(f"key columns {key} have unlike types: {sorted(kinds)}")
+    unequal = checkpoint(unequal_buckets(tables, key, buckets))
+    mark = "__bucket"
+
+    def marked(df: DataFrame, how: str) -> DataFrame:
+        there = F.broadcast(unequal.select(F.col("bucket").alias(mark)))
+        return df.join(there, bucket_of(key, buckets) == F.col(mark), how)
+
+    rows = compare_tables({env: marked(df, "left_semi") for env, df in tables.items()}, key, missing, order, all_pairs)
+    equal = marked(next(iter(tables.values())).select(*key), "left_anti")
+    equal = equal if unique_keys else equal.distinct()
+    blank = [F.lit(None).cast("string").alias(c) for c in rows.columns[len(key) + 2:]]
+    return rows.unionByName(equal.select(*key, F.lit("EQUAL").alias("status"), F.lit("").alias("missing_in"), *blank))
+
+
 def _differences(names: Sequence[str], i: int, j: int, missing: str) -> Column:
     """Attributes of two environments that differ; none when either lacks the key."""
     left, right = F.col(f"e{i}"), F.col(f"e{j}")

@@ -6,6 +6,7 @@ Rows need no shared counter and no driver loop, and come out the same under any
 import datetime as dt
 import re
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -175,3 +176,100 @@ def infer_fks(tables: Mapping[str, DataFrame], keys: Mapping[str, str],
         spark = next(iter(tables.values())).sparkSession
         return spark.createDataFrame([], "child string, child_column string, parent string, parent_key string")
     return result.where("orphans = 0").drop("orphans")
+
+
+@dataclass(frozen=True)
+class ColumnProfile:
+    """What values of a column are drawn from: a share of NULLs and either quantiles or frequent values with shares."""
+
+    field: T.StructField
+    null_rate: float
+    quantiles: tuple[float, ...] = ()
+    frequent: tuple[tuple[str, float], ...] = ()
+
+
+def _number(field: T.StructField) -> Column | None:
+    """A column as a number that quantiles are taken of: days of dates, microseconds of timestamps."""
+    column, t = F.col("`" + field.name.replace("`", "``") + "`"), field.dataType
+    if isinstance(t, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    return column.cast("double") if isinstance(t, T.NumericType) else None
+
+
+def profile(df: DataFrame, quantiles: int = 100, frequent: int = 200) -> list[ColumnProfile]:
+    """Null rates, quantile sketches of numbers and dates, and frequent values of the others, from one scan.
+
+    What reaches the driver is one row of ``quantiles`` + 1 numbers or ``frequent`` values per column. Sketches merge
+    before the shuffle; their rank error is a tenth of the distance of two quantiles. Values that are not among the
+    frequent ones of a text column (more distinct than ``frequent``, such as names) are drawn freely instead. Columns
+    of nested types are drawn freely too, with their null rate.
+    """
+    marks, asked = [i / quantiles for i in range(quantiles + 1)], [F.count(F.lit(1)).alias("n")]
+    for i, f in enumerate(df.schema):
+        column, number = F.col("`" + f.name.replace("`", "``") + "`"), _number(f)
+        asked.append(F.count(column).alias(f"c{i}"))
+        if number is not None:
+            number = F.when(~F.isnan(number), number)
+            asked.append(F.percentile_approx(number, marks, 10 * quantiles).alias(f"q{i}"))
+            asked += [F.min(number).alias(f"low{i}"), F.max(number).alias(f"high{i}")]
+        elif isinstance(f.dataType, (T.StringType, T.BooleanType)):
+            quoted = f.name.replace("`", "``")
+            asked.append(F.expr(f"approx_top_k(CAST(`{quoted}` AS STRING), {frequent}, {20 * frequent})").alias(f"t{i}"))
+    found = df.agg(*asked).first()
+    profiles = []
+    for i, f in enumerate(df.schema):
+        filled = found[f"c{i}"]
+        cuts = found[f"q{i}"] if _number(f) is not None else None
+        cuts = (found[f"low{i}"], *cuts[1:-1], found[f"high{i}"]) if cuts else ()
+        top = found[f"t{i}"] if f"t{i}" in found else None
+        shares = tuple((row["item"], row["count"] / filled) for row in top or [] if row["item"] is not None)
+        profiles.append(ColumnProfile(f, 1 - filled / found["n"] if found["n"] else 0.0, tuple(cuts), shares))
+    return profiles
+
+
+def _drawn(p: ColumnProfile, seed: int, day: dt.date) -> Column:
+    """A value by inverse distribution function, repeatable per row."""
+    f, t = p.field, p.field.dataType
+    chance = F.pmod(_hash(seed, f.name + "/draw"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    if p.quantiles:
+        cuts, steps = F.lit(list(p.quantiles)), len(p.quantiles) - 1
+        place = (chance * steps).cast("int")
+        low, high = F.get(cuts, place), F.get(cuts, place + 1)
+        value = low + (high - low) * (chance * steps - place)
+        if isinstance(t, T.DateType):
+            return F.date_from_unix_date(F.round(value).cast("int"))
+        if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            return F.timestamp_micros(F.round(value).cast("bigint")).cast(t)
+        return (F.round(value) if isinstance(t, T.IntegralType) else value).cast(t)
+    value = _value(f, seed, day).cast(t)
+    if not p.frequent:
+        return value
+    total, bounds = 0.0, []
+    for text, share in p.frequent:
+        total += share
+        bounds.append(F.struct(F.lit(total).alias("upto"), F.lit(text).alias("text")))
+    # rounding of shares that sum to all rows must leave no gap at the end
+    whole = F.lit(total) if abs(total - 1) < 1e-9 else F.lit(1.0)
+    met = F.filter(F.array(*bounds), lambda b: b["upto"] > chance * whole)
+    return F.coalesce(F.get(met, 0)["text"].cast(t), value)
+
+
+def synth_like(spark: SparkSession, profiles: Sequence[ColumnProfile], n: int, seed: int = 0, key: str | None = None,
+               day: dt.date = dt.date(2024, 1, 1), start: int = 1) -> DataFrame:
+    """``n`` rows that follow the profile of a table, column by column; ``key`` is sequential.
+
+    Quantile bounds, null rates and shares of frequent values are those of the given table; columns are independent of
+    each other. Every value is a function of seed, column and row number, so a repeated task makes the same rows.
+    """
+    rows = spark.range(n).withColumnRenamed("id", ROW)
+    columns = []
+    for p in profiles:
+        if p.field.name == key:
+            value = _key(p.field, start).cast(p.field.dataType)
+        else:
+            gone = F.pmod(_hash(seed, p.field.name + "/null"), F.lit(1 << 30)) < F.lit(round(p.null_rate * (1 << 30)))
+            value = F.when(~gone, _drawn(p, seed, day))
+        columns.append(value.alias(p.field.name))
+    return rows.select(*columns)

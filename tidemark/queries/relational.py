@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import relational as R
+from ..operators.recursion import descend, fixpoint
 from ..plans.steps import run_steps
+from ..session import checkpoint
 from ..sources.tables import read_partition
 from .base import RUN_DATE, query, table
 
@@ -153,6 +155,34 @@ def _(spark, sf):
     return spark.sql(_RECURSIVE, part=table(spark, sf, "part"))
 
 
+@query("rl15_deep_chain",
+       "WITH RECURSIVE links AS (SELECT p_partkey * 3 + j AS node, p_partkey * 3 + j - 1 AS parent FROM part, (VALUES (0), (1), (2)) AS t(j)), "
+       "tree(node, depth) AS (SELECT node, 0 FROM links WHERE node = 0 UNION ALL SELECT l.node, t.depth + 1 FROM tree t JOIN links l ON l.parent = t.node) "
+       "SELECT node, depth FROM tree")
+def _(spark, sf):
+    """A chain three times as long as the parts."""
+    node = F.col("p_partkey") * 3 + F.col("j")
+    links = table(spark, sf, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j")).select(
+        node.alias("node"), (node - 1).alias("parent"))
+    return descend(links.where("node > 0"), links.where("node = 0").select(F.col("node").alias("root"))).select("node", "depth")
+
+
+# a customer points at up to two others; several ways lead to many of them, some in circles
+_WAYS = ("SELECT c_custkey AS a, (c_custkey * 3 + 1) % 1009 AS b FROM customer WHERE c_acctbal > 0 "
+         "UNION ALL SELECT c_custkey, c_custkey + 37 FROM customer WHERE c_mktsegment <> 'BUILDING'")
+
+
+@query("rl15_reachable_in_cycles",
+       f"WITH RECURSIVE ways AS ({_WAYS}), "
+       "found(id, depth) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey < 3 UNION SELECT w.b, f.depth + 1 FROM found f JOIN ways w ON w.a = f.id WHERE f.depth < 400) "
+       "SELECT id, min(depth) AS depth FROM found GROUP BY id")
+def _(spark, sf):
+    """Everything that links lead to from three customers, with the least number of links; links run in circles."""
+    ways = checkpoint(spark.sql(_WAYS.replace("customer", "{customer}"), customer=table(spark, sf, "customer")))
+    seed = table(spark, sf, "customer").where("c_custkey < 3").select(F.col("c_custkey").alias("id"), F.lit(0).alias("depth"))
+    return fixpoint(seed, lambda new: new.join(ways, F.col("id") == F.col("a")).select(F.col("b").alias("id"), (F.col("depth") + 1).alias("depth")), ["id"])
+
+
 @query("rl16_rank_pivot",
        "WITH r AS (SELECT o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) "
        "SELECT o_orderpriority, count(*) FILTER (rn = 1) AS rank_1, count(*) FILTER (rn = 2) AS rank_2, count(*) FILTER (rn = 5) AS rank_5 "

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..sources import (append, bad_cells, export_csv, load_csv_folder, load_csv_typed, row_hash, schema_from_ddl, stamp_audit,
-                       write_targets)
+                       write_targets, write_targets_staged)
 from ..sources.definitions import check_path, read_metric_defs
 from .base import DEFS_SQL, derived_defs, query, scratch, table
 
@@ -45,6 +45,18 @@ def _(spark, sf):
     return both.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
+@query("io06_many_targets",
+       "SELECT CAST(o_custkey % 200 AS INT) AS target, o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1, 2")
+def _(spark, sf):
+    # two hundred targets, written twice, each partitioned; half of the orders first
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_custkey") % 200).cast("string").alias("target_table"))
+    place = scratch(spark, "many")
+    routes = {str(i): f"{place}/target={i}" for i in range(200)}
+    for part in (orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 <> 0")):
+        write_targets_staged(part, routes, ["o_orderstatus"])
+    return spark.read.parquet(place).groupBy("target", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
 @query("io07_csv_typed", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, c_acctbal > 0 AS rich FROM customer")
 def _(spark, sf):
     customers = table(spark, sf, "customer").withColumns({

@@ -46,6 +46,27 @@ def _(spark, sf):
     return C.dedupe_last(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey"])
 
 
+def _releases(spark, sf):
+    """The orders in three environments that differ in a few rows."""
+    base = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    second = base.where("o_orderkey % 701 <> 3").withColumn("o_orderstatus", F.when(F.expr("o_orderkey % 997 = 5"), "X").otherwise(F.col("o_orderstatus")))
+    third = base.withColumn("o_orderpriority", F.when(F.expr("o_orderkey % 997 <> 5"), F.col("o_orderpriority")))
+    return {"bld": base, "int": second, "pre": third}
+
+
+_DIGESTS = (
+    "WITH diff AS (SELECT o_orderkey, 'o_orderstatus' AS attribute, 'bld' AS left_env, o_orderstatus AS left_value, 'int' AS right_env, 'X' AS right_value FROM orders WHERE o_orderkey % 997 = 5 AND o_orderkey % 701 <> 3 "
+    "UNION ALL SELECT o_orderkey, 'o_orderpriority', 'bld', o_orderpriority, 'pre', '<MISSING KEY>' FROM orders WHERE o_orderkey % 997 = 5 AND o_orderkey % 701 <> 3) "
+    "SELECT o_orderkey, 'DIFFERENT' AS status, '' AS missing_in, attribute, left_env, left_value, right_env, right_value FROM diff "
+    "UNION ALL SELECT o_orderkey, 'MISSING', 'int', NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 701 = 3 "
+    "UNION ALL SELECT o_orderkey, 'EQUAL', '', NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 701 <> 3 AND o_orderkey % 997 <> 5")
+
+
+@query("cp1_compare_by_digest", _DIGESTS)
+def _(spark, sf):
+    return C.compare_by_digest(_releases(spark, sf), ["o_orderkey"], unique_keys=True)
+
+
 @query("sy2_children_of_parents", "SELECT (SELECT count(*) FROM orders) AS n, 0::BIGINT AS orphans, true AS spread")
 def _(spark, sf):
     parents = table(spark, sf, "customer").select("c_custkey")
@@ -69,6 +90,38 @@ def _(spark, sf):
                     (F.abs(empty - share) < 5 * (share * (1 - share) / n) ** 0.5 + 0.0001).alias("nulls_as_measured"), (F.count("price") == F.count(F.lit(1))).alias("required_filled"))
 
 
+# what the synthetic orders are held to: NULLs, bounds and tenths of a number, of dates, and shares of a text column
+_LIKE_CUTS = [i / 10 for i in range(1, 10)]
+
+
+def _like_checks(made, given, n):
+    """Per column whether made rows follow the given ones, within five standard errors and the sketch's error."""
+    near = 5 * (0.25 / n) ** 0.5 + 0.01
+    days, price = F.unix_micros(F.col("o_orderdate").cast("timestamp")), F.col("o_totalprice")
+    # the share of made values up to each tenth of the given ones
+    cuts = given.agg(F.percentile(price, _LIKE_CUTS).alias("p"), F.percentile(days, _LIKE_CUTS).alias("d"), F.min(price).alias("low"), F.max(price).alias("high")).first()
+    share = lambda flag: F.avg(flag.cast("int"))
+
+    def follows(value, bounds):
+        return F.array_max(F.array(*[F.abs(share(value <= b) / share(value.isNotNull()) - at) for at, b in zip(_LIKE_CUTS, bounds)])) < near
+
+    wanted = dict(given.where("o_orderpriority IS NOT NULL").groupBy("o_orderpriority").count().collect())
+    total = sum(wanted.values())
+    parts = [F.abs(F.count_if(F.col("o_orderpriority") == name) / F.count("o_orderpriority") - count / total) < near for name, count in wanted.items()]
+    gone = given.agg(share(F.col("o_orderpriority").isNull())).first()[0]
+    return made.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("order_ids"), follows(price, cuts["p"]).alias("prices"), follows(days, cuts["d"]).alias("dates"),
+                    ((F.min(price) >= cuts["low"]) & (F.max(price) <= cuts["high"])).alias("bounds"), F.forall(F.array(*parts), lambda ok: ok).alias("shares"),
+                    (F.abs(share(F.col("o_orderpriority").isNull()) - gone) < near).alias("nulls"))
+
+
+@query("sy1_orders_like_given", "SELECT count(*) AS n, count(*) AS order_ids, true AS prices, true AS dates, true AS bounds, true AS shares, true AS nulls FROM orders")
+def _(spark, sf):
+    # the priority is empty where it is the lowest one
+    given = table(spark, sf, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    n = given.count()
+    return _like_checks(S.synth_like(spark, S.profile(given), n, seed=8, key="o_orderkey"), given, n)
+
+
 _LINKS = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
           ("supplier", "s_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey")]
 
