@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import compare as C
 from tidemark.operators import synth as S
-from tidemark.operators.recursion import descend, fixpoint
+from tidemark.operators.recursion import descend, fixpoint, unroll
+from tidemark.queries import QUERIES
 from tidemark.sources import write_targets_staged
 
 
@@ -41,6 +42,23 @@ def test_descend_chain_branches_cycles_and_inner_roots(spark, rows):
     assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
 
 
+def test_unroll_keeps_repeated_rows_and_refuses_circles(spark, rows):
+    links = spark.createDataFrame([(0, 1), (0, 2), (1, 3), (2, 3), (3, 4), (3, 4), (None, 9), (9, None)], "a int, b int")
+    step = lambda new: new.join(links, new.id == links.a).select(F.col("b").alias("id"), (F.col("depth") + 1).alias("depth"))
+    found = unroll(spark.createDataFrame([(0, 0), (None, 0)], "id int, depth int"), step)
+    assert rows(found) == rows(spark.createDataFrame([(0, 0), (None, 0), (1, 1), (2, 1)] + [(3, 2)] * 2 + [(4, 3)] * 4, "id int, depth int"))
+    assert unroll(spark.createDataFrame([], "id int, depth int"), step).count() == 0
+    ring = spark.createDataFrame([(0, 1), (1, 0)], "a int, b int")
+    with pytest.raises(ValueError, match="after 5 rounds"):
+        unroll(spark.createDataFrame([(0,)], "id int"), lambda new: new.join(ring, new.id == ring.a).select(F.col("b").alias("id")), max_rounds=5)
+
+
+def test_recursion_over_more_rows_than_sparks_own_limit(spark, tmp_path):
+    spark.range(1_000_100).withColumnRenamed("id", "p_partkey").write.parquet(str(tmp_path / "part.parquet"))
+    found = sorted(tuple(r) for r in QUERIES["rl15_recursive_cte"](spark, str(tmp_path)).collect())
+    assert sum(r[1] for r in found) == 1_000_100 and found[:3] == [(0, 1, 0), (1, 8, 8), (2, 64, 72)] and found[-1][2] == 1_000_099
+
+
 def _sides(spark):
     base = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("v"), F.when(F.col("id") % 3 == 0, "x").alias("w"))
     other = base.where("k <> 17").withColumn("v", F.when(F.col("k") == 99, "new").otherwise(F.col("v"))).withColumn("extra", F.when(F.col("k") == 5, "e"))

@@ -33,12 +33,7 @@ def fixpoint(seed: DataFrame, step: Callable[[DataFrame], DataFrame], key: Seque
         best = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__best"))
         return best.select(*key, "__best.*").select(*columns)
 
-    def written(df: DataFrame, number: int) -> tuple[DataFrame, int]:
-        seen, path = Observation(), f"{folder}/round={number}"
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-        return spark.read.schema(seed.schema).parquet(path), seen.get["n"]
-
-    fresh, n = written(one_per_key(seed), 0)
+    fresh, n = _written(one_per_key(seed), seed, f"{folder}/round=0")
     number = 0
     while n:
         number += 1
@@ -47,10 +42,35 @@ def fixpoint(seed: DataFrame, step: Callable[[DataFrame], DataFrame], key: Seque
         candidates = checkpoint(one_per_key(step(fresh)))
         known = spark.read.schema(seed.schema).parquet(*[f"{folder}/round={i}" for i in range(number)]).select(*key)
         met = _match(known, candidates.select(*key), key, "left_semi")
-        fresh, n = written(_match(candidates, met, key, "left_anti").select(*columns), number)
+        fresh, n = _written(_match(candidates, met, key, "left_anti").select(*columns), seed, f"{folder}/round={number}")
+    return spark.read.schema(seed.schema).parquet(*[f"{folder}/round={i}" for i in range(number + 1)])
+
+
+def unroll(seed: DataFrame, step: Callable[[DataFrame], DataFrame], max_rounds: int | None = None) -> DataFrame:
+    """All rows of ``seed`` and of every round of ``step``, repeated rows included: ``WITH RECURSIVE`` by UNION ALL.
+
+    ``step`` gets the rows of the round before and returns rows of the same columns; the recursion ends with a round
+    without rows, so links that run in circles need ``max_rounds`` (more rounds are an error; nothing is cut off) or
+    ``fixpoint``. Neither rows nor levels have a bound of their own. Every round is written to a folder of its own in
+    the shared scratch folder: what a round reads is the round before and whatever ``step`` joins.
+    """
+    spark, folder, number = seed.sparkSession, scratch_folder(seed.sparkSession, "unroll"), 0
+    fresh, n = _written(seed, seed, f"{folder}/round=0")
+    while n:
+        number += 1
+        if max_rounds is not None and number > max_rounds:
+            raise ValueError(f"new rows after {max_rounds} rounds")
+        fresh, n = _written(step(fresh).select(*seed.columns), seed, f"{folder}/round={number}")
     return spark.read.schema(seed.schema).parquet(*[f"{folder}/round={i}" for i in range(number + 1)])
 
 
+def _written(df: DataFrame, seed: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """``df`` written and read again with the columns of ``seed``, and its number of rows, from one job."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(seed.schema).parquet(path), seen.get["n"]
+
+
 def _match(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
     """Rows of ``left`` with (or without) an equal key in ``right``; NULLs are equal."""
     there = right.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(key)])
