@@ -198,3 +198,29 @@ def test_dense_index_has_no_gaps(spark):
     df = spark.range(0, 1000, 7).repartition(6).withColumnRenamed("id", "k")
     got = S.dense_index(df, "k").collect()
     assert sorted(r[S.ROW] for r in got) == list(range(143)) and [r.k for r in sorted(got, key=lambda r: r[S.ROW])] == list(range(0, 1000, 7))
+
+
+def test_exact_quantiles_are_those_of_percentile(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 11 > 0, F.pmod(F.hash("id"), F.lit(700)) / 7).alias("v"))
+    marks = [0.0, 0.1, 0.25, 0.5, 0.777, 0.99, 1.0]
+    assert S.exact_quantiles(df, F.col("v"), marks) == pytest.approx(df.agg(F.percentile("v", marks)).first()[0])
+    assert S.exact_quantiles(df.where("v < 0"), F.col("v"), marks) is None
+    assert S.exact_quantiles(spark.range(2), F.col("id"), [0.5]) == [0.5]
+
+
+def test_profiles_and_made_rows_are_dealt_over_tasks(spark):
+    def widest(job, group):
+        spark.sparkContext.setJobGroup(group, group)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            job()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        return max(s.numTasks for s in stages if s)
+
+    one = spark.range(0, 20000, 1, 1)
+    assert widest(lambda: S.profile(one), "profile") > 1
+    assert S.synth_like(spark, S.profile(one), 9_000_000, key="id").rdd.getNumPartitions() > 8

@@ -4,6 +4,7 @@ Rows need no shared counter and no driver loop, and come out the same under any
 """
 
 import datetime as dt
+import math
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -17,6 +18,8 @@ from ..sources.ddl import schema_from_ddl
 from .rules import orphans
 
 ROW = "__row"
+#: Rows a task makes at most, so that tasks grow in number and not in length.
+_TASK_ROWS = 1 << 19
 
 # Name patterns that hint at the kind of value, and small value sets.
 _HINTS = [
@@ -29,6 +32,12 @@ _COUNTRIES = ["GB", "IN", "US", "DE", "FR"]
 _CURRENCIES = ["GBP", "INR", "USD", "EUR"]
 
 
+def _numbered(spark: SparkSession, n: int) -> DataFrame:
+    """``n`` row numbers; what is drawn from them does not depend on the partitions."""
+    parts = max(spark.sparkContext.defaultParallelism, -(-n // _TASK_ROWS))
+    return spark.range(0, n, 1, parts).withColumnRenamed("id", ROW)
+
+
 def _hash(seed: int, name: str) -> Column:
     return F.xxhash64(F.lit(seed), F.lit(name), F.col(ROW))
 
@@ -112,7 +121,7 @@ def synth_table(spark: SparkSession, ddl: Sequence[Mapping], n: int, seed: int =
     ``null_rate`` empties that share of each nullable column; REQUIRED columns, keys and defaults
     never are. ``keep_row`` keeps the row number ``__row``, which children draw on.
     """
-    rows = spark.range(n).withColumnRenamed("id", ROW)
+    rows = _numbered(spark, n)
     table = _fill(rows, ddl, seed, key, day, defaults or {}, null_rate, (), start)
     return table if keep_row else table.drop(ROW)
 
@@ -144,7 +153,7 @@ def synth_children(parents: Mapping[str, tuple[DataFrame, str]], ddl: Sequence[M
     ``parents`` maps a child column to a parent table and its column. A parent has zero to many
     children. Draws are spread evenly by hash, so no parent value is hot.
     """
-    rows = (spark or SparkSession.active()).range(n).withColumnRenamed("id", ROW)
+    rows = _numbered(spark or SparkSession.active(), n)
     for column, (parent, parent_key) in parents.items():
         pool = parent.select(F.col(parent_key).alias(column)).where(F.col(column).isNotNull()).distinct()
         indexed = dense_index(pool, column).withColumnRenamed(ROW, "__draw")
@@ -201,6 +210,7 @@ def _number(field: T.StructField) -> Column | None:
 def profile(df: DataFrame, quantiles: int = 100, frequent: int = 200) -> list[ColumnProfile]:
     """Null rates, quantile sketches of numbers and dates, and frequent values of the others, from one scan.
 
+    Rows are dealt out evenly first: sketches cost far more than reading, and a file of few row groups is read by few tasks.
     What reaches the driver is one row of ``quantiles`` + 1 numbers or ``frequent`` values per column. Sketches merge
     before the shuffle; their rank error is a tenth of the distance of two quantiles. Values that are not among the
     frequent ones of a text column (more distinct than ``frequent``, such as names) are drawn freely instead. Columns
@@ -217,7 +227,7 @@ def profile(df: DataFrame, quantiles: int = 100, frequent: int = 200) -> list[Co
         elif isinstance(f.dataType, (T.StringType, T.BooleanType)):
             quoted = f.name.replace("`", "``")
             asked.append(F.expr(f"approx_top_k(CAST(`{quoted}` AS STRING), {frequent}, {20 * frequent})").alias(f"t{i}"))
-    found = df.agg(*asked).first()
+    found = df.hint("rebalance").agg(*asked).first()
     profiles = []
     for i, f in enumerate(df.schema):
         filled = found[f"c{i}"]
@@ -229,6 +239,32 @@ def profile(df: DataFrame, quantiles: int = 100, frequent: int = 200) -> list[Co
     return profiles
 
 
+def exact_quantiles(df: DataFrame, value: Column, marks: Sequence[float]) -> list[float] | None:
+    """The quantiles ``percentile`` gives, interpolated between neighbours, of values no task sees all of.
+
+    Values are counted, the distinct ones range-partitioned, and ranks follow from one sum per range. Only the values
+    at the asked ranks reach the driver. None without values.
+    """
+    distinct = df.select(value.cast("double").alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    placed = checkpoint(distinct.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    sizes = placed.groupBy("part").agg(F.sum("n").alias("rows"))
+    total = sizes.agg(F.sum("rows")).first()[0]
+    if total is None:
+        return None
+    places = [mark * (total - 1) for mark in marks]
+    ranks = sorted({rank for place in places for rank in (math.floor(place), math.ceil(place))})
+    # a running sum over one row per range
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"), "rows")
+    asked = offsets.select("part", "offset", F.explode(F.lit(ranks).cast("array<bigint>")).alias("rank"), "rows").where("rank >= offset AND rank < offset + rows")
+    ranges = asked.groupBy("part").agg(F.first("offset").alias("offset"), F.collect_list("rank").alias("ranks"))
+    upto = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.join(F.broadcast(ranges), "part").withColumn("upto", F.col("offset") + F.sum("n").over(upto))
+    met = summed.withColumn("rank", F.explode(F.filter("ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))))
+    at = dict(met.select("rank", "v").collect())
+    return [at[math.floor(p)] if p == math.floor(p) else (math.ceil(p) - p) * at[math.floor(p)] + (p - math.floor(p)) * at[math.ceil(p)] for p in places]
+
+
 def _drawn(p: ColumnProfile, seed: int, day: dt.date) -> Column:
     """A value by inverse distribution function, repeatable per row."""
     f, t = p.field, p.field.dataType
@@ -263,7 +299,7 @@ def synth_like(spark: SparkSession, profiles: Sequence[ColumnProfile], n: int, s
     Quantile bounds, null rates and shares of frequent values are those of the given table; columns are independent of
     each other. Every value is a function of seed, column and row number, so a repeated task makes the same rows.
     """
-    rows = spark.range(n).withColumnRenamed("id", ROW)
+    rows = _numbered(spark, n)
     columns = []
     for p in profiles:
         if p.field.name == key:
