@@ -110,6 +110,28 @@ def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
     assert totals[1] <= 2.4 * totals[0] and totals[1] < 400 * 399 / 2 / 3, totals
 
 
+def test_what_a_hub_alone_lost_costs_no_pairs(spark, monkeypatch):
+    """Unlike copies of one text: each lacks words of it that nearly all others hold, the hub too."""
+    met, plain = [], N._meet
+
+    def counted(beside):
+        out = plain(beside)
+        met.append((out.count(), beside.count()))
+        return out
+
+    monkeypatch.setattr(N, "_meet", counted)
+    rng, base, rows = random.Random(9), ["w%d" % i for i in range(300)], []
+    for n in range(200):
+        copy = list(base)
+        for at in rng.sample(range(300), 12):
+            copy[at] = "x%d" % rng.randrange(10 ** 9)
+        rows.append((n, " ".join(copy)))
+    # near copies of two of them, by words that no other text holds
+    rows += [(200 + n, rows[n][1] + " end of it %d" % n) for n in (3, 150)]
+    assert {r.doc_id for r in stage(spark, rows).collect()} == brute(rows)
+    assert len(met) == 1 and met[0][0] <= N.OFTEN * met[0][1] and met[0][0] < 100_000, met
+
+
 def test_lower_similarity_is_refused(spark):
     with pytest.raises(ValueError):
         N.groups(spark.createDataFrame([], "doc_id int, text string"), similarity=0.7)

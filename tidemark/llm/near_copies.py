@@ -13,8 +13,9 @@ round costs one comparison per member. Rounds end when the pairs left are few or
 decided by what members share outside their band's first hub: two members of sizes m and n are alike only when they share
 ``s / (1 + s) * (m + n)`` shingles, no more of them inside the hub than each shares with it. So a member unlike the hub can
 only be alike to members that are small enough for that, or that share shingles with it which the hub lacks; the
-former are found by band and size, the latter by hub and shingle. Edits made apart share no shingles, so this stays
-linear for copies of one text; only shingles that many members of different groups share beside their hub cost pairs.
+former are found by band and size, the latter by hub and shingle. A hub is an edited copy itself, so what it alone lost all
+others share: shingles that more than ``OFTEN`` members hold are counted as if the hub had them, since the bound above holds
+for any set put in the hub's place. So a shingle that a member has beside that set meets at most ``OFTEN`` others.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from .components import components
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 4
+#: Holders of a shingle beside a hub, up to which they are met with each other.
+OFTEN = 16
 _SEED = 42
 #: Slack for the last bits of a quotient: far below the difference of two unequal similarities of sets in memory.
 _ROUNDING = 1e-12
@@ -109,24 +112,35 @@ def _round(members: DataFrame, sets: DataFrame, number: int) -> tuple[DataFrame,
     return seen.withColumn("last", F.col("hub_root")).select(members.columns), found
 
 
+def _meet(beside: DataFrame) -> DataFrame:
+    """Rows ``a, b`` of one shingle beside a hub: of unlike roots, one of them unlike the hub."""
+    met = "a.hub = b.hub AND a.shingle = b.shingle AND a.root <> b.root AND (NOT b.apart OR a.node < b.node)"
+    return beside.where("apart").alias("a").join(beside.alias("b"), F.expr(met))
+
+
 def _left(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``u, v`` of unlike roots that can still be alike, judged by what they share with the first hub of a band."""
     reach = (1 + similarity) / similarity
     roots = members.where("node = hub").select("band", F.col("root").alias("hub_root"))
-    own = materialise(members.join(roots, "band").withColumn("apart", F.col("root") != F.col("hub_root"))
+    own = materialise(members.join(roots, "band").withColumn("apart", F.col("root") != F.col("hub_root")).drop("hub_root"), "left")
+    held = own.groupBy("hub", "node").agg(*[F.first(c).alias(c) for c in ("n", "root", "common")], F.max("apart").alias("apart"))
+    both = held.join(sets.withColumnRenamed("hashes", "own"), "node").join(sets.select(F.col("node").alias("hub"), F.col("hashes").alias("its")), "hub")
+    beside = materialise(both.select("hub", "node", "n", "root", "common", "apart", F.explode(F.array_except("own", "its")).alias("shingle")), "beside")
+    kinds = beside.groupBy("hub", "shingle").agg(F.count("*").alias("held"), F.min("root").alias("low"), F.max("root").alias("high"), F.max("apart").alias("any"))
+    mixed = kinds.where("low <> high AND any").select("hub", "shingle", (F.col("held") > OFTEN).alias("often"))
+    beside = materialise(beside.join(mixed, ["hub", "shingle"]), "mixed")
+    more = materialise(beside.where("often").groupBy("hub", "node").agg(F.count("*").alias("more")), "centre")
+
+    common = F.col("common") + F.coalesce("more", F.lit(0))
+    own = materialise(own.join(more, ["hub", "node"], "left").withColumn("common", common).drop("more")
                       .withColumn("most", F.floor(F.least(F.col("n") / similarity, F.col("common") * reach - F.col("n")) + 1e-9))
-                      .withColumn("least", F.ceil(F.col("n") * similarity - 1e-9)), "left")
+                      .withColumn("least", F.ceil(F.col("n") * similarity - 1e-9)), "bounds")
     pair = [F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")]
     fitting = own.where("apart AND least <= most").withColumn("size", F.explode(F.sequence("least", "most")))
     small = fitting.alias("a").join(own.alias("b"), F.expr("a.band = b.band AND a.size = b.n AND a.root <> b.root AND b.most >= a.n")).select(*pair)
 
-    held = own.groupBy("hub", "node").agg(*[F.first(c).alias(c) for c in ("n", "root", "common")], F.max("apart").alias("apart"))
-    both = held.join(sets.withColumnRenamed("hashes", "own"), "node").join(sets.select(F.col("node").alias("hub"), F.col("hashes").alias("its")), "hub")
-    beside = materialise(both.select("hub", "node", "n", "root", "common", "apart", F.explode(F.array_except("own", "its")).alias("shingle")), "beside")
-    mixed = beside.groupBy("hub", "shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("apart").alias("any")).where("low <> high AND any")
-    beside = materialise(beside.join(mixed.select("hub", "shingle"), ["hub", "shingle"], "left_semi"), "mixed")
-    met = beside.where("apart").alias("a").join(beside.alias("b"), F.expr("a.hub = b.hub AND a.shingle = b.shingle AND a.root <> b.root AND (NOT b.apart OR a.node < b.node)"))
-    counted = met.groupBy("a.hub", "a.node", "b.node").agg(F.count("*").alias("shared"), F.first(F.col("a.n") + F.col("b.n")).alias("total"),
+    rare = beside.where("NOT often").join(more, ["hub", "node"], "left").withColumn("common", common)
+    counted = _meet(rare).groupBy("a.hub", "a.node", "b.node").agg(F.count("*").alias("shared"), F.first(F.col("a.n") + F.col("b.n")).alias("total"),
                                                            F.first(F.least("a.common", "b.common")).alias("inside"))
     enough = counted.where(F.col("shared") + F.col("inside") >= F.col("total") / reach - 1e-9)
     return small.unionByName(enough.select(*pair)).distinct()
@@ -173,7 +187,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simi
     last = _distances(_left(members, sets, similarity), sets)
     more = materialise(last.where(F.col("far") <= 1 - similarity + _ROUNDING).select("u", "v"), "links")
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        # only groups are linked further, not their members once more
+        ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv"]
+        between = more.join(ends[0], "u", "left").join(ends[1], "v", "left").select(F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v"))
+        joined = components(between).select(F.col("node").alias("old"), F.col("root").alias("new"))
+        named = rows.join(roots, "node", "left").withColumn("old", F.coalesce("root", "node")).drop("root")
+        return named.join(joined, "old", "left").select("id", "key", F.coalesce("new", "old").alias("root"))
     return rows.join(roots, "node", "left").select("id", "key", F.coalesce("root", "node").alias("root"))
 
 
