@@ -42,3 +42,27 @@ def near_indices(words: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.nd
     fresh[:, 1:] = found[:, 1:] != found[:, :-1]
     rows, cols = np.nonzero(fresh)
     return rows, found[rows, cols]
+
+
+@cache
+def _half() -> np.ndarray:
+    """The codewords of index below 2048 as columns of +1 and -1; the others are their complements."""
+    words = np.arange(1 << 11) << 11
+    words ^= _syndrome(words)
+    return np.ascontiguousarray(((words[None, :] >> np.arange(BITS)[:, None]) & 1) * 2 - 1).astype(np.float32)
+
+
+def nearest(values: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and correlations of the ``count`` codewords nearest to rows of 23 real values, the nearest first.
+
+    This is soft decoding: a value near zero, whose sign a small change turns, weighs little.
+    """
+    found = values.astype(np.float32) @ _half()
+    strong = np.abs(found).reshape(len(values), 16, 128)
+    # the largest lie in the columns of the largest maxima
+    cols = np.argpartition(strong.max(axis=1), -count, axis=1)[:, -count:]
+    at = (np.arange(16)[None, :, None] * 128 + cols[:, None, :]).reshape(len(values), -1)
+    among = np.take_along_axis(found, at, 1)
+    order = np.argsort(-np.abs(among), axis=1)[:, :count]
+    at, score = np.take_along_axis(at, order, 1), np.take_along_axis(among, order, 1)
+    return np.where(score > 0, at, at ^ 4095), np.abs(score)

@@ -1,21 +1,25 @@
-"""Near copies by Jaccard similarity of word shingles.
-
-MinHash values over the distinct five-word shingles of a text are cut into bands; texts that share a band
-are candidates. Two texts of similarity J share none of ``BANDS`` bands of ``ROWS`` values with probability
-``(1 - J ** ROWS) ** BANDS``: 4e-7 at the threshold of 0.8, less above it. (A 64-bit SimHash differs by about
-ten bits there, more than code keys of a selective size can bridge.) Candidates are confirmed by the exact
+"""Near copies by Jaccard similarity of word shingles, proposed by a wide SimHash under Golay keys.
+
+A SimHash over the distinct five-word shingles of a text counts, per bit of their hashes, ones against zeros. At a
+similarity of 0.8 some 0.15 of the bits differ, too many for the equal segments and single errors that `simhash` allows
+for. So the hash has ``2 * TABLES`` segments of 23 bits, and each is decoded to Golay codewords by its counts, not by their
+signs alone: a count near zero is the one an edit turns. Two segments make a table; its keys are the ``PROBES`` pairs of codewords
+nearest to the counts. Two texts at 0.8 share no key of a table with probability 0.42 at most (simulated, sets of 4 to 270 shingles), of
+``TABLES`` tables with 1e-6, less above it. Texts meet when they share a key, their first 128 bits differ in ``FAR`` at most, and, among
+those left by that, their sizes fit and all bits differ in ``FAR_ALL`` at most; either bound loses 1e-6 of the pairs at 0.8 at worst. Who meets
+nobody under a key leaves it before texts are compared; a band is what stays of a key. Candidates are confirmed by the exact
 similarity of their sets of 64-bit shingle hashes, and confirmed pairs are closed to groups.
 
-Texts of one set of shingles are one node. In rounds, each band compares all its members with one of them, its hub: first
-the one that shares most bands, in a group of edited copies most likely what they were made from, then one that no hub has
-reached. Links found are closed to groups between rounds, and a band is done when its members are one group. So a
+Texts of one set of shingles are one node. The nodes of a band are first compared with its centre, which most bands of a group have in common: a
+node that shares most bands, in a group of edited copies most likely what they were made from. Then, in rounds, each band compares all
+its members with one of them, its hub: first the one that shares most bands, then one that no hub has reached. Links found are closed to groups between rounds, and a band is done when its members are one group. So a
 round costs one comparison per member. Rounds end when the pairs left are few or no longer fall by half. What is left is
-decided by what members share outside their band's first hub: two members of sizes m and n are alike only when they share
-``s / (1 + s) * (m + n)`` shingles, no more of them inside the hub than each shares with it. So a member unlike the hub can
-only be alike to members that are small enough for that, or that share shingles with it which the hub lacks; the
-former are found by band and size, the latter by hub and shingle. A hub is an edited copy itself, so what it alone lost all
-others share: shingles that more than ``OFTEN`` members hold are counted as if the hub had them, since the bound above holds
-for any set put in the hub's place. So a shingle that a member has beside that set meets at most ``OFTEN`` others.
+decided by what members share outside their centre: two members of sizes m and n are alike only when they share
+``s / (1 + s) * (m + n)`` shingles, no more of them inside the centre than each shares with it. So a member unlike the centre can
+only be alike to members that are small enough for that, or that share shingles with it which the centre lacks; the
+former are found by band and size, the latter by centre and shingle. A centre is an edited copy itself, so what it alone lost all
+others share: shingles that more than ``OFTEN`` members hold are counted as if the centre had them, since the bound above holds
+for any set put in the centre's place. So a shingle that a member has beside that set meets at most ``OFTEN`` others.
 """
 
 from __future__ import annotations
@@ -28,18 +32,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import golay
 from .common import first_rows, materialise, row_key, shingle_hashes, small_batches, texts
 from .components import components
 
 WIDTH = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 28, 4
-#: Holders of a shingle beside a hub, up to which they are met with each other.
+TABLES, PROBES = 16, 8
+#: Differing bits, of the first 128 and of all, up to which texts that share a key meet; sums over FEW shingles are often zero, and turn more bits.
+FAR, FAR_ALL, FAR_FEW, FEW = 46, 168, 200, 8
+#: Holders of a shingle beside a centre, up to which they are met with each other.
 OFTEN = 16
 _SEED = 42
 #: Slack for the last bits of a quotient: far below the difference of two unequal similarities of sets in memory.
 _ROUNDING = 1e-12
-_ODD = np.random.default_rng(23).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_WORDS = -(-2 * TABLES * golay.BITS // 64)
+_STEPS = np.arange(_WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: Added to the counts: decides between codewords that equal counts leave open, alike for all texts.
+_TIES = np.random.default_rng(23).uniform(-0.01, 0.01, 64 * _WORDS)
+#: Ranks of two codewords whose pair can be among the PROBES nearest.
+_RANKS = np.array([(i, j) for i in range(PROBES) for j in range(PROBES) if (i + 1) * (j + 1) <= PROBES]).T
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -47,13 +59,32 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(text.lower().split(), WIDTH, _SEED))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key per band of a set of shingle hashes."""
-    low = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(hashes), 512):
-        np.minimum(low, (hashes[at:at + 512, None] * _ODD[0] + _ODD[1]).min(axis=0), out=low)
-    raw, size = low.tobytes(), 8 * ROWS
-    return np.array([xxhash.xxh64_intdigest(raw[b * size:(b + 1) * size], b) for b in range(BANDS)], np.uint64).view(np.int64)
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """Ones less zeros per bit of the SimHash over a set of shingle hashes; its first 64 bits are those of the hashes themselves."""
+    ones = np.zeros(64 * _WORDS, np.int64)
+    for at in range(0, len(hashes), 255):  # as many as a byte counts
+        words = hashes[at:at + 255, None] + _STEPS
+        more = words[:, 1:]
+        more ^= more >> np.uint64(30)
+        more *= np.uint64(0xBF58476D1CE4E5B9)
+        more ^= more >> np.uint64(27)
+        more *= np.uint64(0x94D049BB133111EB)
+        more ^= more >> np.uint64(31)
+        bits = np.unpackbits(words.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return 2 * ones - len(hashes)
+
+
+def golay_keys(counts: np.ndarray) -> np.ndarray:
+    """``TABLES * PROBES`` keys per row of ``bit_counts``: a table's number and two codeword indices."""
+    values, keys = counts + _TIES, []
+    rows = np.arange(len(values))[:, None]
+    for table in range(TABLES):
+        at = 2 * table * golay.BITS
+        (x, near_x), (y, near_y) = (golay.nearest(values[:, s:s + golay.BITS], PROBES) for s in (at, at + golay.BITS))
+        best = np.argpartition(near_x[:, _RANKS[0]] + near_y[:, _RANKS[1]], -PROBES, axis=1)[:, -PROBES:]
+        keys.append(table << 24 | x[rows, _RANKS[0, best]] << 12 | y[rows, _RANKS[1, best]])
+    return np.concatenate(keys, axis=1)
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -62,16 +93,39 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, key, node, n, bands`` per row: the row's key, its set of shingles by digest and size, its band keys."""
+    """``id, key, node, n, bits, words`` per row: the row's key, its set of shingles by digest and size, its SimHash and its Golay keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             sets = [shingle_set(t) for t in texts(batch.column(2))]
             nodes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            counts = np.stack([bit_counts(s) for s in sets])
+            bits = np.packbits(counts > 0, axis=1, bitorder="little").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), nodes, pa.array([len(s) for s in sets], pa.int64()),
-                                              _lists([band_keys(s) for s in sets])], ["id", "key", "node", "n", "bands"])
+                                              _lists(list(bits)), _lists(list(golay_keys(counts).astype(np.int64)))], ["id", "key", "node", "n", "bits", "words"])
 
     rows = docs.select(docs[id_col].alias("id"), row_key(docs, id_col, text_col).alias("key"), docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, key bigint, node binary, n bigint, bands array<bigint>")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, key bigint, node binary, n bigint, bits array<bigint>, words array<bigint>")
+
+
+def _apart(bits: int) -> str:
+    """SQL for the number of differing bits in the first ``bits`` of two SimHashes."""
+    return " + ".join(f"bit_count(a.b{i} ^ b.b{i})" for i in range(bits // 64))
+
+
+def _bands(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``band, node, n, members``: nodes that meet others under a Golay key; keys under which the same ones meet are one band."""
+    # nodes go by a short tag and two words of their bits here, so that the many rows of keys stay small
+    named = nodes.select("node", "n", F.hash("node").alias("tag"), *[F.col("bits")[i].alias(f"b{i}") for i in range(_WORDS)])
+    keys = nodes.select(F.explode(F.col("words").cast("array<int>")).alias("band"), F.hash("node").alias("tag"), *[F.col("bits")[i].alias(f"b{i}") for i in range(2)])
+    meet = f"a.band = b.band AND a.tag <> b.tag AND {_apart(128)} <= {FAR}"
+    met = keys.alias("a").join(keys.alias("b"), F.expr(meet), "left_semi")
+    wide = materialise(met.join(named, ["tag", "b0", "b1"]), "wide")
+    fit = f"least(a.n, b.n) >= {similarity!r}D * greatest(a.n, b.n) - 1e-9"
+    near = f"{_apart(64 * _WORDS)} <= CASE WHEN least(a.n, b.n) < {FEW} THEN {FAR_FEW} ELSE {FAR_ALL} END"
+    spread = materialise(wide.alias("a").join(wide.alias("b"), F.expr(f"a.band = b.band AND a.node <> b.node AND {fit} AND {near}"), "left_semi").select("band", "node", "n"), "spread")
+    held = spread.groupBy("band").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"))
+    return spread.join(held.groupBy("members", "one", "two").agg(F.min("band").alias("band")).select("band", "members"), "band")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -100,6 +154,16 @@ def _open_pairs(members: DataFrame) -> tuple[int, int]:
     return int(found[0]), int(found[1])
 
 
+def _centres(members: DataFrame) -> DataFrame:
+    """``band, hub``: from the member of most degree, twice on to the one of most degree it shares a band with, so that most bands of a group agree."""
+    tops = members.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("top"))
+    above = materialise(members.join(tops, "band").groupBy(F.col("node").alias("hub")).agg(F.max("top").alias("above")), "above")
+    hubs = tops.select("band", F.col("top.node").alias("hub"))
+    for _ in range(2):
+        hubs = hubs.join(above, "hub").select("band", F.col("above.node").alias("hub"))
+    return hubs
+
+
 def _round(members: DataFrame, sets: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
     """One comparison of every member with its band's hub: the members with one more distance, and the distances."""
     fresh = F.struct((F.col("root") != F.col("last")).alias("other"), "degree", F.xxhash64("node", "band", F.lit(number)).alias("lot"), "node", "root")
@@ -107,22 +171,21 @@ def _round(members: DataFrame, sets: DataFrame, number: int) -> tuple[DataFrame,
     met = materialise(members.join(hubs.select("band", F.col("hub.node").alias("u"), F.col("hub.root").alias("hub_root")), "band"), "met")
     found = materialise(_distances(met.where("node <> u").select("u", F.col("node").alias("v")).distinct(), sets), "distances")
     seen = met.join(found.withColumnRenamed("v", "node").withColumnRenamed("far", "new"), ["u", "node"], "left").withColumn("used", F.col("used") | (F.col("node") == F.col("u")))
-    if number == 0:
-        seen = seen.withColumn("hub", F.col("u")).withColumn("common", F.coalesce("shared", "n"))
     return seen.withColumn("last", F.col("hub_root")).select(members.columns), found
 
 
 def _meet(beside: DataFrame) -> DataFrame:
-    """Rows ``a, b`` of one shingle beside a hub: of unlike roots, one of them unlike the hub."""
+    """Rows ``a, b`` of one shingle beside a centre: of unlike roots, one of them unlike the centre."""
     met = "a.hub = b.hub AND a.shingle = b.shingle AND a.root <> b.root AND (NOT b.apart OR a.node < b.node)"
     return beside.where("apart").alias("a").join(beside.alias("b"), F.expr(met))
 
 
-def _left(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``u, v`` of unlike roots that can still be alike, judged by what they share with the first hub of a band."""
+def _left(members: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``u, v`` of unlike roots that can still be alike, judged by what they share with their centre, the column ``hub``."""
     reach = (1 + similarity) / similarity
-    roots = members.where("node = hub").select("band", F.col("root").alias("hub_root"))
-    own = materialise(members.join(roots, "band").withColumn("apart", F.col("root") != F.col("hub_root")).drop("hub_root"), "left")
+    hubs = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    own = members.join(hubs, "hub", "left").withColumn("apart", F.col("root") != F.coalesce("hub_root", "hub")).drop("hub_root")
+    own = materialise(own, "left")
     held = own.groupBy("hub", "node").agg(*[F.first(c).alias(c) for c in ("n", "root", "common")], F.max("apart").alias("apart"))
     both = held.join(sets.withColumnRenamed("hashes", "own"), "node").join(sets.select(F.col("node").alias("hub"), F.col("hashes").alias("its")), "hub")
     beside = materialise(both.select("hub", "node", "n", "root", "common", "apart", F.explode(F.array_except("own", "its")).alias("shingle")), "beside")
@@ -158,25 +221,28 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simi
     """``id, key, root`` per row: ``key`` tells rows of one id and other texts apart, ``root`` names the group.
 
     Rows of a group are linked by steps of at least ``similarity``, which must not be below SIMILARITY, the
-    one the bands are laid out for. NULL and wordless texts are one group, long texts count whole. Without rows nothing is returned.
+    one the keys are laid out for. NULL and wordless texts are one group, long texts count whole. Without rows nothing is returned.
     """
     if similarity < SIMILARITY:
-        raise ValueError(f"the bands are laid out for similarities from {SIMILARITY} on")
+        raise ValueError(f"the keys are laid out for similarities from {SIMILARITY} on")
+    near = F.col("far") <= 1 - similarity + _ROUNDING
     rows = materialise(_signatures(docs, id_col, text_col), "signatures")
-    nodes = materialise(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("id", "key")).alias("row")), "nodes")
-    spread = materialise(nodes.select("node", "n", F.explode("bands").alias("band")), "bands")
-    sizes = spread.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    shared = materialise(spread.join(sizes, "band"), "shared")
+    nodes = materialise(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "bits", "words")], F.min(F.struct("id", "key")).alias("row")), "nodes")
+    shared = materialise(_bands(nodes, similarity), "shared")
     degrees = materialise(shared.groupBy("node").agg(F.sum("members").alias("degree")), "degrees")
     sets = materialise(_sets(docs, nodes.join(degrees, "node", "left_semi"), id_col, text_col), "sets")
 
-    members = shared.join(degrees, "node").select("band", "node", "n", "degree", F.col("node").alias("root"), F.lit(b"").alias("last"), F.lit(False).alias("used"),
-                                                  F.lit(b"").alias("hub"), F.col("n").alias("common"))
-    members, links, before, number = materialise(members, "open"), None, None, 0
+    members = shared.join(degrees, "node").select("band", "node", "n", "degree", F.col("node").alias("root"), F.lit(b"").alias("last"), F.lit(False).alias("used"))
+    members = materialise(members, "members")
+    members = materialise(members.join(_centres(members), "band"), "open")
+    found = materialise(_distances(members.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), sets), "distances")
+    links = found.where(near).select("u", "v")
+    common = found.select(F.col("u").alias("hub"), F.col("v").alias("node"), "shared")
+    members = members.join(common, ["hub", "node"], "left").withColumn("common", F.coalesce("shared", "n")).drop("shared")
+    before, number = None, 0
     while True:
         members, found = _round(members, sets, number)
-        near = found.where(F.col("far") <= 1 - similarity + _ROUNDING).select("u", "v")
-        links = near if links is None else links.unionByName(near)
+        links = links.unionByName(found.where(near).select("u", "v"))
         roots = components(links)
         members = _regroup(members, roots)
         n, pairs = _open_pairs(members)
@@ -184,8 +250,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simi
             break
         before, number = pairs, number + 1
 
-    last = _distances(_left(members, sets, similarity), sets)
-    more = materialise(last.where(F.col("far") <= 1 - similarity + _ROUNDING).select("u", "v"), "links")
+    more = materialise(_distances(_left(members, sets, roots, similarity), sets).where(near).select("u", "v"), "links")
     if not more.isEmpty():
         # only groups are linked further, not their members once more
         ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv"]
