@@ -143,3 +143,29 @@ def test_ids_that_repeat_with_unlike_texts(spark, keep_one):
     rows = [(5, a), (5, b), (3, b), (8, a), (9, a), (6, c), (6, a + " " + c), (6, c)]
     kept = sorted((r.doc_id, r.text) for r in keep_one(spark.createDataFrame(rows, "doc_id int, text string")).collect())
     assert kept == sorted([(5, a), (3, b), (6, c), (6, a + " " + c)])
+
+
+def test_sizes_that_fit_meet_by_two_classes_at_most(spark):
+    sizes = [*range(1, 60), 99, 100, 124, 125, 126, 799, 800, 1000, 1250, 1251, 15_624, 15_625, 19_999, 20_000]
+    fitting = spark.createDataFrame([(n, -(-4 * n // 5), 5 * n // 4, True) for n in sizes], "n int, least int, most int, apart boolean")
+    reached = N._reaching(fitting.withColumn("grade", N._grade("n"))).select("n", "grade").collect()
+    grades = {r.n: r.grade for r in fitting.select("n", N._grade("n").alias("grade")).collect()}
+    met = {(r.n, other) for r in reached for other in sizes if grades[other] == r.grade}
+    assert len(reached) <= 2 * len(sizes)
+    assert met >= {(a, b) for a in sizes for b in sizes if -(-4 * a // 5) <= b <= 5 * a // 4}
+
+
+def test_rows_by_band_are_written_twice_at_most(spark, monkeypatch):
+    """A node has up to TABLES * PROBES bands: rounds and regrouping go by leads."""
+    written, plain = [], N.materialise
+
+    def counted(df, name):
+        out = plain(df, name)
+        if "band" in out.columns and name not in ("wide", "spread"):
+            written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(N, "materialise", counted)
+    rows = unlike_hubs(100)
+    assert {r.doc_id for r in stage(spark, rows).collect()} == brute(rows)
+    assert written[0][0] == "shared" and sum(n for _, n in written) <= 2 * written[0][1], written

@@ -10,10 +10,11 @@ those left by that, their sizes fit and all bits differ in ``FAR_ALL`` at most;
 nobody under a key leaves it before texts are compared; a band is what stays of a key. Candidates are confirmed by the exact
 similarity of their sets of 64-bit shingle hashes, and confirmed pairs are closed to groups.
 
-Texts of one set of shingles are one node. The nodes of a band are first compared with its centre, which most bands of a group have in common: a
-node that shares most bands, in a group of edited copies most likely what they were made from. Then, in rounds, each band compares all
-its members with one of them, its hub: first the one that shares most bands, then one that no hub has reached. Links found are closed to groups between rounds, and a band is done when its members are one group. So a
-round costs one comparison per member. Rounds end when the pairs left are few or no longer fall by half. What is left is
+Texts of one set of shingles are one node. A node has up to ``TABLES * PROBES`` bands, so what need not be done by bands is done by leads: a band's lead is
+its node of the smallest hash, and the bands of one lead are fewer rows together. Nodes are first compared with the ``FIRST`` leads that they share most bands with
+and with a centre, which most leads of a group have in common: a node that shares most bands, in a group of edited copies most likely what they were made from. Links
+found are closed to groups. Then, in rounds, members are compared with one of a group unlike theirs, at first their lead, then another member by lead, and a lead is done
+when its members are one group. So a round costs one comparison per member and lead at most. Rounds end when the pairs left are few or no longer fall by half. What is left is
 decided by what members share outside their centre: two members of sizes m and n are alike only when they share
 ``s / (1 + s) * (m + n)`` shingles, no more of them inside the centre than each shares with it. So a member unlike the centre can
 only be alike to members that are small enough for that, or that share shingles with it which the centre lacks; the
@@ -24,12 +25,13 @@ for any set put in the centre's place. So a shingle that a member has beside tha
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import golay
@@ -43,6 +45,8 @@ TABLES, PROBES = 16, 8
 FAR, FAR_ALL, FAR_FEW, FEW = 46, 168, 200, 8
 #: Holders of a shingle beside a centre, up to which they are met with each other.
 OFTEN = 16
+#: Leads of a node, those of most bands with it, that it is compared with before the groups are known; with the others after that.
+FIRST = 16
 _SEED = 42
 #: Slack for the last bits of a quotient: far below the difference of two unequal similarities of sets in memory.
 _ROUNDING = 1e-12
@@ -114,7 +118,7 @@ def _apart(bits: int) -> str:
 
 
 def _bands(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``band, node, n, members``: nodes that meet others under a Golay key; keys under which the same ones meet are one band."""
+    """``band, node, n, members, lead``: nodes that meet others under a Golay key; keys under which the same ones meet are one band, its lead is one of them."""
     # nodes go by a short tag and two words of their bits here, so that the many rows of keys stay small
     named = nodes.select("node", "n", F.hash("node").alias("tag"), *[F.col("bits")[i].alias(f"b{i}") for i in range(_WORDS)])
     keys = nodes.select(F.explode(F.col("words").cast("array<int>")).alias("band"), F.hash("node").alias("tag"), *[F.col("bits")[i].alias(f"b{i}") for i in range(2)])
@@ -124,8 +128,10 @@ def _bands(nodes: DataFrame, similarity: float) -> DataFrame:
     fit = f"least(a.n, b.n) >= {similarity!r}D * greatest(a.n, b.n) - 1e-9"
     near = f"{_apart(64 * _WORDS)} <= CASE WHEN least(a.n, b.n) < {FEW} THEN {FAR_FEW} ELSE {FAR_ALL} END"
     spread = materialise(wide.alias("a").join(wide.alias("b"), F.expr(f"a.band = b.band AND a.node <> b.node AND {fit} AND {near}"), "left_semi").select("band", "node", "n"), "spread")
-    held = spread.groupBy("band").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"))
-    return spread.join(held.groupBy("members", "one", "two").agg(F.min("band").alias("band")).select("band", "members"), "band")
+    held = spread.groupBy("band").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+                                      F.min(F.struct(F.xxhash64("node").alias("lot"), "node")).alias("lead"))
+    keys = held.groupBy("members", "one", "two").agg(F.min("band").alias("band"), F.min("lead").alias("lead"))
+    return spread.join(keys.select("band", "members", F.col("lead.node").alias("lead")), "band")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -148,30 +154,29 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _open_pairs(members: DataFrame) -> tuple[int, int]:
-    """Members of the bands, and their pairs of unlike roots."""
-    own = members.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    """Members by lead, and their pairs of unlike roots."""
+    own = members.groupBy("lead", "root").agg(F.count("*").alias("n")).groupBy("lead").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
     found = own.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0))).first()
     return int(found[0]), int(found[1])
 
 
 def _centres(members: DataFrame) -> DataFrame:
-    """``band, hub``: from the member of most degree, twice on to the one of most degree it shares a band with, so that most bands of a group agree."""
-    tops = members.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("top"))
-    above = materialise(members.join(tops, "band").groupBy(F.col("node").alias("hub")).agg(F.max("top").alias("above")), "above")
-    hubs = tops.select("band", F.col("top.node").alias("hub"))
+    """``lead, hub``: from the member of most degree, twice on to the one of most degree it shares a lead with, so that most leads of a group agree."""
+    tops = members.groupBy("lead").agg(F.max(F.struct("degree", "node")).alias("top"))
+    above = materialise(members.join(tops, "lead").groupBy(F.col("node").alias("hub")).agg(F.max("top").alias("above")), "above")
+    hubs = tops.select("lead", F.col("top.node").alias("hub"))
     for _ in range(2):
-        hubs = hubs.join(above, "hub").select("band", F.col("above.node").alias("hub"))
+        hubs = hubs.join(above, "hub").select("lead", F.col("above.node").alias("hub"))
     return hubs
 
 
-def _round(members: DataFrame, sets: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-    """One comparison of every member with its band's hub: the members with one more distance, and the distances."""
-    fresh = F.struct((F.col("root") != F.col("last")).alias("other"), "degree", F.xxhash64("node", "band", F.lit(number)).alias("lot"), "node", "root")
-    hubs = members.where("NOT used").groupBy("band").agg(F.max(fresh).alias("hub"))
-    met = materialise(members.join(hubs.select("band", F.col("hub.node").alias("u"), F.col("hub.root").alias("hub_root")), "band"), "met")
-    found = materialise(_distances(met.where("node <> u").select("u", F.col("node").alias("v")).distinct(), sets), "distances")
-    seen = met.join(found.withColumnRenamed("v", "node").withColumnRenamed("far", "new"), ["u", "node"], "left").withColumn("used", F.col("used") | (F.col("node") == F.col("u")))
-    return seen.withColumn("last", F.col("hub_root")).select(members.columns), found
+def _round(members: DataFrame, sets: DataFrame, number: int) -> DataFrame:
+    """The distances of one comparison of members with another's group: at first with their leads, then with any member by lead, most likely one of its largest group."""
+    if not number:
+        return materialise(_distances(members.where("NOT first AND root <> lead_root").select(F.col("lead").alias("u"), F.col("node").alias("v")), sets), "distances")
+    hubs = members.groupBy("lead").agg(F.max(F.struct(F.xxhash64("node", "lead", F.lit(number)).alias("lot"), "node", "root")).alias("u"))
+    met = members.alias("a").join(hubs.alias("b"), F.expr("a.lead = b.lead AND a.root <> b.u.root"))
+    return materialise(_distances(met.select("u.node", F.col("a.node").alias("v")).toDF("u", "v").distinct(), sets), "distances")
 
 
 def _meet(beside: DataFrame) -> DataFrame:
@@ -180,7 +185,17 @@ def _meet(beside: DataFrame) -> DataFrame:
     return beside.where("apart").alias("a").join(beside.alias("b"), F.expr(met))
 
 
-def _left(members: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def _grade(size: str) -> Column:
+    """Class of a size; sizes that fit are of one class or of two that are next to each other."""
+    return F.floor(F.log(F.greatest(F.col(size), F.lit(1))) / math.log(SIMILARITY ** -2))
+
+
+def _reaching(fitting: DataFrame) -> DataFrame:
+    """The members unlike their centre, once for each class of sizes between their bounds: twice at most, whatever their size."""
+    return fitting.where("apart").withColumn("grade", F.explode(F.sequence(_grade("least"), _grade("most"))))
+
+
+def _left(members: DataFrame, shared: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``u, v`` of unlike roots that can still be alike, judged by what they share with their centre, the column ``hub``."""
     reach = (1 + similarity) / similarity
     hubs = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
@@ -199,8 +214,11 @@ def _left(members: DataFrame, sets: DataFrame, roots: DataFrame, similarity: flo
                       .withColumn("most", F.floor(F.least(F.col("n") / similarity, F.col("common") * reach - F.col("n")) + 1e-9))
                       .withColumn("least", F.ceil(F.col("n") * similarity - 1e-9)), "bounds")
     pair = [F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")]
-    fitting = own.where("apart AND least <= most").withColumn("size", F.explode(F.sequence("least", "most")))
-    small = fitting.alias("a").join(own.alias("b"), F.expr("a.band = b.band AND a.size = b.n AND a.root <> b.root AND b.most >= a.n")).select(*pair)
+    # whoever can be alike fits its own bounds
+    fitting = own.where("least <= most").select("lead", "node", "root", "apart", "least", "most", _grade("n").alias("grade"))
+    fitting = materialise(shared.select("band", "node", "n", "lead").join(fitting, ["lead", "node"]), "fitting")
+    fits = "a.band = b.band AND a.grade = b.grade AND b.n BETWEEN a.least AND a.most AND a.root <> b.root AND b.most >= a.n AND (NOT b.apart OR a.node < b.node)"
+    small = _reaching(fitting).alias("a").join(fitting.alias("b"), F.expr(fits)).select(*pair)
 
     rare = beside.where("NOT often").join(more, ["hub", "node"], "left").withColumn("common", common)
     counted = _meet(rare).groupBy("a.hub", "a.node", "b.node").agg(F.count("*").alias("shared"), F.first(F.col("a.n") + F.col("b.n")).alias("total"),
@@ -210,11 +228,12 @@ def _left(members: DataFrame, sets: DataFrame, roots: DataFrame, similarity: flo
 
 
 def _regroup(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of bands that still hold several groups, each with its root."""
-    own = members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    own = own.join(roots.select(F.col("node").alias("last"), F.col("root").alias("__last")), "last", "left").withColumn("last", F.coalesce("__last", "last")).drop("__last")
-    split = own.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    return materialise(own.join(split, "band", "left_semi"), "open")
+    """The members of leads that still hold several groups, each with its root."""
+    own = members.drop("root", "lead_root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = own.join(roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")), "lead", "left").withColumn("lead_root", F.coalesce("lead_root", "lead"))
+    own = materialise(own, "rooted")
+    split = own.groupBy("lead").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("lead")
+    return materialise(own.join(split, "lead", "left_semi"), "open")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -232,25 +251,26 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", simi
     degrees = materialise(shared.groupBy("node").agg(F.sum("members").alias("degree")), "degrees")
     sets = materialise(_sets(docs, nodes.join(degrees, "node", "left_semi"), id_col, text_col), "sets")
 
-    members = shared.join(degrees, "node").select("band", "node", "n", "degree", F.col("node").alias("root"), F.lit(b"").alias("last"), F.lit(False).alias("used"))
-    members = materialise(members, "members")
-    members = materialise(members.join(_centres(members), "band"), "open")
-    found = materialise(_distances(members.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), sets), "distances")
+    led = shared.groupBy("lead", "node").agg(F.first("n").alias("n"), F.count("*").alias("bands"))
+    first = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("bands"), "lead")) <= FIRST
+    members = materialise(led.withColumn("first", first).drop("bands").join(degrees, "node"), "led")
+    members = materialise(members.drop("degree").join(_centres(members), "lead"), "members")
+    pairs = members.select(F.col("hub").alias("u"), F.col("node").alias("v")).unionByName(members.where("first").select(F.col("lead").alias("u"), F.col("node").alias("v")))
+    found = materialise(_distances(pairs.where("u <> v").distinct(), sets), "distances")
     links = found.where(near).select("u", "v")
     common = found.select(F.col("u").alias("hub"), F.col("v").alias("node"), "shared")
-    members = members.join(common, ["hub", "node"], "left").withColumn("common", F.coalesce("shared", "n")).drop("shared")
+    members = materialise(members.join(common, ["hub", "node"], "left").withColumn("common", F.coalesce("shared", "n")).drop("shared"), "members")
     before, number = None, 0
     while True:
-        members, found = _round(members, sets, number)
-        links = links.unionByName(found.where(near).select("u", "v"))
         roots = components(links)
         members = _regroup(members, roots)
         n, pairs = _open_pairs(members)
         if pairs <= 4 * n or before is not None and 2 * pairs > before:
             break
+        links = links.unionByName(_round(members, sets, number).where(near).select("u", "v"))
         before, number = pairs, number + 1
 
-    more = materialise(_distances(_left(members, sets, roots, similarity), sets).where(near).select("u", "v"), "links")
+    more = materialise(_distances(_left(members, shared, sets, roots, similarity), sets).where(near).select("u", "v"), "links")
     if not more.isEmpty():
         # only groups are linked further, not their members once more
         ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in "uv"]
